@@ -30,6 +30,10 @@ def create_functions(spark: SparkSession, telemetry: str = "telemetry", lkv: str
         CASE WHEN span > 0 THEN (span - faulty) / span ELSE 0D END
         * CASE WHEN span - faulty > 0 THEN ideal_cycle_ms * (good + scrap) / (span - faulty) ELSE 0D END
         * CASE WHEN good + scrap > 0 THEN good / (good + scrap) ELSE 0D END"""
+    counts = f"""
+        coalesce({counter(MANUFACTURED, 'max')} - {counter(MANUFACTURED, 'min')}, 0D) AS good,
+        coalesce({counter(DISCARDED, 'max')} - {counter(DISCARDED, 'min')}, 0D) AS scrap,
+        coalesce({counter(FAULTY_TIME, 'sum')}, 0D) AS faulty"""
     span = "CAST(unix_millis(end_ts) - unix_millis(start_ts) AS DOUBLE) AS span"
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION oee_station(
@@ -37,9 +41,7 @@ def create_functions(spark: SparkSession, telemetry: str = "telemetry", lkv: str
             RETURNS DOUBLE RETURN
             SELECT {factors} FROM (SELECT {span}, * FROM (
               SELECT
-                coalesce({counter(MANUFACTURED, 'max')} - {counter(MANUFACTURED, 'min')}, 0D) AS good,
-                coalesce({counter(DISCARDED, 'max')} - {counter(DISCARDED, 'min')}, 0D) AS scrap,
-                coalesce({counter(FAULTY_TIME, 'sum')}, 0D) AS faulty
+                {counts}
               FROM {telemetry} t JOIN (
                 SELECT DISTINCT Subject FROM {lkv}
                 WHERE DataSetName LIKE concat('%', station, '%') AND DataSetName LIKE concat('%', location, '%')
@@ -47,30 +49,26 @@ def create_functions(spark: SparkSession, telemetry: str = "telemetry", lkv: str
               WHERE t.Name IN ('{MANUFACTURED}', '{DISCARDED}', '{FAULTY_TIME}')
                 AND t.Timestamp > start_ts AND t.Timestamp < end_ts))"""
     )
-    # The line takes its minimum over one grouped pass instead of a call per station.
+    # All stations in one grouped pass; the second branch keeps those without any reading.
+    stations = f"""(SELECT DISTINCT Site, Workcell AS station FROM {lkv}
+        WHERE Workcell <> '' AND Workcell NOT IN ({excluded}))"""
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION oee_line(
               location STRING, ideal_cycle_ms DOUBLE, start_ts TIMESTAMP, end_ts TIMESTAMP)
             RETURNS DOUBLE RETURN
             SELECT min(oee) FROM (SELECT {factors} AS oee FROM (SELECT {span}, * FROM (
-              SELECT s.station,
-                coalesce(max(c.good_max) - min(c.good_min), 0D) AS good,
-                coalesce(max(c.scrap_max) - min(c.scrap_min), 0D) AS scrap,
-                coalesce(sum(c.faulty_sum), 0D) AS faulty
-              FROM (SELECT DISTINCT Workcell AS station FROM {lkv}
-                    WHERE Site = location AND Workcell <> '' AND Workcell NOT IN ({excluded})) s
-              LEFT JOIN (SELECT DISTINCT Subject, DataSetName FROM {lkv}
-                    WHERE DataSetName LIKE concat('%', location, '%')) w
-                ON w.DataSetName LIKE concat('%', s.station, '%')
-              LEFT JOIN (SELECT t.Subject,
-                      {counter(MANUFACTURED, 'max')} AS good_max, {counter(MANUFACTURED, 'min')} AS good_min,
-                      {counter(DISCARDED, 'max')} AS scrap_max, {counter(DISCARDED, 'min')} AS scrap_min,
-                      {counter(FAULTY_TIME, 'sum')} AS faulty_sum
-                    FROM {telemetry} t
-                    WHERE t.Name IN ('{MANUFACTURED}', '{DISCARDED}', '{FAULTY_TIME}')
-                      AND t.Timestamp > start_ts AND t.Timestamp < end_ts
-                    GROUP BY t.Subject) c ON c.Subject = w.Subject
-              GROUP BY s.station)))"""
+              SELECT t.station, {counts} FROM (
+                SELECT s.station, r.Name, r.Value
+                FROM {stations} s
+                JOIN (SELECT DISTINCT Subject, DataSetName FROM {lkv}) w
+                  ON w.DataSetName LIKE concat('%', s.station, '%')
+                JOIN {telemetry} r ON r.Subject = w.Subject
+                WHERE s.Site = location AND w.DataSetName LIKE concat('%', location, '%')
+                  AND r.Name IN ('{MANUFACTURED}', '{DISCARDED}', '{FAULTY_TIME}')
+                  AND r.Timestamp > start_ts AND r.Timestamp < end_ts
+                UNION ALL
+                SELECT s.station, NULL, NULL FROM {stations} s WHERE s.Site = location) t
+              GROUP BY t.station)))"""
     )
     spark.sql(
         """CREATE OR REPLACE TEMPORARY FUNCTION shift_break(
