@@ -3,4 +3,4 @@
 
 def load() -> None:
     """Register all queries."""
-    from plantlake.plans import q_browse, q_messages, q_model, q_monitor  # noqa: F401
+    from plantlake.plans import q_browse, q_messages, q_model, q_monitor, q_streaming  # noqa: F401
