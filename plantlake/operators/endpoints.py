@@ -43,7 +43,10 @@ def name_tags(endpoints: DataFrame, browse_names: DataFrame, keys: list[str]) ->
         F.regexp_extract("n.Id", NUMERIC_NODE_ID, 1).alias("node"),
         F.coalesce("n.OpcSamplingInterval", F.lit(1000)).alias("sampling_ms"),
     )
-    return nodes.join(names, "node", "left").select(
+    # Ids without a number match nothing; a key of their own keeps them from meeting in one task.
+    spread = F.concat(F.lit("none-"), F.xxhash64("NodeId", *keys).cast("string"))
+    keyed = nodes.withColumn("node", F.when(F.col("node") != "", F.col("node")).otherwise(spread))
+    return keyed.join(names, "node", "left").select(
         *keys,
         "NodeId",
         F.coalesce("browse", F.concat(F.lit("node-"), F.col("index").cast("string"))).alias("name"),

@@ -14,15 +14,17 @@ def metadata_lkv(metadata: DataFrame, ties: bool = True) -> DataFrame:
     key are left out either way.
     """
     keyed = metadata.where(F.col("Subject").isNotNull() & F.col("Name").isNotNull())
+    # The first pass hashes three narrow columns. The timestamp is part of the join key, so a
+    # series resent a billion times still spreads over all tasks, and only its latest rows find
+    # a partner.
+    latest = keyed.groupBy(*SERIES).agg(F.max("Timestamp").alias("Timestamp"))
+    tied = keyed.join(latest, [*SERIES, "Timestamp"], "left_semi")
     if ties:
-        # The timestamp is part of the join key, so a series resent a billion times still
-        # spreads over all tasks; only its latest rows find a partner.
-        latest = keyed.groupBy(*SERIES).agg(F.max("Timestamp").alias("Timestamp"))
-        return keyed.join(latest, [*SERIES, "Timestamp"], "left_semi")
+        return tied
     rest = [c for c in keyed.columns if c not in SERIES]
     order = F.struct("Timestamp", "MajorVersion", "MinorVersion")
     return (
-        keyed.groupBy(*SERIES)
+        tied.groupBy(*SERIES)
         .agg(F.max_by(F.struct(*rest), order).alias("row"))
         .select(*SERIES, "row.*")
         .select(*metadata.columns)

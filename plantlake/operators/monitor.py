@@ -12,6 +12,7 @@ from plantlake.functions.text import (
     whole_number,
 )
 from plantlake.operators.lkv import latest_values, writers_of
+from plantlake.operators.sized import keep_matching, narrow
 from plantlake.operators.timerange import between_closed, between_open, last, utc
 from plantlake.schemas import FAULTY_TIME, PRESSURE, RELIEF_METHOD, RELIEF_OBJECT, STATUS
 
@@ -20,7 +21,7 @@ def station_rows(
     telemetry: DataFrame, lkv: DataFrame, station: str, location: str, how: str = "like"
 ) -> DataFrame:
     """Telemetry of the writers of a station, each row once."""
-    return telemetry.join(writers_of(lkv, station, location, how), "Subject", "left_semi")
+    return keep_matching(telemetry, writers_of(lkv, station, location, how), "Subject")
 
 
 def station_series(
@@ -42,13 +43,12 @@ def station_series(
     readings = between_open(telemetry.where(F.col("Name") == name), start, end).select(
         "Subject", "Timestamp", "Value"
     )
-    if dedupe:
-        joined = readings.join(writers_of(lkv, station, location, how), "Subject", "left_semi")
-    else:
+    joined = station_rows(readings, lkv, station, location, how)
+    if not dedupe:
         fields = lkv.where(
             matches("DataSetName", station, how) & matches("DataSetName", location, how)
         ).select("Subject")
-        joined = readings.join(fields, "Subject")
+        joined = joined.join(fields, "Subject")
     return joined.select("Timestamp", "Value")
 
 
@@ -79,7 +79,7 @@ def status_of_station(
     readings = last(telemetry.where(F.col("Name") == name), as_of, length).select(
         "Subject", "Timestamp", "Value"
     )
-    return fields.join(readings, "Subject").drop("Subject")
+    return fields.join(narrow(readings, fields, ["Subject"]), "Subject").drop("Subject")
 
 
 def panel_max(series: DataFrame) -> DataFrame:
@@ -165,8 +165,8 @@ def high_now(
     telemetry: DataFrame, lkv: DataFrame, station: str, location: str, name: str, threshold: float, how: str = "like"
 ) -> DataFrame:
     """Writers of a station whose latest value of a field is above the threshold."""
-    latest = latest_values(telemetry.where(F.col("Name") == name))
-    return station_rows(latest, lkv, station, location, how).where(number("Value") > threshold)
+    readings = station_rows(telemetry.where(F.col("Name") == name), lkv, station, location, how)
+    return latest_values(readings).where(number("Value") > threshold)
 
 
 def ingest_health(counts: DataFrame, required: DataFrame) -> DataFrame:

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from plantlake.functions.text import matches, not_empty, number, percent
 from plantlake.operators.lkv import writers_of
-from plantlake.operators.shifts import candidate_windows
+from plantlake.operators.shifts import with_windows
+from plantlake.operators.sized import narrow
 from plantlake.operators.timerange import between_open, utc
 from plantlake.schemas import (
     DEFAULT_SHIFTS,
@@ -97,8 +98,9 @@ def oee_station(
     how: str = "like",
 ) -> DataFrame:
     """One row: the counters, factors and oee of a station in a window."""
-    per_writer = counters(between_open(telemetry, start, end), "Subject")
-    wanted = per_writer.join(writers_of(lkv, station, location, how), "Subject", "left_semi")
+    writers = writers_of(lkv, station, location, how)
+    readings = narrow(between_open(telemetry, start, end), writers, ["Subject"])
+    wanted = counters(readings, "Subject").join(writers, "Subject", "left_semi")
     return add_factors(merge_counters(wanted), _window_ms(start, end), F.lit(ideal_cycle_ms))
 
 
@@ -127,7 +129,8 @@ def oee_stations_of_line(
     )
     member = matches(writers["DataSetName"], stations["station"], how)
     members = stations.join(writers, member, "left").select("station", "Subject").distinct()
-    per_writer = counters(between_open(telemetry, start, end), "Subject")
+    readings = narrow(between_open(telemetry, start, end), writers, ["Subject"])
+    per_writer = counters(readings, "Subject")
     totals = merge_counters(members.join(per_writer, "Subject", "left"), "station")
     return add_factors(totals, _window_ms(start, end), F.lit(ideal_cycle_ms))
 
@@ -182,8 +185,7 @@ def oee_by_shift(
         F.col("minute") + F.expr("INTERVAL 1 MINUTE")
     )
     in_shift = (
-        located.withColumn("until", until)
-        .select("*", F.inline(candidate_windows(F.col("minute"), F.col("tz"), shifts)))
+        with_windows(located.withColumn("until", until), "minute", "tz", shifts)
         .where(
             F.when(F.col("on_minute"), F.col("start_ts") < F.col("minute")).otherwise(
                 F.col("start_ts") <= F.col("minute")

@@ -319,14 +319,14 @@ def validate_instances(
     return bad_type.unionByName(bad_enum).unionByName(bad_count)
 
 
-def has_marker(df: DataFrame, tags_col: str, tag: str) -> DataFrame:
-    """Rows whose tag map holds a marker, whatever its value."""
-    return df.where(F.map_contains_key(F.col(tags_col), tag))
+def has_marker(tags: str, tag: str) -> Column:
+    """Whether a tag map holds a marker, whatever its value."""
+    return F.map_contains_key(F.col(tags), tag)
 
 
-def has_tag(df: DataFrame, tags_col: str, tag: str, value) -> DataFrame:
-    """Rows whose tag map gives a tag the value."""
-    return df.where(F.element_at(F.col(tags_col), F.lit(tag)) == value)
+def has_tag(tags: str, tag: str, value) -> Column:
+    """Whether a tag map gives a tag the value."""
+    return F.element_at(F.col(tags), F.lit(tag)) == value
 
 
 def in_language(texts: str, language: str, fallback: str = "en") -> Column:

@@ -14,7 +14,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
     A mergeable sketch of fixed size brackets the median of each group. A second aggregation
     counts the values below the bracket, and only distinct values inside it, about two in a
-    thousand, are ranked. No group is ever sorted or held as a whole.
+    thousand, are ranked one by one. No group is ever sorted or held as a whole.
     """
     counts = (
         df.where(F.col(value).isNotNull())
@@ -27,13 +27,15 @@ def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
         ).alias("_b"),
         F.count(F.lit(1)).alias("_total"),
     )
-    marked = counts.join(bracket, keys)
-    below = F.when(F.col("_v") < F.col("_b")[0], F.col("_n"))
-    inside = marked.where((F.col("_v") >= F.col("_b")[0]) & (F.col("_v") <= F.col("_b")[1]))
-    offset = marked.groupBy(*keys).agg(F.coalesce(F.sum(below), F.lit(0)).alias("_below"))
-    by_value = Window.partitionBy(*keys).orderBy("_v")
-    upto = F.col("_below") + F.sum("_n").over(by_value)
-    ranked = inside.join(offset, keys).withColumn("_upto", upto)
+    # Values below the bracket collapse into one row per group, ranked before all others.
+    near = (
+        counts.join(bracket, keys)
+        .where(F.col("_v") <= F.col("_b")[1])
+        .groupBy(*keys, "_total", F.when(F.col("_v") >= F.col("_b")[0], F.col("_v")).alias("_v"))
+        .agg(F.sum("_n").alias("_n"))
+    )
+    by_value = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
+    ranked = near.withColumn("_upto", F.sum("_n").over(by_value))
     # 1-based ranks of the two middle rows; they coincide for an odd total.
     low = F.floor((F.col("_total") + 1) / 2)
     high = F.floor((F.col("_total") + 2) / 2)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from plantlake.schemas import BREAK_HOURS, DEFAULT_SHIFTS
 
 MAX_SHIFTS = 100
+SLACK_MIN = 180
 
 
 def calendar_rows(calendar: DataFrame) -> tuple[tuple[str, int, int], ...]:
@@ -62,25 +63,44 @@ def shift_windows(sites: DataFrame, first_day: str, last_day: str, shifts=DEFAUL
     return days.select("Site", "shift_day", F.inline(F.array(*options)))
 
 
-def candidate_windows(ts: Column, zone: Column, shifts=DEFAULT_SHIFTS) -> Column:
-    """Array of the shift windows that can hold `ts`: those of its local day, and the ones
-    that started the day before and wrap past midnight."""
-    today = F.to_date(F.from_utc_timestamp(ts, zone))
-    windows = []
+def with_windows(df: DataFrame, ts_col: str, zone_col: str = "tz", shifts=DEFAULT_SHIFTS) -> DataFrame:
+    """Rows with the shift windows near them: shift, shift_day, start_ts and end_ts (UTC).
+
+    Zone conversions cost more than anything else here. One per row picks the shifts whose
+    wall-clock hours are at most SLACK_MIN away, and only these get exact bounds, so a caller
+    still compares the instant with the bounds. Zone changes of up to SLACK_MIN stay exact.
+    """
+    local, tod = "_local", "_tod"
+    options = []
     for name, start_min, end_min in shifts:
         wraps = end_min < start_min
+        stop = end_min + 1440 if wraps else end_min
         for back in (0, 1) if wraps else (0,):
-            day = F.date_sub(today, back)
-            end_day = F.date_add(day, 1) if wraps else day
-            windows.append(
-                F.struct(
-                    F.lit(name).alias("shift"),
-                    day.alias("shift_day"),
-                    _instant(day, start_min, zone).alias("start_ts"),
-                    _instant(end_day, end_min, zone).alias("end_ts"),
+            # Minutes since the midnight on which the shift's day began.
+            at = F.col(tod) + 1440 * back
+            options.append(
+                F.when(
+                    at.between(start_min - SLACK_MIN, stop + SLACK_MIN),
+                    F.struct(
+                        F.lit(name).alias("shift"),
+                        F.date_sub(F.to_date(local), back).alias("shift_day"),
+                        F.lit(start_min).alias("from_min"),
+                        F.lit(stop).alias("to_min"),
+                    ),
                 )
             )
-    return F.array(*windows)
+
+    def bound(minute: str) -> Column:
+        wall = F.col("shift_day").cast("timestamp") + F.make_dt_interval(mins=F.col(minute))
+        return F.to_utc_timestamp(wall, F.col(zone_col))
+
+    return (
+        df.withColumn(local, F.from_utc_timestamp(F.col(ts_col), F.col(zone_col)))
+        .withColumn(tod, F.hour(local) * 60 + F.minute(local))
+        .select(*df.columns, F.inline(F.array_compact(F.array(*options))))
+        .withColumns({"start_ts": bound("from_min"), "end_ts": bound("to_min")})
+        .drop("from_min", "to_min")
+    )
 
 
 def assign_shift(
@@ -92,9 +112,8 @@ def assign_shift(
     instant of its start does not count, as the plant's own test has it. The first matching
     shift of the calendar wins. No join and no shuffle: the calendar is part of the expression.
     """
-    local = F.from_utc_timestamp(F.col(ts_col), F.col(zone_col))
-    midnight = F.date_trunc("day", local)
-    tod = F.unix_micros(local) - F.unix_micros(midnight)
+    local = F.col("_local")
+    tod = F.unix_micros(local) - F.unix_micros(F.date_trunc("day", local))
     minute = 60_000_000
     hits = []
     for name, start_min, end_min in shifts:
@@ -114,9 +133,9 @@ def assign_shift(
             )
         hits.append(hit)
     return (
-        df.withColumn("_shift", F.coalesce(*hits))
-        .withColumns({"shift": F.col("_shift.shift"), "shift_day": F.col("_shift.shift_day")})
-        .drop("_shift")
+        df.withColumn("_local", F.from_utc_timestamp(F.col(ts_col), F.col(zone_col)))
+        .withColumn("_shift", F.coalesce(*hits))
+        .select(*df.columns, "_shift.shift", "_shift.shift_day")
     )
 
 

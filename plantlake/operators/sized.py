@@ -1,0 +1,36 @@
+"""Filters by a set of keys that is usually small but need not be."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_KEYS = 10_000
+
+
+def few_keys(keys: DataFrame, columns: list[str], limit: int = MAX_KEYS) -> list[list] | None:
+    """The distinct values of each column, or None if there are more than `limit` key rows."""
+    rows = keys.select(*columns).distinct().take(limit + 1)
+    if len(rows) > limit:
+        return None
+    return [sorted({r[c] for r in rows if r[c] is not None}) for c in columns]
+
+
+def narrow(rows: DataFrame, keys: DataFrame, columns: list[str], limit: int = MAX_KEYS) -> DataFrame:
+    """Drop rows that cannot match `keys`, when those are few enough to go into the scan's filter.
+
+    A caller still joins with the keys; with many keys the rows come back as they are. Tables
+    are sorted by name and writer, so the filter skips most of a table when one station is asked for.
+    """
+    values = few_keys(keys, columns, limit)
+    if values is None:
+        return rows
+    for column, wanted in zip(columns, values):
+        rows = rows.where(F.col(column).isin(wanted))
+    return rows
+
+
+def keep_matching(rows: DataFrame, keys: DataFrame, column: str, limit: int = MAX_KEYS) -> DataFrame:
+    """Rows whose `column` is among the keys: a pushed filter if these are few, else a semi join."""
+    values = few_keys(keys, [column], limit)
+    if values is None:
+        return rows.join(keys.select(column), column, "left_semi")
+    return rows.where(F.col(column).isin(values[0]))

@@ -130,10 +130,14 @@ def oracle(body: str, *tables: str) -> str:
 
 
 class Plant:
-    """The derived tables of one data folder as DataFrames."""
+    """The derived tables of one data folder as DataFrames.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    `stored` names a folder `store` has written them to; without it they are views.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, stored: str | None = None):
         self.spark = use_utc(spark)
+        self.stored = stored
         for table in TABLES:
             spark.read.parquet(f"{folder}/{table}.parquet").createOrReplaceTempView(table)
         self._made: dict[str, DataFrame] = {}
@@ -147,14 +151,26 @@ class Plant:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in ("sites", "writers", "tel", "big", "md", "edges"):
             raise AttributeError(name)
-        if name not in self._made:
+        if name not in self._made and self.stored and name in ("tel", "big", "md"):
+            self._made[name] = self.spark.read.parquet(f"{self.stored}/{name}")
+        elif name not in self._made:
             if name == "md":
                 self.writers.createOrReplaceTempView("writers")
             self._made[name] = self.spark.sql(SQL[name])
         return self._made[name]
 
+    def store(self, path: str) -> None:
+        """Write the large derived tables, telemetry laid out as the library stores it."""
+        from plantlake.sources.tables import write_telemetry
+
+        write_telemetry(self.tel, f"{path}/tel")
+        write_telemetry(self.big, f"{path}/big")
+        self.md.write.parquet(f"{path}/md")
+        self.lkv.write.parquet(f"{path}/lkv")
+
     @property
     def lkv(self) -> DataFrame:
         from plantlake.operators.lkv import metadata_lkv
 
-        return metadata_lkv(self.md)
+        # At scale the last known metadata is a maintained table, not recomputed per query.
+        return self.spark.read.parquet(f"{self.stored}/lkv") if self.stored else metadata_lkv(self.md)

@@ -376,8 +376,7 @@ def tag_filter(p: Plant):
             lambda k, v: v.isNotNull(),
         ).alias("texts"),
     )
-    tagged = ontology.has_marker(events, "tags", "k")
-    both = ontology.has_marker(tagged, "tags", "error").unionByName(ontology.has_tag(tagged, "tags", "k", "42"))
-    return both.dropDuplicates(["event_id"]).select(
+    wanted = ontology.has_marker("tags", "error") | ontology.has_tag("tags", "k", "42")
+    return events.where(ontology.has_marker("tags", "k") & wanted).select(
         "event_id", F.element_at("tags", F.lit("k")).alias("k"), ontology.in_language("texts", "de").alias("label")
     )

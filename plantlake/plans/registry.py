@@ -8,6 +8,7 @@ from plantlake.plans.fixtures import Plant, oracle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+BODIES: dict[str, Callable[[Plant], DataFrame]] = {}
 
 
 def query(name: str, sql: str | None = None, *tables: str):
@@ -19,6 +20,7 @@ def query(name: str, sql: str | None = None, *tables: str):
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        BODIES[name] = fn
         if sql is not None:
             ORACLES[name] = oracle(sql, *tables)
         return fn

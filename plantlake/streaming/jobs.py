@@ -160,7 +160,11 @@ def maintain_lkv(
     spark = metadata.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        _replace_batch(metadata_lkv(batch, ties=False), batch_id, f"{root}/deltas")
+        batch = batch.persist()
+        try:
+            _replace_batch(metadata_lkv(batch, ties=False), batch_id, f"{root}/deltas")
+        finally:
+            batch.unpersist()
         if batch_id % compact_every == compact_every - 1:
             current = read_lkv(spark, root, METADATA_SCHEMA, upto=batch_id)
             _replace_batch(current, batch_id, f"{root}/base")
