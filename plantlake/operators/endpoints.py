@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.functions.nested import unfold
 from plantlake.functions.text import NUMERIC_NODE_ID, parse_endpoint
 
 ENDPOINTS = (
@@ -13,7 +14,7 @@ ENDPOINTS = (
 
 def parse_endpoints(documents: DataFrame, text_col: str = "value", excluded=("commander", "mes")) -> DataFrame:
     """Endpoint documents to one row per endpoint, without the excluded stations."""
-    rows = documents.select(F.explode(F.from_json(text_col, ENDPOINTS)).alias("e")).select(
+    rows = unfold(documents, F.from_json(text_col, ENDPOINTS), "e").select(
         F.col("e.EndpointUrl").alias("EndpointUrl"),
         F.coalesce("e.OpcAuthenticationMode", F.lit("Anonymous")).alias("AuthenticationMode"),
         F.col("e.OpcNodes").alias("OpcNodes"),

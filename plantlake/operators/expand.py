@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.functions.nested import unfold
 from plantlake.functions.text import isa95_columns, timestamp, writer_id
 from plantlake.schemas import (
     METADATA_COLUMNS,
@@ -42,24 +43,20 @@ def _tolerant_entries(text: Column) -> Column:
 def _messages(raw: DataFrame, *carried: str) -> DataFrame:
     """One row per telemetry message; `text` is set only where the typed payload is NULL."""
     typed = F.from_json("payload", TELEMETRY_MESSAGES)
-    return (
-        raw.select(*carried, "payload", typed.alias("messages"))
-        .select(
-            *carried,
-            "messages",
-            F.when(
-                F.exists("messages", lambda m: m["Payload"].isNull()),
-                F.from_json("payload", TELEMETRY_MESSAGES_AS_TEXT)["Payload"],
-            ).alias("texts"),
-        )
-        .select(*carried, "texts", F.posexplode("messages").alias("pos", "m"))
-        .select(
-            *carried,
-            writer_id("m.DataSetWriterId").alias("Subject"),
-            timestamp("m.Timestamp").alias("Timestamp"),
-            F.col("m.Payload").alias("typed"),
-            F.get("texts", F.col("pos")).alias("text"),
-        )
+    documents = raw.select(*carried, "payload", typed.alias("messages")).select(
+        *carried,
+        "messages",
+        F.when(
+            F.exists("messages", lambda m: m["Payload"].isNull()),
+            F.from_json("payload", TELEMETRY_MESSAGES_AS_TEXT)["Payload"],
+        ).alias("texts"),
+    )
+    return unfold(documents, F.col("messages"), "m", *carried, "texts", pos="pos").select(
+        *carried,
+        writer_id("m.DataSetWriterId").alias("Subject"),
+        timestamp("m.Timestamp").alias("Timestamp"),
+        F.col("m.Payload").alias("typed"),
+        F.get("texts", F.col("pos")).alias("text"),
     )
 
 
@@ -71,15 +68,11 @@ def expand_telemetry(raw: DataFrame) -> DataFrame:
     as an array) are read a second time, and lose no good field.
     """
     entries = F.coalesce(F.map_entries("typed"), _tolerant_entries(F.col("text")))
-    return (
-        _messages(raw)
-        .select("Subject", "Timestamp", F.explode(entries).alias("e"))
-        .select(
-            "Subject",
-            "Timestamp",
-            F.col("e.key").alias("Name"),
-            F.col("e.value.Value").alias("Value"),
-        )
+    return unfold(_messages(raw), entries, "e", "Subject", "Timestamp").select(
+        "Subject",
+        "Timestamp",
+        F.col("e.key").alias("Name"),
+        F.col("e.value.Value").alias("Value"),
     )
 
 
@@ -105,7 +98,7 @@ def telemetry_rejects(raw: DataFrame) -> DataFrame:
         F.lit("payload is neither an object nor an array of objects").alias("reason"),
     )
     fields = (
-        messages.select("document", "Subject", F.explode(_payload_entries(F.col("text"))).alias("e"))
+        unfold(messages, _payload_entries(F.col("text")), "e", "document", "Subject")
         .where(F.col("e.value").isNotNull() & ~_is_object(F.col("e.value")))
         .select(
             F.col("document").alias("payload"),
@@ -130,11 +123,8 @@ def expand_metadata(raw: DataFrame, lenient: bool = False) -> DataFrame:
         F.col("p.MetaData.ConfigurationVersion.MinorVersion").alias("MinorVersion"),
         F.col("p.MetaData.Fields").alias("Fields"),
     )
-    fields = (
-        message.withColumns(isa95_columns("DataSetName", lenient))
-        .withColumn("Field", F.explode("Fields"))
-        .drop("Fields")
-    )
+    named = message.withColumns(isa95_columns("DataSetName", lenient))
+    fields = unfold(named, F.col("Fields"), "Field", *[c for c in named.columns if c != "Fields"])
     return fields.withColumns(
         {
             "Name": F.col("Field.Name"),

@@ -7,6 +7,7 @@ over the tasks; each one is parsed on its own.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.functions.nested import unfold
 from plantlake.functions.text import contains_ci, not_empty
 from plantlake.schemas import METADATA_COLUMNS, MODEL_ENTERPRISE, PLACEHOLDER
 
@@ -40,9 +41,8 @@ def _nodes(parsed: DataFrame, kind: str) -> DataFrame:
         return F.coalesce(F.col(f"n.{name}"), F.lit(""))
 
     references = F.coalesce(F.col("n.References.Reference"), F.array())
-    return parsed.select(
-        "Title", "Contributor", "NamespaceUri", F.explode(f"nodeset.{kind}").alias("n")
-    ).select(
+    keep = ("Title", "Contributor", "NamespaceUri")
+    return unfold(parsed, F.col(f"nodeset.{kind}"), "n", *keep).select(
         "Title",
         "Contributor",
         "NamespaceUri",

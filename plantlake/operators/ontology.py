@@ -7,6 +7,8 @@ tables, so every later step works on either.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.functions.nested import unfold
+
 # --- schemas of the two forms -----------------------------------------------
 # `extends` may be text or a list; `schema` text or an object: both are read as text.
 FORM_A = (
@@ -71,7 +73,7 @@ def catalog(documents: DataFrame, text_col: str = "value", path_col: str | None
 
 def members(cat: DataFrame) -> DataFrame:
     """One row per entry of `contents`; `schema` is a primitive name or JSON text."""
-    return cat.select("id", F.explode("contents").alias("m")).select(
+    return unfold(cat, F.col("contents"), "m", "id").select(
         "id",
         F.col("m.`@type`").alias("kind"),
         F.col("m.name").alias("name"),
@@ -85,7 +87,7 @@ def members(cat: DataFrame) -> DataFrame:
 
 def extends_edges(cat: DataFrame) -> DataFrame:
     """Inheritance: (child, parent)."""
-    return cat.select(F.col("id").alias("child"), F.explode("extends").alias("parent"))
+    return unfold(cat, F.col("extends"), "parent", F.col("id").alias("child"))
 
 
 def relation_edges(cat: DataFrame) -> DataFrame:
@@ -107,11 +109,10 @@ def _schema_kind(schema: Column) -> Column:
 def enums(cat: DataFrame) -> DataFrame:
     """Enum values: (id, property, name, value)."""
     m = members(cat).where((F.col("kind") == "Property") & F.startswith("schema", F.lit("{")))
-    return (
-        m.select("id", F.col("name").alias("property"), F.from_json("schema", ENUM).alias("e"))
-        .where(F.col("e.`@type`") == "Enum")
-        .select("id", "property", F.explode("e.enumValues").alias("v"))
-        .select("id", "property", F.col("v.name").alias("name"), F.col("v.enumValue").alias("value"))
+    found = m.where(_schema_kind(F.col("schema")) == "Enum")
+    values = F.from_json("schema", ENUM)["enumValues"]
+    return unfold(found, values, "v", "id", F.col("name").alias("property")).select(
+        "id", "property", F.col("v.name").alias("name"), F.col("v.enumValue").alias("value")
     )
 
 
@@ -208,7 +209,7 @@ def facts_b(documents: DataFrame, text_col: str = "value") -> DataFrame:
     none = F.lit("")
     doc = documents.select(F.from_json(text_col, FORM_B).alias("d")).where(F.col("d.`@id`").isNotNull())
     ident = F.col("d.`@id`").alias("id")
-    links = doc.select(ident, F.explode("d.links").alias("l")).select(
+    links = unfold(doc, F.col("d.links"), "l", ident).select(
         "id",
         F.when(F.col("l.rel") == "tm:extends", "extends")
         .when(F.col("l.rel") == "tm:submodel", "component")
@@ -220,7 +221,7 @@ def facts_b(documents: DataFrame, text_col: str = "value") -> DataFrame:
         .alias("name"),
         F.col("l.href").alias("target"),
     )
-    properties = doc.select(ident, F.explode(F.map_keys("d.properties")).alias("name")).select(
+    properties = unfold(doc, F.map_keys("d.properties"), "name", ident).select(
         "id", F.lit("property").alias("fact"), "name", none.alias("target")
     )
     return (

@@ -32,10 +32,7 @@ def read_tag_list(spark: SparkSession, path: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """Whole JSON files below a folder, one row each: value, path."""
     return (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .text(path)
+        spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
         .select("value", F.col("_metadata.file_path").alias("path"))
     )
 
@@ -43,8 +40,7 @@ def read_documents(spark: SparkSession, path: str, glob: str = "*.json") -> Data
 def read_nodesets(spark: SparkSession, path: str) -> DataFrame:
     """Bare node set XML files in the shape of parsed downloads, titled by their file name."""
     return (
-        spark.read.option("wholetext", True)
-        .text(path)
+        spark.read.text(path, wholetext=True)
         .select(
             F.regexp_extract("_metadata.file_name", r"^([^.]+)", 1).alias("Title"),
             F.lit("").alias("Contributor"),
