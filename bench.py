@@ -71,7 +71,8 @@ def main() -> None:
     def text(path):
         return spark.read.text(path).withColumnRenamed("value", "payload")
 
-    jobs = {name: (lambda fn: lambda: fn(Plant(spark, folder, stored)))(BODIES[name]) for name in HEADLINE}
+    plant = Plant(spark, folder, stored)
+    jobs = {name: (lambda fn: lambda: fn(plant))(BODIES[name]) for name in HEADLINE}
     jobs["telemetry_expand"] = lambda: expand_telemetry(text(raw))
     jobs["metadata_expand"] = lambda: expand_metadata(text(meta))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from plantlake.functions.text import exact_number, number, whole_number
 from plantlake.operators.carry import carry_forward, step_sums
 from plantlake.operators.quantile import exact_median
+from plantlake.operators.sized import broadcast_if_small
 from plantlake.schemas import (
     ACTUAL_CYCLE,
     DISCARDED,
@@ -175,7 +176,7 @@ def product_trace(rows: DataFrame, writers: DataFrame, stations=("assembly", "te
         rows.where((F.col("Name") == SERIAL_NUMBER) & F.col("Timestamp").isNotNull())
         .groupBy("Subject", F.col("Value").alias("serial"))
         .agg(F.min("Timestamp").alias("first_ts"), F.max("Timestamp").alias("last_ts"))
-        .join(writers.select("Subject", "Workcell").distinct(), "Subject")
+        .join(broadcast_if_small(writers.select("Subject", "Workcell").distinct()), "Subject")
     )
     at = [
         F.min(F.when(F.col("Workcell") == s, F.col("first_ts"))).alias(f"{s}_ts") for s in stations
@@ -216,7 +217,7 @@ def carbon_footprint(
         .select("Subject", F.coalesce("g_per_kwh", average).alias("g"))
     )
     return (
-        per_serial.join(site_of, "Subject")
+        per_serial.join(broadcast_if_small(site_of), "Subject")
         .groupBy("serial")
         .agg(
             F.sum("kwh").cast("double").alias("kwh"),

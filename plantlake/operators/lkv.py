@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.operators.sized import broadcast_if_small
+
 SERIES = ["Subject", "Name"]
 
 
@@ -14,11 +16,11 @@ def metadata_lkv(metadata: DataFrame, ties: bool = True) -> DataFrame:
     key are left out either way.
     """
     keyed = metadata.where(F.col("Subject").isNotNull() & F.col("Name").isNotNull())
-    # The first pass hashes three narrow columns. The timestamp is part of the join key, so a
-    # series resent a billion times still spreads over all tasks, and only its latest rows find
-    # a partner.
+    # A first pass hashes three narrow columns; the wide rows are then filtered by its result, as
+    # a rule without a shuffle. With too many series they are shuffled by series and timestamp, so
+    # that a series resent a billion times still spreads over all tasks.
     latest = keyed.groupBy(*SERIES).agg(F.max("Timestamp").alias("Timestamp"))
-    tied = keyed.join(latest, [*SERIES, "Timestamp"], "left_semi")
+    tied = keyed.join(broadcast_if_small(latest), [*SERIES, "Timestamp"], "left_semi")
     if ties:
         return tied
     rest = [c for c in keyed.columns if c not in SERIES]

@@ -12,7 +12,7 @@ from plantlake.functions.text import (
     whole_number,
 )
 from plantlake.operators.lkv import latest_values, writers_of
-from plantlake.operators.sized import keep_matching, narrow
+from plantlake.operators.sized import broadcast_if_small, keep_matching, narrow
 from plantlake.operators.timerange import between_closed, between_open, last, utc
 from plantlake.schemas import FAULTY_TIME, PRESSURE, RELIEF_METHOD, RELIEF_OBJECT, STATUS
 
@@ -99,10 +99,10 @@ def asset_list(telemetry: DataFrame, metadata: DataFrame) -> DataFrame:
     """
     seen = telemetry.select("Subject").distinct()
     return (
-        metadata.select("Subject", asset_name("DataSetName").alias("AssetName"))
+        metadata.select("Subject", "DataSetName")
         .distinct()
         .join(seen, "Subject", "left_semi")
-        .select("AssetName")
+        .select(asset_name("DataSetName").alias("AssetName"))
         .distinct()
     )
 
@@ -122,11 +122,12 @@ def fault_alerts(
         number("Value") > 0
     )
     assets = (
-        metadata.select("Subject", asset_name("DataSetName").alias("AssetName"))
-        .groupBy("Subject", "AssetName")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        metadata.groupBy("Subject", "DataSetName")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("Subject", asset_name("DataSetName").alias("AssetName"))
+        .agg(F.sum("n").alias("copies"))
     )
-    alerts = faults.join(assets, "Subject").select(
+    alerts = faults.join(broadcast_if_small(assets), "Subject").select(
         "AssetName",
         "Name",
         "Value",

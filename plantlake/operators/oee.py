@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from plantlake.functions.text import matches, not_empty, number, percent
 from plantlake.operators.lkv import writers_of
 from plantlake.operators.shifts import with_windows
-from plantlake.operators.sized import narrow
+from plantlake.operators.sized import broadcast_if_small, narrow
 from plantlake.operators.timerange import between_open, utc
 from plantlake.schemas import (
     DEFAULT_SHIFTS,
@@ -180,7 +180,8 @@ def oee_by_shift(
     shift's bounds. Readings shrink to minutes before the join with the writers; the shift
     is computed from the row itself.
     """
-    located = minute_counters(telemetry).join(production_writers(lkv, sites), "Subject")
+    writers = broadcast_if_small(production_writers(lkv, sites))
+    located = minute_counters(telemetry).join(writers, "Subject")
     until = F.when(F.col("on_minute"), F.col("minute")).otherwise(
         F.col("minute") + F.expr("INTERVAL 1 MINUTE")
     )

@@ -1,9 +1,21 @@
-"""Filters by a set of keys that is usually small but need not be."""
+"""Key sets and join sides that are usually small but need not be."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.session import checkpoint
+
 MAX_KEYS = 10_000
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(side: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A narrow join side, computed once and counted: broadcast up to `limit` rows, else as it is.
+
+    The other side is then filtered where it is read, instead of being shuffled whole.
+    """
+    done = checkpoint(side)
+    return F.broadcast(done) if done.count() <= limit else done
 
 
 def few_keys(keys: DataFrame, columns: list[str], limit: int = MAX_KEYS) -> list[list] | None:

@@ -165,7 +165,7 @@ class Plant:
 
         write_telemetry(self.tel, f"{path}/tel")
         write_telemetry(self.big, f"{path}/big")
-        self.md.write.parquet(f"{path}/md")
+        self.md.repartition(32).write.parquet(f"{path}/md")
         self.lkv.write.parquet(f"{path}/lkv")
 
     @property
