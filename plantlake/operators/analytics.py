@@ -178,12 +178,13 @@ def product_trace(rows: DataFrame, writers: DataFrame, stations=("assembly", "te
         .agg(F.min("Timestamp").alias("first_ts"), F.max("Timestamp").alias("last_ts"))
         .join(broadcast_if_small(writers.select("Subject", "Workcell").distinct()), "Subject")
     )
-    at = [
-        F.min(F.when(F.col("Workcell") == s, F.col("first_ts"))).alias(f"{s}_ts") for s in stations
-    ]
+    at = {s: F.min(F.when(F.col("Workcell") == s, F.col("first_ts"))) for s in stations}
+    seen = sum((at[s].isNotNull().cast("int") for s in stations), F.lit(0))
     lead = F.unix_millis(F.max("last_ts")) - F.unix_millis(F.min("first_ts"))
     return sightings.where(F.col("Workcell").isin(*stations)).groupBy("serial").agg(
-        *at, F.count_distinct("Workcell").alias("n_stations"), lead.alias("lead_ms")
+        *[first.alias(f"{s}_ts") for s, first in at.items()],
+        seen.alias("n_stations"),
+        lead.alias("lead_ms"),
     )
 
 

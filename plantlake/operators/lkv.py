@@ -21,12 +21,16 @@ def metadata_lkv(metadata: DataFrame, ties: bool = True) -> DataFrame:
     # that a series resent a billion times still spreads over all tasks.
     latest = keyed.groupBy(*SERIES).agg(F.max("Timestamp").alias("Timestamp"))
     tied = keyed.join(broadcast_if_small(latest), [*SERIES, "Timestamp"], "left_semi")
-    if ties:
-        return tied
-    rest = [c for c in keyed.columns if c not in SERIES]
+    return tied if ties else newest(tied)
+
+
+def newest(metadata: DataFrame) -> DataFrame:
+    """One row per (Subject, Name) in a single pass, for inputs as small as a batch."""
+    rest = [c for c in metadata.columns if c not in SERIES]
     order = F.struct("Timestamp", "MajorVersion", "MinorVersion")
     return (
-        tied.groupBy(*SERIES)
+        metadata.where(F.col("Subject").isNotNull() & F.col("Name").isNotNull())
+        .groupBy(*SERIES)
         .agg(F.max_by(F.struct(*rest), order).alias("row"))
         .select(*SERIES, "row.*")
         .select(*metadata.columns)

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.operators.analytics import throughput
 from plantlake.operators.expand import expand_metadata, expand_telemetry
-from plantlake.operators.lkv import metadata_lkv
+from plantlake.operators.lkv import newest
 from plantlake.schemas import METADATA_SCHEMA, RAW_SCHEMA, TELEMETRY_SCHEMA
 
 # Start at the beginning of a topic and go on if the broker dropped old messages.
@@ -160,11 +160,7 @@ def maintain_lkv(
     spark = metadata.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            _replace_batch(metadata_lkv(batch, ties=False), batch_id, f"{root}/deltas")
-        finally:
-            batch.unpersist()
+        _replace_batch(newest(batch), batch_id, f"{root}/deltas")
         if batch_id % compact_every == compact_every - 1:
             current = read_lkv(spark, root, METADATA_SCHEMA, upto=batch_id)
             _replace_batch(current, batch_id, f"{root}/base")
@@ -192,7 +188,7 @@ def read_lkv(spark: SparkSession, root: str, schema: str = METADATA_SCHEMA, upto
     if newest is not None:
         base = base.where(F.col("batch_id") == newest)
         deltas = deltas.where(F.col("batch_id") > newest)
-    return metadata_lkv(base.unionByName(deltas).drop("batch_id"), ties=False)
+    return newest(base.unionByName(deltas).drop("batch_id"))
 
 
 # --- windows and alerts -------------------------------------------------------
