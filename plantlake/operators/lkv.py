@@ -20,7 +20,9 @@ def metadata_lkv(metadata: DataFrame, ties: bool = True) -> DataFrame:
     # a rule without a shuffle. With too many series they are shuffled by series and timestamp, so
     # that a series resent a billion times still spreads over all tasks.
     latest = keyed.groupBy(*SERIES).agg(F.max("Timestamp").alias("Timestamp"))
-    tied = keyed.join(broadcast_if_small(latest), [*SERIES, "Timestamp"], "left_semi")
+    tied = keyed.join(broadcast_if_small(latest), [*SERIES, "Timestamp"], "left_semi").select(
+        *metadata.columns
+    )
     return tied if ties else newest(tied)
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plantlake.operators.sized import broadcast_if_small
+
 # Rank error of the sketch and half-width of the bracket taken around the median. The bracket
 # is ten times wider than the error, so it always holds the median.
 ACCURACY = 10_000
@@ -12,27 +14,21 @@ MARGIN = 0.001
 def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Median of `value` per group as a double, NULLs left out.
 
-    A mergeable sketch of fixed size brackets the median of each group. A second aggregation
-    counts the values below the bracket, and only distinct values inside it, about two in a
-    thousand, are ranked one by one. No group is ever sorted or held as a whole.
+    A mergeable sketch of fixed size brackets the median of each group. In a second pass values
+    above the bracket are dropped and those below it count as one, before anything is shuffled;
+    only distinct values inside the bracket, about two in a thousand, are ranked one by one. No
+    group is ever sorted or held as a whole.
     """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    bracket = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.percentile_approx(
-            F.col(value).cast("double"), [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY
-        ).alias("_b"),
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    bracket = rows.groupBy(*keys).agg(
+        F.percentile_approx("_v", [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY).alias("_b"),
         F.count(F.lit(1)).alias("_total"),
     )
-    # Values below the bracket collapse into one row per group, ranked before all others.
     near = (
-        counts.join(bracket, keys)
+        rows.join(broadcast_if_small(bracket), keys)
         .where(F.col("_v") <= F.col("_b")[1])
         .groupBy(*keys, "_total", F.when(F.col("_v") >= F.col("_b")[0], F.col("_v")).alias("_v"))
-        .agg(F.sum("_n").alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
     by_value = Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())
     ranked = near.withColumn("_upto", F.sum("_n").over(by_value))

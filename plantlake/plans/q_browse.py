@@ -187,7 +187,7 @@ DAYS = "(epoch_ms(Timestamp) - epoch_ms(TIMESTAMP '2024-01-01 00:00:00')) / 8640
 
 @query(
     "forecast_linear",
-    f"""SELECT Subject, round(slope, 5) AS slope, n, round(intercept + slope * 35.0, 5) AS forecast FROM (
+    f"""SELECT Subject, round(slope, 5) AS slope, CAST(n AS BIGINT) AS n, round(intercept + slope * 35.0, 5) AS forecast FROM (
           SELECT Subject, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept, regr_count(y, x) AS n
           FROM (SELECT Subject, TRY_CAST(Value AS DOUBLE) AS y, {DAYS} AS x FROM big WHERE Name = 'Pressure') a GROUP BY 1) b""",
     "big",
@@ -209,7 +209,7 @@ SIGHTINGS = """SELECT Subject, Timestamp, 'ProductSerialNumber' AS Name, 'P' ||
     "product_trace",
     f"""SELECT Value AS serial, min(CASE WHEN Workcell = 'assembly' THEN Timestamp END) AS assembly_ts,
           min(CASE WHEN Workcell = 'test' THEN Timestamp END) AS test_ts, min(CASE WHEN Workcell = 'packaging' THEN Timestamp END) AS packaging_ts,
-          count(DISTINCT Workcell) AS n_stations, epoch_ms(max(Timestamp)) - epoch_ms(min(Timestamp)) AS lead_ms
+          CAST(count(DISTINCT Workcell) AS INTEGER) AS n_stations, epoch_ms(max(Timestamp)) - epoch_ms(min(Timestamp)) AS lead_ms
         FROM ({SIGHTINGS}) s JOIN writers w ON w.writer = CAST(s.Subject AS BIGINT)
         WHERE Workcell IN ('assembly', 'test', 'packaging') GROUP BY 1""",
     "writers",

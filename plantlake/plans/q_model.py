@@ -285,7 +285,7 @@ def onto_enums(p: Plant):
 
 @query(
     "onto_parity",
-    TYPES + """ SELECT id, 'property' AS fact, 'level' AS name, '' AS target, 'a' AS side, 1 AS copies FROM pt WHERE p_size = 1
+    TYPES + """ SELECT id, 'property' AS fact, 'level' AS name, '' AS target, 'a' AS side, CAST(1 AS BIGINT) AS copies FROM pt WHERE p_size = 1
       UNION ALL SELECT id, 'property', 'evel', '', 'b', 1 FROM pt WHERE p_size = 1
       UNION ALL SELECT id, 'relationship', 'suppliedBy', 'dtmi:plant:Supplier;1', 'a', 1 FROM pt WHERE p_size = 2
       UNION ALL SELECT id, 'property', 'tags', '', 'a', 1 FROM pt WHERE p_size > 40

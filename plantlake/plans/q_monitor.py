@@ -387,7 +387,7 @@ def shift_window_join(p: Plant):
 
 @query(
     "shift_break",
-    """SELECT Subject, ts AS Timestamp, 1.5 AS Break FROM (
+    """SELECT Subject, ts AS Timestamp, CAST(1.5 AS DOUBLE) AS Break FROM (
          SELECT Subject, off, unnest(generate_series(a, b, INTERVAL 1 MINUTE)) AS ts
          FROM (SELECT Subject, CAST(CAST(Subject AS BIGINT) % 24 AS INTEGER) * 60 AS off, min(Timestamp) AS a, max(Timestamp) AS b
                FROM tel GROUP BY 1, 2) s) m

@@ -184,10 +184,10 @@ def read_lkv(spark: SparkSession, root: str, schema: str = METADATA_SCHEMA, upto
 
     base, deltas = load("base"), load("deltas")
     # A single number; base partitions are few and only their folder names are read.
-    newest = base.agg(F.max("batch_id")).first()[0]
-    if newest is not None:
-        base = base.where(F.col("batch_id") == newest)
-        deltas = deltas.where(F.col("batch_id") > newest)
+    merged = base.agg(F.max("batch_id")).first()[0]
+    if merged is not None:
+        base = base.where(F.col("batch_id") == merged)
+        deltas = deltas.where(F.col("batch_id") > merged)
     return newest(base.unionByName(deltas).drop("batch_id"))
 
 
