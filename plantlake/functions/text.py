@@ -149,8 +149,9 @@ def percent(c) -> Column:
     return F.round(_col(c) * 100, 2)
 
 
-def relief_topic(asset) -> Column:
-    return F.format_string(RELIEF_TOPIC, _col(asset))
+def relief_topic(asset, root: str = "") -> Column:
+    """Command topic of an asset below the root of the plant's broker."""
+    return F.format_string(root + RELIEF_TOPIC, _col(asset))
 
 
 def element_path(*levels) -> Column:

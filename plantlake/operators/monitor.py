@@ -147,6 +147,7 @@ def pressure_trigger(
     location: str,
     threshold: float,
     how: str = "like",
+    topic_root: str = "",
 ) -> DataFrame:
     """One command row per pressure reading of a station above the threshold."""
     high = station_rows(telemetry.where(F.col("Name") == PRESSURE), lkv, station, location, how).where(
@@ -158,7 +159,7 @@ def pressure_trigger(
         number("Value").alias("pressure"),
         F.lit(RELIEF_OBJECT).alias("object_id"),
         F.lit(RELIEF_METHOD).alias("method_id"),
-        relief_topic(F.lit(f"{station}-{location}-asset")).alias("topic"),
+        relief_topic(F.lit(f"{station}-{location}-asset"), topic_root).alias("topic"),
     )
 
 

@@ -487,9 +487,9 @@ def fault_alerts_repeated(p: Plant):
 @query(
     "pressure_trigger",
     f"""SELECT Subject, Timestamp, TRY_CAST(Value AS DOUBLE) AS pressure, 'ns=2;i=424' AS object_id, 'ns=2;i=435' AS method_id,
-          'azure-iot-operations/asset-operations/assembly-europe-asset/managementGroup/OpenPressureReliefValve' AS topic
+          'plant/asset-operations/assembly-europe-asset/managementGroup/OpenPressureReliefValve' AS topic
         FROM tel WHERE Name = 'Pressure' AND TRY_CAST(Value AS DOUBLE) > 2520 AND Subject IN (SELECT Subject FROM lkv WHERE {STATION})""",
     "tel", "lkv",
 )
 def pressure_trigger(p: Plant):
-    return monitor.pressure_trigger(p.tel, p.lkv, "assembly", "europe", 2520)
+    return monitor.pressure_trigger(p.tel, p.lkv, "assembly", "europe", 2520, topic_root="plant/")

@@ -78,7 +78,7 @@ MODEL_ENTERPRISE = "UA Cloud Library"
 # Default port of a plant server address.
 DEFAULT_PORT = 4840
 
-# Pressure relief command: object, method and topic pattern.
+# Pressure relief command: object, method and topic pattern (below a broker's own root).
 RELIEF_OBJECT = "ns=2;i=424"
 RELIEF_METHOD = "ns=2;i=435"
-RELIEF_TOPIC = "azure-iot-operations/asset-operations/%s/managementGroup/OpenPressureReliefValve"
+RELIEF_TOPIC = "asset-operations/%s/managementGroup/OpenPressureReliefValve"

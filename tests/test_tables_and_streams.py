@@ -138,3 +138,23 @@ def test_ingest_health(spark):
     required = spark.createDataFrame([("a",), ("b",), ("c",)], "table_name STRING")
     got = {r["table_name"]: (r["present"], r["has_rows"]) for r in monitor.ingest_health(counts, required).collect()}
     assert got == {"a": (True, True), "b": (True, False), "c": (False, False)}
+
+
+def test_station_filter_reaches_the_scan(spark, tmp_path):
+    from test_oee import HAND, metadata, telemetry
+
+    from plantlake.operators.oee import oee_station
+
+    path = str(tmp_path / "tel")
+    tables.write_telemetry(telemetry(spark, HAND), path)
+    md = metadata(spark, [("1", "assembly", "munich", 1), ("2", "test", "munich", 1)])
+    result = oee_station(
+        tables.read_telemetry(spark, path), lkv.metadata_lkv(md), "assembly", "munich", 6000,
+        "2024-01-05T07:00:00Z", "2024-01-05T14:00:00Z",
+    )
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line and "Value" in line)
+    assert "PartitionFilters: [isnotnull(date" in scan
+    assert "EqualTo(Subject,1)" in scan and "In(Name" in scan
