@@ -195,7 +195,7 @@ def carbon_footprint(
 
     Energy belongs to the serial number last announced by the same writer at or before the reading.
     Sites without an intensity (Site, g_per_kwh) take the average of the known ones. `writers`
-    maps Subject to Site.
+    maps Subject to Site. Sums are decimals, so they do not depend on the order of rows.
     """
     kwh = F.when(F.col("Name") == ENERGY, exact_number("Value"))
     serial = F.when(F.col("Name") == SERIAL_NUMBER, F.col("Value"))
@@ -208,13 +208,14 @@ def carbon_footprint(
     per_serial = (
         aligned.where(F.col("serial").isNotNull() & F.col("kwh").isNotNull())
         .groupBy("Subject", "serial")
-        .agg(F.sum("kwh").cast("decimal(38,4)").alias("kwh"))
+        .agg(F.sum("kwh").cast("decimal(18,4)").alias("kwh"))
     )
-    average = intensity.agg(F.avg("g_per_kwh")).scalar()
+    exact = intensity.select("Site", F.col("g_per_kwh").cast("decimal(16,6)").alias("g_per_kwh"))
+    average = exact.agg(F.avg("g_per_kwh").cast("decimal(16,6)")).scalar()
     site_of = (
         writers.select("Subject", "Site")
         .distinct()
-        .join(intensity, "Site", "left")
+        .join(exact, "Site", "left")
         .select("Subject", F.coalesce("g_per_kwh", average).alias("g"))
     )
     return (
@@ -222,6 +223,6 @@ def carbon_footprint(
         .groupBy("serial")
         .agg(
             F.sum("kwh").cast("double").alias("kwh"),
-            F.sum(F.col("kwh").cast("double") * F.col("g")).alias("g_co2"),
+            F.sum(F.col("kwh") * F.col("g")).alias("g_co2"),
         )
     )

@@ -226,9 +226,9 @@ def product_trace(p: Plant):
             max(CASE WHEN Name = 'ProductSerialNumber' THEN Value END) AS serial FROM tel
           WHERE Name IN ('EnergyConsumption', 'ProductSerialNumber') GROUP BY 1, 2),
        a AS (SELECT Subject, kwh, last_value(serial IGNORE NULLS) OVER (PARTITION BY Subject ORDER BY Timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS serial FROM i),
-       g AS (SELECT s.Site, avg(s_acctbal) + 400 AS g_per_kwh FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
+       g AS (SELECT s.Site, CAST(CAST(avg(s_acctbal) + 400 AS DECIMAL(18,4)) AS DECIMAL(16,6)) AS g_per_kwh FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
              JOIN sites s ON s.Site = lower(replace(r_name, ' ', '')) WHERE s.Site <> 'asia' GROUP BY 1)
-       SELECT serial, CAST(sum(kwh) AS DOUBLE) AS kwh, round(sum(CAST(kwh AS DOUBLE) * coalesce(g.g_per_kwh, (SELECT avg(g_per_kwh) FROM g))), 3) AS g_co2
+       SELECT serial, CAST(sum(kwh) AS DOUBLE) AS kwh, CAST(round(sum(CAST(kwh AS DECIMAL(18,4)) * coalesce(g.g_per_kwh, (SELECT CAST(avg(g_per_kwh) AS DECIMAL(16,6)) FROM g))), 3) AS DOUBLE) AS g_co2
        FROM a JOIN writers w ON w.writer = CAST(a.Subject AS BIGINT) LEFT JOIN g ON g.Site = w.Site
        WHERE serial IS NOT NULL AND kwh IS NOT NULL GROUP BY 1""",
     "tel", "writers", "sites",
@@ -237,10 +237,10 @@ def carbon_footprint(p: Plant):
     """Intensities of all sites but one, which takes the average."""
     p.sites.createOrReplaceTempView("sites")
     intensity = p.sql(
-        """SELECT lower(replace(r_name, ' ', '')) AS Site, avg(s_acctbal) + 400 AS g_per_kwh FROM supplier
+        """SELECT lower(replace(r_name, ' ', '')) AS Site, CAST(avg(s_acctbal) + 400 AS DECIMAL(18,4)) AS g_per_kwh FROM supplier
            JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
            WHERE r_name <> 'ASIA' GROUP BY 1"""
     )
     where = p.writers.select(F.col("writer").cast("string").alias("Subject"), "Site")
     result = analytics.carbon_footprint(p.tel, where, intensity)
-    return result.select("serial", "kwh", F.round("g_co2", 3).alias("g_co2"))
+    return result.select("serial", "kwh", F.round("g_co2", 3).cast("double").alias("g_co2"))
