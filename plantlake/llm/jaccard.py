@@ -39,6 +39,8 @@ FREQUENT_ROWS = 100_000
 SEARCH_TEXTS = 512
 
 INDEX, PROBE = 1, 2
+#: Words of 64 bits in the parity sketch of a set.
+SKETCH = 16
 
 
 def bands(largest: int) -> np.ndarray:
@@ -277,15 +279,42 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return full.mapInArrow(_check, "a long, b long").distinct()
 
 
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size and parity sketch of each set: a bit tells whether an odd number of its shingles fall on it."""
+    for batch in batches:
+        sets = [_set(v) for v in batch.column(1).to_pylist()]
+        rows = [np.bincount((words.mix(s) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) for s in sets]
+        bits = np.packbits(np.array(rows, np.uint8) & 1, axis=1).view(np.int64)
+        columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64())]
+        columns += [pa.array(np.ascontiguousarray(bits[:, k])) for k in range(SKETCH)]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "n", *(f"s{k}" for k in range(SKETCH))])
+
+
+def sketches(nodes: DataFrame) -> DataFrame:
+    return nodes.mapInArrow(_sketched, ", ".join(["node long", "n long", *(f"s{k} long" for k in range(SKETCH))]))
+
+
+def _may_link(a: str, b: str) -> str:
+    """SQL: sizes fit, and the sketches differ in no more bits than linked sets of these sizes can.
+
+    Two sets differ in at least as many shingles as their sketches in bits, so no link is lost.
+    """
+    differ = " + ".join(f"bit_count({a}.s{k} ^ {b}.s{k})" for k in range(SKETCH))
+    sizes = f"{UNDER} * least({a}.n, {b}.n) >= {OVER} * greatest({a}.n, {b}.n)"
+    return f"{sizes} AND {UNDER + OVER} * ({differ}) <= {UNDER - OVER} * ({a}.n + {b}.n)"
+
+
 def _sorted_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _across(met: DataFrame) -> DataFrame:
-    """Pairs of a bucket, one looking up and one indexed, whose labels differ."""
-    asks = met.where(F.col("role").bitwiseAND(F.lit(PROBE)) > 0).select("signature", F.col("node").alias("a"), F.col("label").alias("la"))
-    has = met.where(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).select("signature", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return _sorted_pairs(asks.join(has, "signature").where("la <> lb").select("a", "b"))
+def _across(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of a bucket, one looking up and one indexed, whose labels differ and whose sketches allow a link."""
+    sides = met.select("signature", "node", "role", "label").join(stored(sketches(nodes), "sketches"), "node")
+    asks = sides.where(F.col("role").bitwiseAND(F.lit(PROBE)) > 0).alias("x")
+    has = sides.where(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).alias("y")
+    both = asks.join(has, F.expr(f"x.signature = y.signature AND x.label <> y.label AND {_may_link('x', 'y')}"))
+    return _sorted_pairs(both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
 
 def _nodes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -301,7 +330,7 @@ def links(df: DataFrame) -> DataFrame:
     """All links (a, b), a < b, between documents with different sets, each set named by its smallest doc_id."""
     nodes, _ = _nodes(profiles(df))
     met = buckets(nodes).withColumn("label", F.col("node"))
-    return verified(_across(met), nodes)
+    return verified(_across(met, nodes), nodes)
 
 
 def grouped(df: DataFrame) -> DataFrame:
@@ -318,10 +347,12 @@ def grouped(df: DataFrame) -> DataFrame:
     stars = stars.unionByName(met.select(F.col("node").alias("a"), F.col("high").alias("b")))
     found = stored(verified(_sorted_pairs(stars), nodes), "links")
     label = components.labels(found)
-    marked = met.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    marked = marked.select("signature", "node", "role", "label")
-    mixed = marked.groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    rest = stored(verified(_across(marked.join(mixed.select("signature"), "signature")), nodes), "links")
+    # The least and the largest member of a bucket have been compared with all others.
+    inner = met.where("node <> low AND node <> high").join(label, "node", "left")
+    inner = stored(inner.select("signature", "node", "role", F.coalesce("label", "node").alias("label")), "inner")
+    mixed = inner.groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+    rest = inner.join(mixed.select("signature"), "signature", "left_semi")
+    rest = stored(verified(_across(rest, nodes), nodes), "links")
     member = sets.where("shingles IS NOT NULL").join(named, ["print_a", "print_b"]).select("doc_id", "node")
     again = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     label = components.labels(found.unionByName(rest).unionByName(again.select("a", "b")))
