@@ -5,6 +5,7 @@ from functools import reduce
 from operator import and_
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,13 +40,12 @@ def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable
 
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose `column` holds about `most` bytes; a longer text is a part of its own."""
-    sizes = pa.compute.binary_length(batch.column(column).cast(pa.large_string())).to_numpy(zero_copy_only=False)
-    first, held = 0, 0.0
+    sizes = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_string())), 0).to_pylist()
+    first, held = 0, 0
     for k, size in enumerate(sizes):
-        size = 0 if size != size else size
         if k > first and held + size > most:
             yield batch.slice(first, k - first)
-            first, held = k, 0.0
+            first, held = k, 0
         held += size
     if first < batch.num_rows:
         yield batch.slice(first)
