@@ -291,7 +291,8 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketches(nodes: DataFrame) -> DataFrame:
-    return nodes.mapInArrow(_sketched, ", ".join(["node long", "n long", *(f"s{k} long" for k in range(SKETCH))]))
+    schema = ", ".join(["node long", "n long", *(f"s{k} long" for k in range(SKETCH))])
+    return stored(nodes.mapInArrow(_sketched, schema), "sketches")
 
 
 def _may_link(a: str, b: str) -> str:
@@ -308,9 +309,15 @@ def _sorted_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _across(met: DataFrame, nodes: DataFrame) -> DataFrame:
+def _possible(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow a link; the sets themselves are not read."""
+    joined = pairs.join(drawn.alias("x"), F.expr("a = x.node")).join(drawn.alias("y"), F.expr("b = y.node"))
+    return joined.where(_may_link("x", "y")).select("a", "b")
+
+
+def _across(met: DataFrame, drawn: DataFrame) -> DataFrame:
     """Pairs of a bucket, one looking up and one indexed, whose labels differ and whose sketches allow a link."""
-    sides = met.select("signature", "node", "role", "label").join(stored(sketches(nodes), "sketches"), "node")
+    sides = met.select("signature", "node", "role", "label").join(drawn, "node")
     asks = sides.where(F.col("role").bitwiseAND(F.lit(PROBE)) > 0).alias("x")
     has = sides.where(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).alias("y")
     both = asks.join(has, F.expr(f"x.signature = y.signature AND x.label <> y.label AND {_may_link('x', 'y')}"))
@@ -330,7 +337,7 @@ def links(df: DataFrame) -> DataFrame:
     """All links (a, b), a < b, between documents with different sets, each set named by its smallest doc_id."""
     nodes, _ = _nodes(profiles(df))
     met = buckets(nodes).withColumn("label", F.col("node"))
-    return verified(_across(met, nodes), nodes)
+    return verified(_across(met, sketches(nodes)), nodes)
 
 
 def grouped(df: DataFrame) -> DataFrame:
@@ -345,14 +352,15 @@ def grouped(df: DataFrame) -> DataFrame:
     met = buckets(nodes)
     stars = met.select(F.col("low").alias("a"), F.col("node").alias("b"))
     stars = stars.unionByName(met.select(F.col("node").alias("a"), F.col("high").alias("b")))
-    found = stored(verified(_sorted_pairs(stars), nodes), "links")
+    drawn = sketches(nodes)
+    found = stored(verified(_possible(_sorted_pairs(stars), drawn), nodes), "links")
     label = components.labels(found)
     # The least and the largest member of a bucket have been compared with all others.
     inner = met.where("node <> low AND node <> high").join(label, "node", "left")
     inner = stored(inner.select("signature", "node", "role", F.coalesce("label", "node").alias("label")), "inner")
     mixed = inner.groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
     rest = inner.join(mixed.select("signature"), "signature", "left_semi")
-    rest = stored(verified(_across(rest, nodes), nodes), "links")
+    rest = stored(verified(_across(rest, drawn), nodes), "links")
     member = sets.where("shingles IS NOT NULL").join(named, ["print_a", "print_b"]).select("doc_id", "node")
     again = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     label = components.labels(found.unionByName(rest).unionByName(again.select("a", "b")))
