@@ -8,19 +8,17 @@ dictionary of bounded size, which is only a memory of results and never changes
 
 import json
 from collections.abc import Iterator
-from itertools import chain
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed value: how the byte-level vocabulary splits text.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+from plantlake.llm.pretokens import Memory, Splitter
+
 LIMIT = 512
-KNOWN_WORDS = 400_000
-PIECE_CHARS = 1 << 20
+TEXTS = 500
 
 
 def byte_letters() -> dict[str, int]:
@@ -84,52 +82,28 @@ class Merges:
         return out
 
 
-def pieces(text: str, most: int = PIECE_CHARS) -> Iterator[str]:
-    """A text in parts that split like the whole: each cut stands before a space between two letters."""
-    first = 0
-    while len(text) - first > most:
-        cut = SAFE.search(text, first + most)
-        if cut is None:
-            break
-        yield text[first : cut.start() + 1]
-        first = cut.start() + 1
-    yield text[first:]
-
-
-SAFE = regex.compile(r"\p{L}(?= \p{L})")
-
-
 class Counter:
-    """Counts tokens of texts; lives as long as a task."""
+    """Counts tokens of texts; a worker keeps one for all its tasks."""
 
     def __init__(self, path: str):
         self.merges = Merges(path)
-        self.pattern = regex.compile(PATTERN)
-        special = sorted(self.merges.special, key=len, reverse=True)
-        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.known: dict[str, int] = {}
-
-    def split(self, text: str) -> tuple[list[str], int]:
-        """The pre-tokens of a text, and how many special strings it holds."""
-        parts, n_special = [text], 0
-        if self.special and (hits := self.special.findall(text)):
-            parts, n_special = self.special.split(text), len(hits)
-        found = [self.pattern.findall(piece) for part in parts for piece in pieces(part)]
-        return (found[0] if len(found) == 1 else list(chain.from_iterable(found))), n_special
-
-    def learn(self, tokens: set[str]) -> None:
-        new = [t for t in tokens if t not in self.known]
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = list(tokens)
-        if new:
-            self.known.update(zip(new, self.merges.count([t.encode() for t in new]).tolist(), strict=True))
+        self.splitter = Splitter(self.merges.special)
+        self.memory = Memory(self._counts)
+
+    def _counts(self, tokens: list[str]) -> list[int]:
+        special = set(self.merges.special)
+        counts = self.merges.count([t.encode() for t in tokens]).tolist()
+        return [1 if t in special else n for t, n in zip(tokens, counts, strict=True)]
 
     def count(self, texts: list[str | None]) -> list[int]:
-        split = [self.split(t or "") for t in texts]
-        self.learn(set(chain.from_iterable(s for s, _ in split)))
-        known = self.known.__getitem__
-        return [sum(map(known, tokens)) + n for tokens, n in split]
+        split = [self.splitter.split(t or "") for t in texts]
+        known = self.memory.of(split).__getitem__
+        return [sum(map(known, tokens)) for tokens in split]
+
+
+@cache
+def counter(path: str) -> Counter:
+    return Counter(path)
 
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -144,12 +118,10 @@ def token_counts(df: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = None
         for batch in batches:
-            counter = counter or Counter(path)
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
-                n = np.array(counter.count(part.column(2).to_pylist()), np.int64)
+            for first in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(first, TEXTS)
+                n = np.array(counter(path).count(part.column(2).to_pylist()), np.int64)
                 columns = [part.column(0), part.column(1), pa.array(n), pa.array(n > limit)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 

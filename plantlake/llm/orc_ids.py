@@ -6,7 +6,9 @@ a search for a range of ids, and the Bloom filter one for single ids. Spark read
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantlake.llm.bpe_count import byte_letters
 from plantlake.llm.common import per_batch, running, slices, stored
+from plantlake.llm.pretokens import KNOWN_WORDS, Splitter
 
 STRIPE_BYTES = 32 << 20
 ROW_GROUP = 2000
@@ -33,11 +37,43 @@ OPTIONS = {
 }
 
 
-def lists(ids: list[list[int]]) -> pa.Array:
-    offsets = np.zeros(len(ids) + 1, np.int32)
-    offsets[1:] = np.cumsum([len(i) for i in ids])
-    flat = np.fromiter((x for i in ids for x in i), np.int32, int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+class Encoder(dict):
+    """Ids of texts by the tokenizers library; the ids of the first `KNOWN_WORDS` pre-tokens are remembered."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        library = Tokenizer.from_file(path)
+        self.special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+        self.splitter = Splitter(list(self.special))
+        self.model = library.model
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+
+    def __missing__(self, token: str) -> bytes:
+        if token in self.special:
+            ids = [self.special[token]]
+        else:
+            letters = token.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(letters)]
+        out = array("i", ids).tobytes()
+        if len(self) < KNOWN_WORDS:
+            self[token] = out
+        return out
+
+    def encode(self, texts: list[str | None], end_id: int) -> pa.Array:
+        """A list of ids for each text, the end id last."""
+        end = array("i", [end_id]).tobytes()
+        raw = [b"".join(map(self.__getitem__, self.splitter.split(t or ""))) for t in texts]
+        offsets = np.cumsum([0, *(len(r) // 4 + 1 for r in raw)]).astype(np.int32)
+        flat = np.frombuffer(b"".join(x for r in raw for x in (r, end)), np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each worker and vocabulary, kept over its tasks."""
+    return Encoder(path)
 
 
 def write(df: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> None:
@@ -49,21 +85,15 @@ def write(df: DataFrame, tokenizer: str, path: str, end_id: int = END_ID) -> Non
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        library, number, place = None, TaskContext.get().partitionId(), 0
+        number, place = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
-                library = library or Tokenizer.from_file(tokenizer)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                found = library.encode_batch_fast(texts, add_special_tokens=False)
                 n = part.num_rows
                 columns = [
                     part.column(0),
                     pa.array(np.full(n, number, np.int32)),
                     pa.array(np.arange(place, place + n)),
-                    lists([[*e.ids, end_id] for e in found]),
+                    encoder(tokenizer).encode(part.column(1).to_pylist(), end_id),
                 ]
                 place += n
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "file", "place", "ids"])
