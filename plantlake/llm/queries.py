@@ -101,16 +101,16 @@ QUERIES = {
 JACCARD_SQL = """
 WITH RECURSIVE worded AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents),
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM worded),
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM worded),
 sized AS (SELECT doc_id, len(s) AS n, s FROM sets),
 tokens AS (SELECT doc_id, n, unnest(s) AS t FROM sized),
 shared AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS n_both
   FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM shared WHERE 100 * both >= 75 * (na + nb - both)),
+links AS (SELECT a, b FROM shared WHERE 100 * n_both >= 75 * (na + nb - n_both)),
 sides AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach(a, b) AS (SELECT a, b FROM sides UNION SELECT reach.a, sides.b FROM reach JOIN sides ON reach.b = sides.a)
 SELECT sized.doc_id, CAST(n AS BIGINT) AS n_shingles, least(sized.doc_id, coalesce(min(reach.b), sized.doc_id)) AS component_id
