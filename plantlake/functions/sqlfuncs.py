@@ -1,96 +1,112 @@
 """Views and SQL functions over the tables, for callers that write SQL."""
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from plantlake.functions.text import matches, not_empty
+from plantlake.operators.lkv import metadata_lkv
 from plantlake.schemas import DISCARDED, FAULTY_TIME, MANUFACTURED, NON_PRODUCTION_WORKCELLS
 
 
 def create_lkv_view(spark: SparkSession, metadata: str = "metadata", view: str = "metadata_lkv") -> None:
     """The last known metadata, ties included, as a view that follows the table."""
-    spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY VIEW {view} AS
-            SELECT m.* FROM {metadata} m LEFT SEMI JOIN (
-              SELECT Subject, Name, max(Timestamp) AS Timestamp FROM {metadata} GROUP BY Subject, Name
-            ) latest USING (Subject, Name, Timestamp)"""
+    metadata_lkv(spark.table(metadata)).createOrReplaceTempView(view)
+
+
+def station_members(lkv: DataFrame) -> DataFrame:
+    """Site, station and Subject: the writers whose data set name contains a site and a station of it.
+
+    A station without writers has one row with a NULL Subject. The stations of all sites, as many as plants have
+    workcells, are one value that is tested within each distinct name; names and stations are not joined.
+    """
+    stations = lkv.where(not_empty("Workcell") & ~F.col("Workcell").isin(*NON_PRODUCTION_WORKCELLS)).select(
+        "Site", F.col("Workcell").alias("station")
     )
+    stations = stations.where("Site IS NOT NULL").distinct()
+    held = stations.agg(F.collect_list(F.struct("Site", "station")))
+    names = lkv.select("Subject", "DataSetName").distinct().withColumn("stations", held.scalar())
+
+    def inside(pair: Column) -> Column:
+        return matches(F.col("DataSetName"), pair["Site"]) & matches(F.col("DataSetName"), pair["station"])
+
+    found = names.select("Subject", F.inline(F.filter("stations", inside))).distinct()
+    return stations.join(found, ["Site", "station"], "left")
 
 
 def create_functions(spark: SparkSession, telemetry: str = "telemetry", lkv: str = "metadata_lkv") -> None:
     """Temporary SQL functions oee_station, oee_line, shift_break, faulty_assets, value_history.
 
-    They are meant to be called with literals or a few parameter rows. For all stations and
-    shifts at once the DataFrame function oee_by_shift needs a single pass.
+    The two oee functions aggregate a window per writer and counter before it meets the names. A telemetry
+    table that is partitioned by `date` is read for the dates of the window only. For all stations and shifts at once the DataFrame function oee_by_shift needs a single pass.
     """
-    excluded = ", ".join(f"'{w}'" for w in NON_PRODUCTION_WORKCELLS)
-
-    def counter(name: str, fn: str) -> str:
-        return f"{fn}(CASE WHEN t.Name = '{name}' THEN try_cast(t.Value AS DOUBLE) END)"
-
-    factors = """
-        CASE WHEN span > 0 THEN (span - faulty) / span ELSE 0D END
-        * CASE WHEN span - faulty > 0 THEN ideal_cycle_ms * (good + scrap) / (span - faulty) ELSE 0D END
-        * CASE WHEN good + scrap > 0 THEN good / (good + scrap) ELSE 0D END"""
-    counts = f"""
-        coalesce({counter(MANUFACTURED, 'max')} - {counter(MANUFACTURED, 'min')}, 0D) AS good,
-        coalesce({counter(DISCARDED, 'max')} - {counter(DISCARDED, 'min')}, 0D) AS scrap,
-        coalesce({counter(FAULTY_TIME, 'sum')}, 0D) AS faulty"""
-    span = "CAST(unix_millis(end_ts) - unix_millis(start_ts) AS DOUBLE) AS span"
+    dated = "date" in spark.table(telemetry).columns
+
+    def within(start: str, end: str) -> str:
+        return f"date BETWEEN to_date({start}) AND to_date({end})" if dated else "true"
+
+    # One row per writer and counter of the window; all that meets the names.
+    counters = f"""(
+        SELECT r.Subject, r.Name AS counter, min(r.number) AS least_value, max(r.number) AS most_value, sum(r.number) AS total
+        FROM (
+          SELECT Subject, Name, try_cast(Value AS DOUBLE) AS number FROM {telemetry}
+          WHERE Name IN ('{MANUFACTURED}', '{DISCARDED}', '{FAULTY_TIME}')
+            AND Timestamp > since AND Timestamp < until AND {within("since", "until")}) r
+        GROUP BY r.Subject, r.Name)"""
+
+    def made(counter: str) -> str:
+        only = f"FILTER (WHERE counter = '{counter}')"
+        return f"coalesce(max(most_value) {only} - min(least_value) {only}, 0D)"
+
+    sums = f"""coalesce(sum(total) FILTER (WHERE counter = '{FAULTY_TIME}'), 0D) AS faulty,
+        {made(MANUFACTURED)} AS good, {made(DISCARDED)} AS scrap"""
+    # The three factors multiply to ideal * good / window where all their denominators are positive.
+    window_ms = "CAST(unix_millis(until) - unix_millis(since) AS DOUBLE)"
+    figure = f"if({window_ms} > greatest(0D, faulty) AND good + scrap > 0, ideal_cycle_ms * good / {window_ms}, 0D)"
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION oee_station(
-              station STRING, location STRING, ideal_cycle_ms DOUBLE, start_ts TIMESTAMP, end_ts TIMESTAMP)
+              station STRING, location STRING, ideal_cycle_ms DOUBLE, since TIMESTAMP, until TIMESTAMP)
             RETURNS DOUBLE RETURN
-            SELECT {factors} FROM (SELECT {span}, * FROM (
-              SELECT
-                {counts}
-              FROM {telemetry} t JOIN (
-                SELECT DISTINCT Subject FROM {lkv}
-                WHERE DataSetName LIKE concat('%', station, '%') AND DataSetName LIKE concat('%', location, '%')
-              ) w ON w.Subject = t.Subject
-              WHERE t.Name IN ('{MANUFACTURED}', '{DISCARDED}', '{FAULTY_TIME}')
-                AND t.Timestamp > start_ts AND t.Timestamp < end_ts))"""
+            SELECT {figure} FROM (SELECT {sums} FROM {counters} c JOIN (
+              SELECT DISTINCT n.Subject FROM {lkv} n
+              WHERE n.DataSetName LIKE concat('%', station, '%') AND n.DataSetName LIKE concat('%', location, '%')
+            ) w ON w.Subject = c.Subject)"""
     )
-    # All stations in one grouped pass; the second branch keeps those without any reading.
-    stations = f"""(SELECT DISTINCT Site, Workcell AS station FROM {lkv}
-        WHERE Workcell <> '' AND Workcell NOT IN ({excluded}))"""
+    members = f"{lkv}_members"
+    station_members(spark.table(lkv)).createOrReplaceTempView(members)
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION oee_line(
-              location STRING, ideal_cycle_ms DOUBLE, start_ts TIMESTAMP, end_ts TIMESTAMP)
+              location STRING, ideal_cycle_ms DOUBLE, since TIMESTAMP, until TIMESTAMP)
             RETURNS DOUBLE RETURN
-            SELECT min(oee) FROM (SELECT {factors} AS oee FROM (SELECT {span}, * FROM (
-              SELECT t.station, {counts} FROM (
-                SELECT s.station, r.Name, r.Value
-                FROM {stations} s
-                JOIN (SELECT DISTINCT Subject, DataSetName FROM {lkv}) w
-                  ON w.DataSetName LIKE concat('%', s.station, '%')
-                JOIN {telemetry} r ON r.Subject = w.Subject
-                WHERE s.Site = location AND w.DataSetName LIKE concat('%', location, '%')
-                  AND r.Name IN ('{MANUFACTURED}', '{DISCARDED}', '{FAULTY_TIME}')
-                  AND r.Timestamp > start_ts AND r.Timestamp < end_ts
-                UNION ALL
-                SELECT s.station, NULL, NULL FROM {stations} s WHERE s.Site = location) t
-              GROUP BY t.station)))"""
+            SELECT min(oee) FROM (SELECT {figure} AS oee FROM (SELECT station, {sums} FROM (
+              SELECT m.station, c.counter, c.least_value, c.most_value, c.total
+              FROM {members} m JOIN {counters} c ON c.Subject = m.Subject WHERE m.Site = location
+              UNION ALL
+              SELECT m.station, NULL, NULL, NULL, NULL FROM {members} m WHERE m.Site = location) GROUP BY station))"""
     )
     spark.sql(
         """CREATE OR REPLACE TEMPORARY FUNCTION shift_break(
-              start_ts TIMESTAMP, end_ts TIMESTAMP, band DOUBLE, offset_min INT)
+              since TIMESTAMP, until TIMESTAMP, band DOUBLE, offset_min INT)
             RETURNS TABLE (Timestamp TIMESTAMP, Break DOUBLE) RETURN
-            SELECT m.col, band FROM explode(sequence(start_ts, end_ts, INTERVAL 1 MINUTE)) m
-            WHERE hour(m.col + make_dt_interval(0, 0, offset_min)) IN (14, 6)"""
+            SELECT step, band FROM (
+              SELECT explode(sequence(h.col, h.col + INTERVAL 59 MINUTE, INTERVAL 1 MINUTE)) AS step
+              FROM explode(sequence(since, until, INTERVAL 1 HOUR)) h)
+            WHERE step <= until AND hour(step + make_dt_interval(0, 0, offset_min)) IN (14, 6)"""
     )
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION faulty_assets(as_of TIMESTAMP, days INT)
             RETURNS TABLE (AssetName STRING, Name STRING, Value STRING, Timestamp TIMESTAMP) RETURN
-            SELECT a.AssetName, t.Name, t.Value, t.Timestamp
-            FROM {telemetry} t JOIN (
-              SELECT DISTINCT Subject, split_part(DataSetName, ';', 1) AS AssetName FROM {lkv}
-            ) a ON a.Subject = t.Subject
-            WHERE t.Name = '{FAULTY_TIME}' AND try_cast(t.Value AS DOUBLE) > 0
-              AND t.Timestamp BETWEEN as_of - make_dt_interval(days) AND as_of"""
+            WITH assets AS (SELECT DISTINCT Subject, split_part(DataSetName, ';', 1) AS AssetName FROM {lkv})
+            SELECT assets.AssetName, f.Name, f.Value, f.Timestamp
+            FROM {telemetry} f JOIN assets ON assets.Subject = f.Subject
+            WHERE f.Name = '{FAULTY_TIME}' AND try_cast(f.Value AS DOUBLE) > 0
+              AND f.Timestamp >= as_of - make_dt_interval(days) AND f.Timestamp <= as_of
+              AND {within("as_of - make_dt_interval(days)", "as_of")}"""
     )
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION value_history(
-              writer STRING, field STRING, start_ts TIMESTAMP, end_ts TIMESTAMP)
+              writer STRING, field STRING, since TIMESTAMP, until TIMESTAMP)
             RETURNS TABLE (Timestamp TIMESTAMP, Value STRING) RETURN
-            SELECT t.Timestamp, t.Value FROM {telemetry} t
-            WHERE t.Subject = writer AND t.Name = field AND t.Timestamp BETWEEN start_ts AND end_ts"""
+            SELECT h.Timestamp, h.Value FROM {telemetry} h
+            WHERE h.Subject = writer AND h.Name = field AND h.Timestamp BETWEEN since AND until
+              AND {within("since", "until")}"""
     )

@@ -14,6 +14,8 @@ SERVER_NODE = r";nsu=([^;]+);(.*)$"
 ASSET_STATION = r"^([^-]+)-"
 ASSET_LOCATION = r"^[^-]+-([^-]+)-"
 NUMERIC_NODE_ID = r";i=([0-9]+)$"
+# host, port and path of a server URL
+ENDPOINT = r"^(?:opc\.tcp://)?([^/]*?)(?::([0-9]+))?(/.*)?$"
 
 
 def _col(c) -> Column:
@@ -30,11 +32,6 @@ def whole_number(c) -> Column:
     return number(c).try_cast("int")
 
 
-def exact_number(c) -> Column:
-    """Text to a decimal, for sums that must not depend on the order of rows."""
-    return _col(c).try_cast("decimal(18,4)")
-
-
 def timestamp(c) -> Column:
     """ISO-8601 text to a timestamp, NULL when it is not one."""
     return F.try_to_timestamp(_col(c))
@@ -114,20 +111,15 @@ def parse_isa95(df: DataFrame, name_col: str = "DataSetName", lenient: bool = Fa
 
 def parse_endpoint(df: DataFrame, url_col: str, default_port: int = DEFAULT_PORT) -> DataFrame:
     """Server URL to Host, Station, SafeName (DNS label) and Address (always with a port)."""
-    url = F.col(url_col)
-    no_scheme = F.regexp_replace(url, r"^opc\.tcp://", "")
-    host = F.regexp_replace(F.regexp_replace(no_scheme, r"/.*$", ""), r":[0-9]+$", "")
-    dashes = F.regexp_replace(F.lower(host), r"[^a-z0-9-]+", "-")
-    safe = F.regexp_replace(F.regexp_replace(dashes, r"-+", "-"), r"^-|-$", "")
-    has_port = F.regexp_like(url, F.lit(r"://[^/:]+:[0-9]+"))
+    host, port, path = (F.regexp_extract(url_col, ENDPOINT, k) for k in (1, 2, 3))
+    with_port = F.concat(host, F.lit(":"), port, F.rtrim(path, F.lit("/")))
+    address = F.when(port != "", with_port).otherwise(F.concat(host, F.lit(f":{default_port}")))
     return df.withColumns(
         {
             "Host": host,
             "Station": F.lower(F.split_part(host, F.lit("."), F.lit(1))),
-            "SafeName": safe,
-            "Address": F.when(has_port, F.regexp_replace(url, r"/$", "")).otherwise(
-                F.concat(F.lit("opc.tcp://"), host, F.lit(f":{default_port}"))
-            ),
+            "SafeName": F.btrim(F.regexp_replace(F.lower(host), r"[^a-z0-9]+", "-"), F.lit("-")),
+            "Address": F.concat(F.lit("opc.tcp://"), address),
         }
     )
 

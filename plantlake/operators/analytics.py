@@ -1,12 +1,11 @@
 """Counters, cycle statistics, and the use cases built on top of the narrow table."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantlake.functions.text import exact_number, number, whole_number
+from plantlake.functions.text import number, whole_number
 from plantlake.operators.carry import carry_forward, step_sums
 from plantlake.operators.quantile import exact_median
-from plantlake.operators.sized import broadcast_if_small
 from plantlake.schemas import (
     ACTUAL_CYCLE,
     DISCARDED,
@@ -41,11 +40,11 @@ def counter_delta_safe(rows: DataFrame, name: str = MANUFACTURED, grain: str = "
     readings = (
         rows.where((F.col("Name") == name) & F.col("Timestamp").isNotNull())
         .groupBy("Subject", "Timestamp")
-        .agg(F.max(exact_number("Value")).alias("v"))
+        .agg(F.max(number("Value")).alias("v"))
         .where(F.col("v").isNotNull())
     )
     step = F.when(F.col("next_v") >= F.col("v"), F.col("next_v") - F.col("v")).otherwise(F.col("next_v"))
-    return step_sums(readings, ["Subject"], {"increase": (step, "decimal(38,4)")}, grain=grain)
+    return step_sums(readings, ["Subject"], {"increase": (step, "double")}, grain=grain)
 
 
 def fault_time(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -53,7 +52,7 @@ def fault_time(rows: DataFrame, keys: list[str]) -> DataFrame:
     return (
         rows.where(F.col("Name") == FAULTY_TIME)
         .groupBy(*keys)
-        .agg(F.coalesce(F.sum(exact_number("Value")), F.lit(0)).cast("double").alias("faulty_ms"))
+        .agg(F.coalesce(F.sum(number("Value")), F.lit(0.0)).alias("faulty_ms"))
     )
 
 
@@ -101,44 +100,42 @@ def state_durations(rows: DataFrame, grain: str = "minute") -> DataFrame:
     return step_sums(states, ["Subject"], {"duration_ms": (millis, "bigint")}, grain=grain, by="state")
 
 
-def anomaly_zscore(
-    rows: DataFrame, name: str, horizon_s: int = 86_400, grain: str = "hour", min_rows: int = 3
-) -> DataFrame:
-    """Readings with their z-score against the preceding horizon of their writer (own design).
+def anomaly_zscore(rows: DataFrame, name: str, horizon_s: int = 86_400, min_rows: int = 3) -> DataFrame:
+    """Readings with their z-score against the readings of their writer in the horizon before them (own design).
 
-    The baseline of a reading covers the whole grains of the horizon before its own grain. It is
-    computed on one row per writer and grain, so the rolling window never sees raw readings;
-    readings look their baseline up by equality.
+    The score is NULL where fewer than `min_rows` readings or no spread precede. A series is cut into
+    pieces of one horizon, each with the piece before it as history, so that no window holds more than two
+    horizons of a writer. Sums up to the reading less the sums up to its horizon give the rolling mean and
+    variance in one pass; values are taken from the piece's mean, which keeps large values exact.
     """
+    horizon = horizon_s * 1_000_000
     readings = (
         rows.where((F.col("Name") == name) & F.col("Timestamp").isNotNull())
-        .select("Subject", "Timestamp", exact_number("Value").alias("v"))
+        .select("Subject", "Timestamp", number("Value").alias("v"), F.unix_micros("Timestamp").alias("us"))
         .where(F.col("v").isNotNull())
-        .withColumn("grain", F.date_trunc(grain, "Timestamp"))
-    )
-    grains = readings.groupBy("Subject", "grain").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("v").cast("decimal(38,4)").alias("s"),
-        F.sum((F.col("v") * F.col("v")).cast("decimal(38,8)")).alias("q"),
-    )
-    seconds = F.unix_seconds("grain")
-    past = Window.partitionBy("Subject").orderBy(seconds).rangeBetween(-horizon_s, -1)
-    n, s, q = (F.sum(c).over(past) for c in ("n", "s", "q"))
-    baseline = grains.select("Subject", "grain", n.alias("bn"), s.alias("bs"), q.alias("bq"))
-    count, total, squares = (F.col(c).cast("double") for c in ("bn", "bs", "bq"))
-    mean = total / count
-    variance = (squares - total * total / count) / (count - 1)
-    scored = (
-        readings.join(baseline.where(F.col("bn") >= min_rows), ["Subject", "grain"])
-        .withColumn("variance", variance)
-        .where(F.col("variance") > 1e-9)
-    )
-    return scored.select(
-        "Subject",
-        "Timestamp",
-        F.col("v").cast("double").alias("value"),
-        ((F.col("v").cast("double") - mean) / F.sqrt("variance")).alias("zscore"),
-    )
+        .withColumn("home", F.floor(F.col("us") / horizon))
+    )
+    pieces = readings.withColumn("piece", F.explode(F.array("home", F.col("home") + 1)))
+    piece = Window.partitionBy("Subject", "piece")
+    ordered = piece.orderBy("us")
+    upto = ordered.rangeBetween(Window.unboundedPreceding, -1)
+    outside = ordered.rangeBetween(Window.unboundedPreceding, -horizon - 1)
+    centred = pieces.withColumn("d", F.col("v") - F.avg("v").over(piece))
+
+    def rolling(value: Column) -> Column:
+        return F.coalesce(F.sum(value).over(upto), F.lit(0.0)) - F.coalesce(F.sum(value).over(outside), F.lit(0.0))
+
+    sums = centred.select(
+        *["Subject", "Timestamp", "v", "d", "home", "piece"],
+        rolling(F.lit(1.0)).alias("n"),
+        rolling(F.col("d")).alias("s"),
+        rolling(F.col("d") * F.col("d")).alias("q"),
+    ).where("piece = home")
+    mean = F.col("s") / F.col("n")
+    spread = F.sqrt(F.greatest(F.col("q") - F.col("s") * mean, F.lit(0.0)) / (F.col("n") - 1))
+    enough = F.col("n") >= max(min_rows, 2)
+    score = F.when(enough, F.when(spread > 1e-6, (F.col("d") - mean) / spread))
+    return sums.select("Subject", "Timestamp", F.col("v").alias("value"), score.alias("zscore"))
 
 
 def forecast_linear(rows: DataFrame, name: str, keys: list[str], at) -> DataFrame:
@@ -176,7 +173,7 @@ def product_trace(rows: DataFrame, writers: DataFrame, stations=("assembly", "te
         rows.where((F.col("Name") == SERIAL_NUMBER) & F.col("Timestamp").isNotNull())
         .groupBy("Subject", F.col("Value").alias("serial"))
         .agg(F.min("Timestamp").alias("first_ts"), F.max("Timestamp").alias("last_ts"))
-        .join(broadcast_if_small(writers.select("Subject", "Workcell").distinct()), "Subject")
+        .join(writers.select("Subject", "Workcell").distinct(), "Subject")
     )
     at = {s: F.min(F.when(F.col("Workcell") == s, F.col("first_ts"))) for s in stations}
     seen = sum((at[s].isNotNull().cast("int") for s in stations), F.lit(0))
@@ -195,9 +192,9 @@ def carbon_footprint(
 
     Energy belongs to the serial number last announced by the same writer at or before the reading.
     Sites without an intensity (Site, g_per_kwh) take the average of the known ones. `writers`
-    maps Subject to Site. Sums are decimals, so they do not depend on the order of rows.
+    maps Subject to Site.
     """
-    kwh = F.when(F.col("Name") == ENERGY, exact_number("Value"))
+    kwh = F.when(F.col("Name") == ENERGY, number("Value"))
     serial = F.when(F.col("Name") == SERIAL_NUMBER, F.col("Value"))
     instants = (
         telemetry.where(F.col("Name").isin(ENERGY, SERIAL_NUMBER) & F.col("Timestamp").isNotNull())
@@ -208,10 +205,10 @@ def carbon_footprint(
     per_serial = (
         aligned.where(F.col("serial").isNotNull() & F.col("kwh").isNotNull())
         .groupBy("Subject", "serial")
-        .agg(F.sum("kwh").cast("decimal(18,4)").alias("kwh"))
+        .agg(F.sum("kwh").alias("kwh"))
     )
-    exact = intensity.select("Site", F.col("g_per_kwh").cast("decimal(16,6)").alias("g_per_kwh"))
-    average = exact.agg(F.avg("g_per_kwh").cast("decimal(16,6)")).scalar()
+    exact = intensity.select("Site", F.col("g_per_kwh").cast("double").alias("g_per_kwh"))
+    average = exact.agg(F.avg("g_per_kwh")).scalar()
     site_of = (
         writers.select("Subject", "Site")
         .distinct()
@@ -219,10 +216,10 @@ def carbon_footprint(
         .select("Subject", F.coalesce("g_per_kwh", average).alias("g"))
     )
     return (
-        per_serial.join(broadcast_if_small(site_of), "Subject")
+        per_serial.join(site_of, "Subject")
         .groupBy("serial")
         .agg(
-            F.sum("kwh").cast("double").alias("kwh"),
+            F.sum("kwh").alias("kwh"),
             F.sum(F.col("kwh") * F.col("g")).alias("g_co2"),
         )
     )

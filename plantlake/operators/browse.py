@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from plantlake.functions.text import element_path, not_empty, type_id
 from plantlake.operators.lkv import latest_values
-from plantlake.operators.sized import narrow
 from plantlake.operators.timerange import between_closed, utc
 
 LEVELS = ["Enterprise", "Site", "Area", "Line", "Workcell"]
@@ -105,7 +104,7 @@ def related(ids: DataFrame, edges: DataFrame, rel: str | None = None) -> DataFra
 def current_values(telemetry: DataFrame, ids: DataFrame) -> DataFrame:
     """Latest value, quality and timestamp of the given variables (ElementId, Subject, Name)."""
     wanted = ids.select("ElementId", "Subject", "Name").distinct()
-    readings = narrow(telemetry, wanted, ["Subject", "Name"])
+    readings = telemetry.join(wanted.select("Subject", "Name").distinct(), ["Subject", "Name"], "left_semi")
     return latest_values(readings, wanted).select("ElementId", "Value", "Quality", "Timestamp")
 
 
@@ -120,7 +119,7 @@ def value_history(
     start = utc(start) if start is not None else end - F.expr(f"INTERVAL {default_window}")
     wanted = ids.select("ElementId", "Subject", "Name").distinct()
     return (
-        narrow(between_closed(telemetry, start, end), wanted, ["Subject", "Name"])
+        between_closed(telemetry, start, end)
         .join(wanted, ["Subject", "Name"])
         .select(
             "ElementId",

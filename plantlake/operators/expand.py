@@ -40,17 +40,29 @@ def _tolerant_entries(text: Column) -> Column:
     )
 
 
-def _messages(raw: DataFrame, *carried: str) -> DataFrame:
-    """One row per telemetry message; `text` is set only where the typed payload is NULL."""
+def _elements(typed: Column) -> Column:
+    """The elements of an array that the typed schema rejected as a whole, each as JSON text."""
+    apart = typed.isNull() & F.startswith(F.ltrim("payload"), F.lit("["))
+    return F.when(apart, F.from_json("payload", "array<string>"))
+
+
+def _documents(raw: DataFrame, *carried: str) -> DataFrame:
+    """One parse per document: its messages, their payloads as text where needed, its loose elements.
+
+    An array with an element that is no message is taken apart, so its other messages stay.
+    """
     typed = F.from_json("payload", TELEMETRY_MESSAGES)
-    documents = raw.select(*carried, "payload", typed.alias("messages")).select(
-        *carried,
-        "messages",
-        F.when(
-            F.exists("messages", lambda m: m["Payload"].isNull()),
-            F.from_json("payload", TELEMETRY_MESSAGES_AS_TEXT)["Payload"],
-        ).alias("texts"),
-    )
+    read = raw.select(*carried, "payload", typed.alias("typed"), _elements(typed).alias("elements"))
+    objects = F.filter("elements", _is_object)
+    loose = F.transform(objects, lambda e: F.from_json(e, TELEMETRY_MESSAGES)[0])
+    texts = F.when(
+        F.exists("typed", lambda m: m["Payload"].isNull()),
+        F.from_json("payload", TELEMETRY_MESSAGES_AS_TEXT)["Payload"],
+    ).when(F.col("typed").isNull(), F.transform(objects, lambda e: F.get_json_object(e, "$.Payload")))
+    return read.select(*carried, F.coalesce("typed", loose).alias("messages"), texts.alias("texts"), "elements")
+
+
+def _unfolded(documents: DataFrame, *carried: str) -> DataFrame:
     return unfold(documents, F.col("messages"), "m", *carried, "texts", pos="pos").select(
         *carried,
         writer_id("m.DataSetWriterId").alias("Subject"),
@@ -60,6 +72,11 @@ def _messages(raw: DataFrame, *carried: str) -> DataFrame:
     )
 
 
+def _messages(raw: DataFrame, *carried: str) -> DataFrame:
+    """One row per telemetry message; `text` is set only where the typed payload is NULL."""
+    return _unfolded(_documents(raw, *carried), *carried)
+
+
 def expand_telemetry(raw: DataFrame) -> DataFrame:
     """One row per payload field: Subject, Timestamp, Name, Value.
 
@@ -78,36 +95,31 @@ def expand_telemetry(raw: DataFrame) -> DataFrame:
 
 def telemetry_rejects(raw: DataFrame) -> DataFrame:
     """What `expand_telemetry` leaves out: payload, Subject, Name, reason."""
-    unread = raw.where(
-        F.col("payload").isNotNull() & F.from_json("payload", TELEMETRY_MESSAGES).isNull()
-    ).select(
-        "payload",
-        F.lit(None).cast("string").alias("Subject"),
-        F.lit(None).cast("string").alias("Name"),
-        F.lit("not a message or an array of messages").alias("reason"),
+    none = F.lit(None).cast("string")
+    documents = _documents(raw.where(F.col("payload").isNotNull()).withColumn("document", F.col("payload")), "document")
+    odd = F.transform(F.filter("elements", lambda e: e.isNull() | ~_is_object(e)), lambda e: F.lit("element is not a message"))
+    reasons = F.when(F.col("messages").isNull(), F.array(F.lit("not a message or an array of messages"))).otherwise(odd)
+    unread = unfold(documents.withColumn("reasons", reasons), F.col("reasons"), "reason", "document").select(
+        F.col("document").alias("payload"), none.alias("Subject"), none.alias("Name"), "reason"
     )
-    messages = _messages(raw.withColumn("document", F.col("payload")), "document").where(
-        F.col("typed").isNull()
+
+    def reject(name: Column, reason: str) -> Column:
+        return F.struct(name.alias("Name"), F.lit(reason).alias("reason"))
+
+    entries = _payload_entries(F.col("text"))
+    fields = F.transform(
+        F.filter(entries, lambda e: e["value"].isNotNull() & ~_is_object(e["value"])),
+        lambda e: reject(e["key"], "payload field is not an object"),
     )
-    shapeless = messages.where(
-        F.col("text").isNotNull() & _payload_entries(F.col("text")).isNull()
-    ).select(
-        F.col("document").alias("payload"),
-        "Subject",
-        F.lit(None).cast("string").alias("Name"),
-        F.lit("payload is neither an object nor an array of objects").alias("reason"),
+    found = (
+        F.when(F.col("text").isNull() | (F.col("text") == "null"), F.array(reject(none, "message has no payload")))
+        .when(entries.isNull(), F.array(reject(none, "payload is neither an object nor an array of objects")))
+        .otherwise(fields)
     )
-    fields = (
-        unfold(messages, _payload_entries(F.col("text")), "e", "document", "Subject")
-        .where(F.col("e.value").isNotNull() & ~_is_object(F.col("e.value")))
-        .select(
-            F.col("document").alias("payload"),
-            "Subject",
-            F.col("e.key").alias("Name"),
-            F.lit("payload field is not an object").alias("reason"),
-        )
+    lost = unfold(_unfolded(documents, "document").where("typed IS NULL"), found, "r", "document", "Subject").select(
+        F.col("document").alias("payload"), "Subject", "r.Name", "r.reason"
     )
-    return unread.unionByName(shapeless).unionByName(fields)
+    return unread.unionByName(lost)
 
 
 def expand_metadata(raw: DataFrame, lenient: bool = False) -> DataFrame:

@@ -39,14 +39,15 @@ def roots(edges: DataFrame) -> DataFrame:
     return parents.join(edges.select(F.col("child").alias("node")).distinct(), "node", "left_anti")
 
 
-def hierarchy_paths(edges: DataFrame, max_depth: int = 16) -> DataFrame:
-    """Every path from a root: node, depth and the joined path."""
+def hierarchy_paths(edges: DataFrame) -> DataFrame:
+    """Every path from a root: node, depth and the joined path. A path ends before a node it already holds."""
     steps = edges.select("parent", "child").distinct()
     frontier = checkpoint(
         roots(edges).select("node", F.lit(0).alias("depth"), F.array("node").alias("path"))
     )
-    found = frontier
-    for depth in range(1, max_depth + 1):
+    found, depth = frontier, 0
+    while True:
+        depth += 1
         longer = frontier.join(steps, F.col("node") == F.col("parent")).where(
             ~F.array_contains("path", F.col("child"))
         )

@@ -3,8 +3,6 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantlake.operators.sized import broadcast_if_small
-
 SERIES = ["Subject", "Name"]
 
 
@@ -16,11 +14,11 @@ def metadata_lkv(metadata: DataFrame, ties: bool = True) -> DataFrame:
     key are left out either way.
     """
     keyed = metadata.where(F.col("Subject").isNotNull() & F.col("Name").isNotNull())
-    # A first pass hashes three narrow columns; the wide rows are then filtered by its result, as
-    # a rule without a shuffle. With too many series they are shuffled by series and timestamp, so
-    # that a series resent a billion times still spreads over all tasks.
+    # A first pass hashes three narrow columns; the wide rows are then filtered by its result. Where
+    # that is a shuffle it is one by series and timestamp, so that a series resent a billion times still
+    # spreads over all tasks.
     latest = keyed.groupBy(*SERIES).agg(F.max("Timestamp").alias("Timestamp"))
-    tied = keyed.join(broadcast_if_small(latest), [*SERIES, "Timestamp"], "left_semi").select(
+    tied = keyed.join(latest, [*SERIES, "Timestamp"], "left_semi").select(
         *metadata.columns
     )
     return tied if ties else newest(tied)

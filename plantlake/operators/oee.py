@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from plantlake.functions.text import matches, not_empty, number, percent
 from plantlake.operators.lkv import writers_of
 from plantlake.operators.shifts import with_windows
-from plantlake.operators.sized import broadcast_if_small, narrow
 from plantlake.operators.timerange import between_open, utc
 from plantlake.schemas import (
     DEFAULT_SHIFTS,
@@ -99,7 +98,7 @@ def oee_station(
 ) -> DataFrame:
     """One row: the counters, factors and oee of a station in a window."""
     writers = writers_of(lkv, station, location, how)
-    readings = narrow(between_open(telemetry, start, end), writers, ["Subject"])
+    readings = between_open(telemetry, start, end)
     wanted = counters(readings, "Subject").join(writers, "Subject", "left_semi")
     return add_factors(merge_counters(wanted), _window_ms(start, end), F.lit(ideal_cycle_ms))
 
@@ -120,17 +119,17 @@ def oee_stations_of_line(
     """One row per production station of a site, all from one pass over telemetry.
 
     A writer belongs to every station whose name its data set name contains. That test has no
-    equality to join on; it runs on the distinct names of one site against the stations of that
-    site, never on telemetry.
+    equality to join on, so the stations of the one site, a list as short as a plant has workcells, are
+    held as one value and tested within each distinct name; names and stations are not joined.
     """
     stations = production_stations(lkv, location)
-    writers = (
-        lkv.where(matches("DataSetName", location, how)).select("Subject", "DataSetName").distinct()
-    )
-    member = matches(writers["DataSetName"], stations["station"], how)
-    members = stations.join(writers, member, "left").select("station", "Subject").distinct()
-    readings = narrow(between_open(telemetry, start, end), writers, ["Subject"])
-    per_writer = counters(readings, "Subject")
+    names = stations.agg(F.sort_array(F.collect_set("station")))
+    writers = lkv.where(matches("DataSetName", location, how)).select("Subject", "DataSetName").distinct()
+    writers = writers.withColumn("names", names.scalar())
+    of = F.filter("names", lambda station: matches(F.col("DataSetName"), station, how))
+    members = writers.select("Subject", F.explode(of).alias("station")).distinct()
+    members = stations.join(members, "station", "left")
+    per_writer = counters(between_open(telemetry, start, end), "Subject")
     totals = merge_counters(members.join(per_writer, "Subject", "left"), "station")
     return add_factors(totals, _window_ms(start, end), F.lit(ideal_cycle_ms))
 
@@ -180,7 +179,7 @@ def oee_by_shift(
     shift's bounds. Readings shrink to minutes before the join with the writers; the shift
     is computed from the row itself.
     """
-    writers = broadcast_if_small(production_writers(lkv, sites))
+    writers = production_writers(lkv, sites)
     located = minute_counters(telemetry).join(writers, "Subject")
     until = F.when(F.col("on_minute"), F.col("minute")).otherwise(
         F.col("minute") + F.expr("INTERVAL 1 MINUTE")

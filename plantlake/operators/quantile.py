@@ -1,31 +1,51 @@
 """Exact medians of large groups."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantlake.operators.sized import broadcast_if_small
+from plantlake.session import checkpoint
 
-# Rank error of the sketch and half-width of the bracket taken around the median. The bracket
-# is ten times wider than the error, so it always holds the median.
+# Rank error of the sketch and half-width of the bracket first taken around the median. The bracket is
+# ten times wider than the error; a group whose median it should still miss is bracketed again, wider.
 ACCURACY = 10_000
 MARGIN = 0.001
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Median of `value` per group as a double, NULLs left out.
+    """Median of `value` per group as a double, NULL values left out; a NULL key is a group.
 
     A mergeable sketch of fixed size brackets the median of each group. In a second pass values
     above the bracket are dropped and those below it count as one, before anything is shuffled;
-    only distinct values inside the bracket, about two in a thousand, are ranked one by one. No
-    group is ever sorted or held as a whole.
+    only distinct values inside the bracket, about two in a thousand, are ranked one by one. The ranks
+    show whether the bracket held the median. No group is ever sorted or held as a whole.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    bracket = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY).alias("_b"),
+    margin = MARGIN
+    ranked = checkpoint(_bracketed(rows, keys, margin))
+    found = ranked.where("median IS NOT NULL")
+    while margin < 0.5 and not (missed := ranked.where("median IS NULL")).isEmpty():
+        margin *= 10
+        again = missed.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+        ranked = checkpoint(_bracketed(rows.join(again, _same(keys), "left_semi"), keys, min(margin, 0.5)))
+        found = found.unionByName(ranked.where("median IS NOT NULL"))
+    return found
+
+
+def _same(keys: list[str]):
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+
+
+def _bracketed(rows: DataFrame, keys: list[str], margin: float) -> DataFrame:
+    """The median per group, NULL where the bracket does not hold it."""
+    bracket = rows.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], ACCURACY).alias("_b"),
         F.count(F.lit(1)).alias("_total"),
     )
     near = (
-        rows.join(broadcast_if_small(bracket), keys)
+        rows.join(bracket, _same(keys))
         .where(F.col("_v") <= F.col("_b")[1])
         .groupBy(*keys, "_total", F.when(F.col("_v") >= F.col("_b")[0], F.col("_v")).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -39,6 +59,4 @@ def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     def covers(rank):
         return F.when((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank), F.col("_v"))
 
-    return ranked.groupBy(*keys).agg(
-        ((F.max(covers(low)) + F.max(covers(high))) / 2).alias("median")
-    )
+    return ranked.groupBy(*keys).agg(((F.max(covers(low)) + F.max(covers(high))) / 2).alias("median"))

@@ -5,16 +5,18 @@ from pyspark.sql import functions as F
 
 from plantlake.schemas import BREAK_HOURS, DEFAULT_SHIFTS
 
-MAX_SHIFTS = 100
-SLACK_MIN = 180
+# No zone ever changed its offset by more than a day; wall clocks are off by at most that and an hour.
+SLACK_MIN = 25 * 60
 
 
 def calendar_rows(calendar: DataFrame) -> tuple[tuple[str, int, int], ...]:
-    """A calendar table (shift, start_min, end_min) as a parameter, refusing one that is no calendar."""
-    rows = calendar.select("shift", "start_min", "end_min").take(MAX_SHIFTS + 1)
-    if len(rows) > MAX_SHIFTS:
-        raise ValueError(f"a shift calendar holds at most {MAX_SHIFTS} shifts")
-    return tuple((r["shift"], r["start_min"], r["end_min"]) for r in rows)
+    """A calendar table (shift, start_min, end_min) as a parameter; with a `position` column in its order.
+
+    A calendar describes one day, so it is a parameter, not data. For window tables use `join_windows`.
+    """
+    if "position" in calendar.columns:
+        calendar = calendar.orderBy("position")
+    return tuple((r["shift"], r["start_min"], r["end_min"]) for r in calendar.collect())
 
 
 def parse_calendar(lines: DataFrame, line_col: str = "value") -> DataFrame:
@@ -67,15 +69,15 @@ def with_windows(df: DataFrame, ts_col: str, zone_col: str = "tz", shifts=DEFAUL
     """Rows with the shift windows near them: shift, shift_day, start_ts and end_ts (UTC).
 
     Zone conversions cost more than anything else here. One per row picks the shifts whose
-    wall-clock hours are at most SLACK_MIN away, and only these get exact bounds, so a caller
-    still compares the instant with the bounds. Zone changes of up to SLACK_MIN stay exact.
+    wall-clock hours are at most SLACK_MIN away, on the local day, the two before and the one after, and
+    only these get exact bounds, so a caller still compares the instant with the bounds.
     """
     local, tod = "_local", "_tod"
     options = []
     for name, start_min, end_min in shifts:
         wraps = end_min < start_min
         stop = end_min + 1440 if wraps else end_min
-        for back in (0, 1) if wraps else (0,):
+        for back in (-1, 0, 1, 2):
             # Minutes since the midnight on which the shift's day began.
             at = F.col(tod) + 1440 * back
             options.append(

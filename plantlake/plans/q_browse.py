@@ -168,13 +168,13 @@ def state_durations(p: Plant):
 
 @query(
     "anomaly_zscore",
-    """, r AS (SELECT Subject, Timestamp, CAST(Value AS DECIMAL(18,4)) AS v, date_trunc('hour', Timestamp) AS g FROM big WHERE Name = 'Pressure'),
-       h AS (SELECT Subject, g, count(*) AS n, CAST(sum(v) AS DOUBLE) AS s, CAST(sum(CAST(v * v AS DECIMAL(38,8))) AS DOUBLE) AS q FROM r GROUP BY 1, 2),
-       b AS (SELECT Subject, g, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(q) OVER w AS q FROM h
-             WINDOW w AS (PARTITION BY Subject ORDER BY g RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 SECOND PRECEDING))
-       SELECT Subject, Timestamp, CAST(v AS DOUBLE) AS value, round((CAST(v AS DOUBLE) - s / n) / sqrt(var), 6) AS zscore
-       FROM (SELECT r.*, b.n, b.s, (b.q - b.s * b.s / b.n) / (b.n - 1) AS var FROM r JOIN b ON b.Subject = r.Subject AND b.g = r.g WHERE b.n >= 3) x
-       WHERE var > 1e-9""",
+    """SELECT Subject, Timestamp, v AS value,
+         CASE WHEN count(v) OVER w >= 3 AND stddev_samp(v) OVER w > 1e-6
+           THEN round((v - avg(v) OVER w) / stddev_samp(v) OVER w, 6) END AS zscore
+       FROM (SELECT Subject, Timestamp, TRY_CAST(Value AS DOUBLE) AS v FROM big WHERE Name = 'Pressure') r
+       WHERE v IS NOT NULL
+       WINDOW w AS (PARTITION BY Subject ORDER BY Timestamp
+         RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)""",
     "big",
 )
 def anomaly_zscore(p: Plant):
@@ -222,13 +222,13 @@ def product_trace(p: Plant):
 
 @query(
     "carbon_footprint",
-    """, i AS (SELECT Subject, Timestamp, sum(CASE WHEN Name = 'EnergyConsumption' THEN CAST(Value AS DECIMAL(18,4)) END) AS kwh,
+    """, i AS (SELECT Subject, Timestamp, sum(CASE WHEN Name = 'EnergyConsumption' THEN TRY_CAST(Value AS DOUBLE) END) AS kwh,
             max(CASE WHEN Name = 'ProductSerialNumber' THEN Value END) AS serial FROM tel
           WHERE Name IN ('EnergyConsumption', 'ProductSerialNumber') GROUP BY 1, 2),
        a AS (SELECT Subject, kwh, last_value(serial IGNORE NULLS) OVER (PARTITION BY Subject ORDER BY Timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS serial FROM i),
-       g AS (SELECT s.Site, CAST(CAST(avg(s_acctbal) + 400 AS DECIMAL(18,4)) AS DECIMAL(16,6)) AS g_per_kwh FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
+       g AS (SELECT s.Site, avg(s_acctbal) + 400 AS g_per_kwh FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
              JOIN sites s ON s.Site = lower(replace(r_name, ' ', '')) WHERE s.Site <> 'asia' GROUP BY 1)
-       SELECT serial, CAST(sum(kwh) AS DOUBLE) AS kwh, CAST(round(sum(CAST(kwh AS DECIMAL(18,4)) * coalesce(g.g_per_kwh, (SELECT CAST(avg(g_per_kwh) AS DECIMAL(16,6)) FROM g))), 3) AS DOUBLE) AS g_co2
+       SELECT serial, round(sum(kwh), 4) AS kwh, round(sum(kwh * coalesce(g.g_per_kwh, (SELECT avg(g_per_kwh) FROM g))), 3) AS g_co2
        FROM a JOIN writers w ON w.writer = CAST(a.Subject AS BIGINT) LEFT JOIN g ON g.Site = w.Site
        WHERE serial IS NOT NULL AND kwh IS NOT NULL GROUP BY 1""",
     "tel", "writers", "sites",
@@ -237,10 +237,10 @@ def carbon_footprint(p: Plant):
     """Intensities of all sites but one, which takes the average."""
     p.sites.createOrReplaceTempView("sites")
     intensity = p.sql(
-        """SELECT lower(replace(r_name, ' ', '')) AS Site, CAST(avg(s_acctbal) + 400 AS DECIMAL(18,4)) AS g_per_kwh FROM supplier
+        """SELECT lower(replace(r_name, ' ', '')) AS Site, avg(s_acctbal) + 400 AS g_per_kwh FROM supplier
            JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
            WHERE r_name <> 'ASIA' GROUP BY 1"""
     )
     where = p.writers.select(F.col("writer").cast("string").alias("Subject"), "Site")
     result = analytics.carbon_footprint(p.tel, where, intensity)
-    return result.select("serial", "kwh", F.round("g_co2", 3).cast("double").alias("g_co2"))
+    return result.select("serial", F.round("kwh", 4).alias("kwh"), F.round("g_co2", 3).alias("g_co2"))

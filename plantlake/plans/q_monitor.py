@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from plantlake.functions import sqlfuncs, text
 from plantlake.operators import analytics, lkv, monitor, oee, shifts
-from plantlake.operators.sized import broadcast_if_small
 from plantlake.plans.fixtures import Plant
 from plantlake.plans.registry import query
 
@@ -164,24 +163,24 @@ def counter_delta(p: Plant):
 
 @query(
     "counter_delta_safe",
-    """SELECT Subject, CAST(sum(CASE WHEN nv >= v THEN nv - v ELSE nv END) AS DOUBLE) AS increase FROM (
+    """SELECT Subject, round(sum(CASE WHEN nv >= v THEN nv - v ELSE nv END), 4) AS increase FROM (
          SELECT Subject, v, lead(v) OVER (PARTITION BY Subject ORDER BY Timestamp) AS nv FROM (
-           SELECT Subject, Timestamp, max(CAST(Value AS DECIMAL(18,4))) AS v FROM big
+           SELECT Subject, Timestamp, max(TRY_CAST(Value AS DOUBLE)) AS v FROM big
            WHERE Name = 'NumberOfManufacturedProducts' GROUP BY 1, 2) a) b
        WHERE nv IS NOT NULL GROUP BY 1""",
     "big",
 )
 def counter_delta_safe(p: Plant):
-    return analytics.counter_delta_safe(p.big).withColumn("increase", F.col("increase").cast("double"))
+    return analytics.counter_delta_safe(p.big).withColumn("increase", F.round("increase", 4))
 
 
 @query(
     "fault_time",
-    "SELECT Subject, CAST(sum(CAST(Value AS DECIMAL(18,4))) AS DOUBLE) AS faulty_ms FROM tel WHERE Name = 'FaultyTime' GROUP BY 1",
+    "SELECT Subject, round(sum(TRY_CAST(Value AS DOUBLE)), 4) AS faulty_ms FROM tel WHERE Name = 'FaultyTime' GROUP BY 1",
     "tel",
 )
 def fault_time(p: Plant):
-    return analytics.fault_time(p.tel, ["Subject"])
+    return analytics.fault_time(p.tel, ["Subject"]).withColumn("faulty_ms", F.round("faulty_ms", 4))
 
 
 @query(
@@ -361,7 +360,7 @@ LOCAL = """SELECT b.Subject, b.Timestamp, b.Name, s.Site, (b.Timestamp AT TIME Z
 )
 def shift_assign(p: Plant):
     where = p.writers.select(F.col("writer").cast("string").alias("Subject"), "Site").join(p.sites, "Site")
-    assigned = shifts.assign_shift(p.big.join(broadcast_if_small(where), "Subject"))
+    assigned = shifts.assign_shift(p.big.join(where, "Subject"))
     return assigned.groupBy("Site", "Name", "shift", F.col("shift_day").cast("string").alias("shift_day")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -379,7 +378,7 @@ def shift_assign(p: Plant):
 def shift_window_join(p: Plant):
     windows = shifts.shift_windows(p.sites, "2023-12-30", "2024-02-02")
     where = p.writers.select(F.col("writer").cast("string").alias("Subject"), "Site")
-    joined = shifts.join_windows(p.big.join(broadcast_if_small(where), "Subject"), windows, ["Site"])
+    joined = shifts.join_windows(p.big.join(where, "Subject"), windows, ["Site"])
     return joined.groupBy("Site", "shift", F.col("shift_day").cast("string").alias("shift_day"), "Name").agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -87,14 +87,10 @@ def test_empty_workcell_is_no_station(spark):
     assert [r["station"] for r in stations] == ["assembly"]
 
 
-@pytest.mark.parametrize("limit", [0, 10_000])
-def test_small_and_large_key_sets_agree(spark, monkeypatch, limit):
-    from plantlake.operators import sized
-
-    monkeypatch.setattr(sized.narrow, "__defaults__", (limit,))
-    monkeypatch.setattr(sized.keep_matching, "__defaults__", (limit,))
-    md = metadata(spark, [("1", "assembly", "munich", 1)])
-    assert station(spark, telemetry(spark, HAND), md)["oee"] == pytest.approx(0.714286, abs=1e-6)
+def test_one_plan_at_every_size(spark):
+    md = lkv.metadata_lkv(metadata(spark, [("1", "assembly", "munich", 1)]))
+    plan = oee.oee_station(telemetry(spark, HAND), md, "assembly", "munich", 6000, *WINDOW)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower() and "LocalLimit" not in plan
 
 
 @pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin", "America/Los_Angeles"])

@@ -140,7 +140,7 @@ def test_ingest_health(spark):
     assert got == {"a": (True, True), "b": (True, False), "c": (False, False)}
 
 
-def test_station_filter_reaches_the_scan(spark, tmp_path):
+def test_name_and_date_filters_reach_the_scan(spark, tmp_path):
     from test_oee import HAND, metadata, telemetry
 
     from plantlake.operators.oee import oee_station
@@ -157,4 +157,4 @@ def test_station_filter_reaches_the_scan(spark, tmp_path):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line and "Value" in line)
     assert "PartitionFilters: [isnotnull(date" in scan
-    assert "EqualTo(Subject,1)" in scan and "In(Name" in scan
+    assert "IsNotNull(Subject)" in scan and "In(Name" in scan
