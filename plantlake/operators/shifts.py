@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from plantlake.schemas import BREAK_HOURS, DEFAULT_SHIFTS
 
-# No zone ever changed its offset by more than a day; wall clocks are off by at most that and an hour.
-SLACK_MIN = 25 * 60
+# No zone ever changed its offset by more than a day, so wall clocks are off by at most that and an hour. Where
+# the offset is the same a day and two hours before and after, only a change that was undone meanwhile is left.
+SLACK_MIN, CHANGED_SLACK_MIN = 180, 25 * 60
 
 
 def calendar_rows(calendar: DataFrame) -> tuple[tuple[str, int, int], ...]:
@@ -68,9 +69,10 @@ def shift_windows(sites: DataFrame, first_day: str, last_day: str, shifts=DEFAUL
 def with_windows(df: DataFrame, ts_col: str, zone_col: str = "tz", shifts=DEFAULT_SHIFTS) -> DataFrame:
     """Rows with the shift windows near them: shift, shift_day, start_ts and end_ts (UTC).
 
-    Zone conversions cost more than anything else here. One per row picks the shifts whose
-    wall-clock hours are at most SLACK_MIN away, on the local day, the two before and the one after, and
-    only these get exact bounds, so a caller still compares the instant with the bounds.
+    Zone conversions cost more than anything else here. Three per row tell the wall clock and whether the
+    zone's offset changes around it; with them the shifts are picked whose wall-clock hours are at most SLACK_MIN
+    away, or CHANGED_SLACK_MIN around a change, on the local day, the two before and the one after. Only
+    these get exact bounds, so a caller still compares the instant with the bounds.
     """
     local, tod = "_local", "_tod"
     options = []
@@ -82,7 +84,7 @@ def with_windows(df: DataFrame, ts_col: str, zone_col: str = "tz", shifts=DEFAUL
             at = F.col(tod) + 1440 * back
             options.append(
                 F.when(
-                    at.between(start_min - SLACK_MIN, stop + SLACK_MIN),
+                    at.between(F.lit(start_min) - F.col("_slack"), F.lit(stop) + F.col("_slack")),
                     F.struct(
                         F.lit(name).alias("shift"),
                         F.date_sub(F.to_date(local), back).alias("shift_day"),
@@ -96,9 +98,14 @@ def with_windows(df: DataFrame, ts_col: str, zone_col: str = "tz", shifts=DEFAUL
         wall = F.col("shift_day").cast("timestamp") + F.make_dt_interval(mins=F.col(minute))
         return F.to_utc_timestamp(wall, F.col(zone_col))
 
+    def wall(shift: str) -> Column:
+        return F.from_utc_timestamp(F.col(ts_col) + F.expr(shift), F.col(zone_col)) - F.expr(shift)
+
+    steady = (wall("INTERVAL 26 HOUR") == F.col(local)) & (wall("INTERVAL -26 HOUR") == F.col(local))
     return (
         df.withColumn(local, F.from_utc_timestamp(F.col(ts_col), F.col(zone_col)))
         .withColumn(tod, F.hour(local) * 60 + F.minute(local))
+        .withColumn("_slack", F.when(steady, SLACK_MIN).otherwise(CHANGED_SLACK_MIN))
         .select(*df.columns, F.inline(F.array_compact(F.array(*options))))
         .withColumns({"start_ts": bound("from_min"), "end_ts": bound("to_min")})
         .drop("from_min", "to_min")
