@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantlake.llm import components, words
@@ -317,7 +317,8 @@ def _possible(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
 
 def _across(met: DataFrame, drawn: DataFrame) -> DataFrame:
     """Pairs of a bucket, one looking up and one indexed, whose labels differ and whose sketches allow a link."""
-    sides = met.select("signature", "node", "role", "label").join(drawn, "node")
+    # Dealt by signature once, for both roles.
+    sides = met.select("signature", "node", "role", "label").join(drawn, "node").repartition("signature")
     asks = sides.where(F.col("role").bitwiseAND(F.lit(PROBE)) > 0).alias("x")
     has = sides.where(F.col("role").bitwiseAND(F.lit(INDEX)) > 0).alias("y")
     both = asks.join(has, F.expr(f"x.signature = y.signature AND x.label <> y.label AND {_may_link('x', 'y')}"))
@@ -357,9 +358,10 @@ def grouped(df: DataFrame) -> DataFrame:
     label = components.labels(found)
     # The least and the largest member of a bucket have been compared with all others.
     inner = met.where("node <> low AND node <> high").join(label, "node", "left")
-    inner = stored(inner.select("signature", "node", "role", F.coalesce("label", "node").alias("label")), "inner")
-    mixed = inner.groupBy("signature").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    rest = inner.join(mixed.select("signature"), "signature", "left_semi")
+    inner = inner.select("signature", "node", "role", F.coalesce("label", "node").alias("label"))
+    bucket = Window.partitionBy("signature")
+    mixed = inner.withColumns({"x": F.min("label").over(bucket), "y": F.max("label").over(bucket)}).where("x <> y")
+    rest = stored(mixed.drop("x", "y"), "inner")
     rest = stored(verified(_across(rest, drawn), nodes), "links")
     member = sets.where("shingles IS NOT NULL").join(named, ["print_a", "print_b"]).select("doc_id", "node")
     again = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
