@@ -221,7 +221,9 @@ def profiles(df: DataFrame) -> DataFrame:
     alone = tokens.groupBy("token").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other"))
     alone = alone.where("doc_id = other").groupBy("doc_id").agg(F.count("*").alias("own"))
     alone = stored(alone.join(several, "doc_id", "left_anti"), "own-shingles")
-    return stored(rows.join(alone, "doc_id", "left").select("doc_id", "text", "own").mapInArrow(_profiles, PROFILE), "sets")
+    # A shuffle at every size: the counts grow with the documents, and texts need not be sorted for a hash join.
+    counted = rows.join(alone.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "own")
+    return stored(counted.mapInArrow(_profiles, PROFILE), "sets")
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
