@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.functions.text import matches
+
 SERIES = ["Subject", "Name"]
 
 
@@ -37,18 +39,24 @@ def newest(metadata: DataFrame) -> DataFrame:
     )
 
 
-def latest_values(telemetry: DataFrame, ids: DataFrame | None = None) -> DataFrame:
-    """Latest value, timestamp and quality per series; of equal timestamps the greatest value.
-
-    `ids` (ElementId, Subject, Name) limits and labels the series.
-    """
-    latest = (
+def newest_values(telemetry: DataFrame) -> DataFrame:
+    """The last reading of every series, of equal timestamps the one with the greatest value."""
+    return (
         telemetry.where(F.col("Timestamp").isNotNull())
         .groupBy(*SERIES)
         .agg(F.max(F.struct("Timestamp", "Value")).alias("last"))
-        .select(*SERIES, "last.Timestamp", "last.Value")
-        .withColumn("Quality", F.when(F.col("Value").isNotNull(), "Good").otherwise("Bad"))
+        .select("Subject", "last.Timestamp", "Name", "last.Value")
     )
+
+
+def latest_values(telemetry: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """Latest value, timestamp and quality per series; of equal timestamps the greatest value.
+
+    `ids` (ElementId, Subject, Name) limits and labels the series. `telemetry` is the history or, at scale, the
+    last readings that the streaming job keeps.
+    """
+    quality = F.when(F.col("Value").isNotNull(), "Good").otherwise("Bad")
+    latest = newest_values(telemetry).select(*SERIES, "Timestamp", "Value", quality.alias("Quality"))
     # Joined after the aggregation: the join sees one row per series, not the history.
     return latest if ids is None else ids.join(latest, SERIES)
 
@@ -57,8 +65,6 @@ def writers_of(
     lkv: DataFrame, station: str, location: str, how: str = "like"
 ) -> DataFrame:
     """Distinct Subjects whose data set name matches a station and a location."""
-    from plantlake.functions.text import matches
-
     return (
         lkv.where(matches("DataSetName", station, how) & matches("DataSetName", location, how))
         .select("Subject")

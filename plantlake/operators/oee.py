@@ -51,6 +51,15 @@ def counters(telemetry: DataFrame, *keys) -> DataFrame:
     )
 
 
+def combine_counters(parts: DataFrame, *keys) -> DataFrame:
+    """Counters of several writers or minutes as counters per key, to be merged later on."""
+    return parts.groupBy(*keys).agg(
+        *[F.max(f"{name}_max").alias(f"{name}_max") for name in ("good", "scrap")],
+        *[F.min(f"{name}_min").alias(f"{name}_min") for name in ("good", "scrap")],
+        F.sum("faulty_sum").alias("faulty_sum"),
+    )
+
+
 def merge_counters(parts: DataFrame, *keys) -> DataFrame:
     """Combine counters of several writers or minutes into good, scrap and faulty per key."""
 
@@ -170,21 +179,17 @@ def production_writers(lkv: DataFrame, sites: DataFrame) -> DataFrame:
     return writers.join(sites.select("Site", "tz", "ideal_cycle_ms"), "Site")
 
 
-def oee_by_shift(
-    telemetry: DataFrame, lkv: DataFrame, sites: DataFrame, shifts=DEFAULT_SHIFTS
-) -> DataFrame:
-    """OEE of every production station in every shift it sent data in, in one job.
+def shift_counters(telemetry: DataFrame, lkv: DataFrame, sites: DataFrame, shifts=DEFAULT_SHIFTS) -> DataFrame:
+    """Counters per writer and minute with the station and the shift they fall into.
 
-    `sites` has Site, tz and ideal_cycle_ms. Each row equals `oee_station` called with that
-    shift's bounds. Readings shrink to minutes before the join with the writers; the shift
-    is computed from the row itself.
+    Readings shrink to minutes before the join with the writers; the shift is computed from the row itself.
     """
     writers = production_writers(lkv, sites)
     located = minute_counters(telemetry).join(writers, "Subject")
     until = F.when(F.col("on_minute"), F.col("minute")).otherwise(
         F.col("minute") + F.expr("INTERVAL 1 MINUTE")
     )
-    in_shift = (
+    return (
         with_windows(located.withColumn("until", until), "minute", "tz", shifts)
         .where(
             F.when(F.col("on_minute"), F.col("start_ts") < F.col("minute")).otherwise(
@@ -197,9 +202,24 @@ def oee_by_shift(
             )
         )
     )
+
+
+def oee_of_shifts(parts: DataFrame) -> DataFrame:
+    """OEE per station and shift from any parts of its counters."""
     keys = ["Site", "Workcell", "shift_day", "shift", "start_ts", "end_ts", "ideal_cycle_ms"]
     window = F.unix_millis("end_ts") - F.unix_millis("start_ts")
-    return add_factors(merge_counters(in_shift, *keys), window, F.col("ideal_cycle_ms"))
+    return add_factors(merge_counters(parts, *keys), window, F.col("ideal_cycle_ms"))
+
+
+def oee_by_shift(
+    telemetry: DataFrame, lkv: DataFrame, sites: DataFrame, shifts=DEFAULT_SHIFTS
+) -> DataFrame:
+    """OEE of every production station in every shift it sent data in, in one job.
+
+    `sites` has Site, tz and ideal_cycle_ms. Each row equals `oee_station` called with that
+    shift's bounds.
+    """
+    return oee_of_shifts(shift_counters(telemetry, lkv, sites, shifts))
 
 
 def low_oee_alerts(oee: DataFrame, threshold_pct: float = 10) -> DataFrame:

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.session import require_utc
+
 
 def utc(value) -> Column:
     """A timestamp literal from a Column or ISO-8601 text (UTC unless it has an offset)."""
@@ -13,6 +15,7 @@ def _prune(df: DataFrame, start: Column | None, end: Column | None) -> DataFrame
     # A table written by `write_telemetry` is partitioned by the UTC date of Timestamp; that
     # predicate is stated because it does not follow from the one on Timestamp by itself.
     if "date" in df.columns:
+        require_utc(df.sparkSession)
         if start is not None:
             df = df.where(F.col("date") >= F.to_date(start))
         if end is not None:

@@ -328,13 +328,12 @@ def oee_by_shift(p: Plant):
     )
 
 
-@query(
-    "oee_alert",
-    _with_windows(
-        f"SELECT Site, Workcell, shift_day, shift, round(oee * 100, 2) AS oee_pct FROM ({BY_SHIFT}) s WHERE round(oee * 100, 2) < 10"
-    ),
-    "big", "lkv", "sites",
+LOW_SHIFTS = _with_windows(
+    f"SELECT Site, Workcell, shift_day, shift, round(oee * 100, 2) AS oee_pct FROM ({BY_SHIFT}) s WHERE round(oee * 100, 2) < 10"
 )
+
+
+@query("oee_alert", LOW_SHIFTS, "big", "lkv", "sites")
 def oee_alert(p: Plant):
     alerts = oee.low_oee_alerts(_by_shift(p))
     return alerts.select(
@@ -483,12 +482,11 @@ def fault_alerts_repeated(p: Plant):
     return monitor.fault_alerts(p.tel, p.md, "2024-01-20T12:00:00Z", repeat=True).drop("message")
 
 
-@query(
-    "pressure_trigger",
-    f"""SELECT Subject, Timestamp, TRY_CAST(Value AS DOUBLE) AS pressure, 'ns=2;i=424' AS object_id, 'ns=2;i=435' AS method_id,
+COMMANDS = f"""SELECT Subject, Timestamp, TRY_CAST(Value AS DOUBLE) AS pressure, 'ns=2;i=424' AS object_id, 'ns=2;i=435' AS method_id,
           'plant/asset-operations/assembly-europe-asset/managementGroup/OpenPressureReliefValve' AS topic
-        FROM tel WHERE Name = 'Pressure' AND TRY_CAST(Value AS DOUBLE) > 2520 AND Subject IN (SELECT Subject FROM lkv WHERE {STATION})""",
-    "tel", "lkv",
-)
+        FROM tel WHERE Name = 'Pressure' AND TRY_CAST(Value AS DOUBLE) > 2520 AND Subject IN (SELECT Subject FROM lkv WHERE {STATION})"""
+
+
+@query("pressure_trigger", COMMANDS, "tel", "lkv")
 def pressure_trigger(p: Plant):
     return monitor.pressure_trigger(p.tel, p.lkv, "assembly", "europe", 2520, topic_root="plant/")

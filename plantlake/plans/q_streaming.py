@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from plantlake.operators import monitor
 from plantlake.plans.fixtures import Plant
 from plantlake.plans.messages import batched_messages, metadata_messages, single_messages
-from plantlake.plans.q_monitor import FAULTS, MD
+from plantlake.plans.q_monitor import COMMANDS, FAULTS, LOW_SHIFTS, MD
 from plantlake.plans.registry import query
 from plantlake.schemas import METADATA_SCHEMA, TELEMETRY_SCHEMA
 from plantlake.session import scratch
@@ -65,7 +65,7 @@ def stream_land_and_expand(p: Plant):
     topic = _topic(single_messages(p), root, "topic")
     raw = jobs.read_topic(p.spark, "text", topic)
     jobs.land_and_expand(p.spark, raw, root, once=True).awaitTermination()
-    return p.spark.read.parquet(f"{root}/telemetry").drop("batch_id")
+    return p.spark.read.parquet(f"{root}/telemetry").drop("date", "batch_id")
 
 
 @query("mirror_parquet", "SELECT Subject, Timestamp, Name, Value, CAST(CAST(Timestamp AS DATE) AS VARCHAR) AS date FROM tel", "tel")
@@ -117,3 +117,58 @@ def stream_alerts(p: Plant):
     source = jobs.telemetry_stream(p.spark, f"{root}/telemetry")
     jobs.run_alerts(source, alerts, f"{root}/sink", once=True).awaitTermination()
     return p.spark.read.parquet(f"{root}/sink/alerts").drop("batch_id")
+
+
+@query(
+    "stream_values",
+    """SELECT Subject, Name, Timestamp, Value FROM (SELECT *, row_number() OVER (PARTITION BY Subject, Name
+         ORDER BY Timestamp DESC, Value DESC) AS rn FROM big) r WHERE rn = 1""",
+    "big",
+)
+def stream_values(p: Plant):
+    """Last reading per series kept up batch by batch, with merges and removals on the way."""
+    root = scratch(p.spark, "values")
+    p.big.repartition(6).write.parquet(f"{root}/telemetry")
+    source = jobs.telemetry_stream(p.spark, f"{root}/telemetry", {"maxFilesPerTrigger": "1"})
+    jobs.maintain_values(source, f"{root}/last", compact_every=2, once=True).awaitTermination()
+    return jobs.read_values(p.spark, f"{root}/last")
+
+
+@query("stream_oee_alert", LOW_SHIFTS, "big", "lkv", "sites")
+def stream_oee_alert(p: Plant):
+    """The alerts of the last batch of each shift: those over all of its readings."""
+    root = scratch(p.spark, "oee")
+    p.big.repartition(3).write.parquet(f"{root}/telemetry")
+    p.lkv.write.parquet(f"{root}/lkv")
+    source = jobs.telemetry_stream(p.spark, f"{root}/telemetry", {"maxFilesPerTrigger": "1"})
+    last_known = p.spark.read.parquet(f"{root}/lkv")
+    jobs.run_oee_alerts(source, last_known, p.sites, f"{root}/sink", once=True).awaitTermination()
+    shift = ["Site", "Workcell", "shift_day", "shift"]
+    sofar = p.spark.read.parquet(f"{root}/sink/counters")
+    final = sofar.groupBy(*shift).agg(F.max("batch_id").alias("batch_id"))
+    alerts = p.spark.read.parquet(f"{root}/sink/alerts").join(final, [*shift, "batch_id"], "left_semi")
+    return alerts.select(
+        "Site", "Workcell", F.col("shift_day").cast("string").alias("shift_day"), "shift", "oee_pct"
+    )
+
+
+@query("stream_pressure_trigger", COMMANDS, "tel", "lkv")
+def stream_pressure_trigger(p: Plant):
+    root = scratch(p.spark, "pressure")
+    p.tel.write.parquet(f"{root}/telemetry")
+    source = jobs.telemetry_stream(p.spark, f"{root}/telemetry")
+    jobs.run_pressure_commands(
+        source, p.lkv, "assembly", "europe", 2520, f"{root}/sink", once=True, topic_root="plant/"
+    ).awaitTermination()
+    return p.spark.read.parquet(f"{root}/sink/commands").drop("batch_id")
+
+
+@query("stream_metadata_dedup", "SELECT DISTINCT Subject, DataSetName, Name, MajorVersion, MinorVersion FROM md", "md")
+def stream_metadata_dedup(p: Plant):
+    """Every description sent twice, kept once."""
+    root = scratch(p.spark, "dedup")
+    p.md.unionByName(p.md).write.parquet(f"{root}/metadata")
+    stream = jobs.without_repeats(jobs.read_table_stream(p.spark, f"{root}/metadata", METADATA_SCHEMA))
+    jobs.write_append(stream, f"{root}/out", f"{root}/_checkpoint", once=True).awaitTermination()
+    out = p.spark.read.parquet(f"{root}/out")
+    return out.select("Subject", "DataSetName", "Name", "MajorVersion", "MinorVersion")

@@ -13,6 +13,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session in another zone, in which dates of partitions and bounds of ranges would not agree."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"plant timestamps are UTC but the session's zone is {zone}; call use_utc(spark)")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in spark.checkpoint.dir.
 
@@ -40,3 +47,25 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return os.path.join(shared_root(spark), "plantlake", f"{name}-{uuid.uuid4().hex}")
+
+
+def _at(spark: SparkSession, path: str):
+    """A path and the file system that holds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _at(spark, path)
+    return files.exists(place)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder; none if it does not exist."""
+    place, files = _at(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()] if files.exists(place) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place, files = _at(spark, path)
+    files.delete(place, True)

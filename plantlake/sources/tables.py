@@ -2,9 +2,12 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from plantlake.schemas import TABLES
+from plantlake.session import require_utc
+
+# Tables that are partitioned by the UTC date of their timestamp, which the time range functions prune on.
+DATED = ("telemetry",)
 
 
 def create_tables(spark: SparkSession, fmt: str = "parquet", tables: dict[str, str] = TABLES) -> list[str]:
@@ -12,7 +15,9 @@ def create_tables(spark: SparkSession, fmt: str = "parquet", tables: dict[str, s
     created = []
     for name, ddl in tables.items():
         if not spark.catalog.tableExists(name):
-            spark.catalog.createTable(name, source=fmt, schema=StructType.fromDDL(ddl))
+            dated = name in DATED
+            columns = f"{ddl}, date DATE" if dated else ddl
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} {'PARTITIONED BY (date)' if dated else ''}")
             created.append(name)
     return created
 
@@ -22,9 +27,11 @@ def missing_tables(spark: SparkSession, required: list[str]) -> list[str]:
 
 
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    """Append to a table, creating it on first use."""
+    """Append to a table, creating it on first use; a table by date gets its rows laid out by date."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
+        if "date" in spark.table(name).columns and "date" not in df.columns:
+            df = laid_out(df)
         df.select(*spark.table(name).columns).write.insertInto(name)
     else:
         df.write.format(fmt).saveAsTable(name)
@@ -45,6 +52,7 @@ def laid_out(telemetry: DataFrame) -> DataFrame:
     Filters on time then skip folders, and filters on name or writer skip row groups. Rebalancing
     gives files of even size: a date that is far larger than others is split.
     """
+    require_utc(telemetry.sparkSession)
     return (
         telemetry.withColumn("date", F.to_date("Timestamp"))
         .hint("rebalance", "date")

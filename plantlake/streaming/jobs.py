@@ -12,8 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.operators.analytics import throughput
 from plantlake.operators.expand import expand_metadata, expand_telemetry
-from plantlake.operators.lkv import newest
-from plantlake.schemas import METADATA_SCHEMA, RAW_SCHEMA, TELEMETRY_SCHEMA
+from plantlake.operators.lkv import newest, newest_values
+from plantlake.operators.monitor import pressure_trigger
+from plantlake.operators.oee import combine_counters, low_oee_alerts, oee_of_shifts, shift_counters
+from plantlake.schemas import DEFAULT_SHIFTS, METADATA_SCHEMA, RAW_SCHEMA, TELEMETRY_SCHEMA
+from plantlake.session import path_exists, remove_folder, require_utc, subfolders
 
 # Start at the beginning of a topic and go on if the broker dropped old messages.
 KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
@@ -65,6 +68,17 @@ def write_append(
     return _timed(writer, interval, once).start(path)
 
 
+def by_date(telemetry: DataFrame, files: int = 8) -> DataFrame:
+    """Telemetry with its UTC date, each batch in at most `files` files per date.
+
+    Readings are dealt to the files by their hash, so a date or a writer that holds most of a batch
+    is still written by several tasks.
+    """
+    require_utc(telemetry.sparkSession)
+    part = F.pmod(F.xxhash64("Subject", "Name", "Timestamp"), F.lit(files))
+    return telemetry.withColumn("date", F.to_date("Timestamp")).repartition("date", part)
+
+
 def land(spark, fmt, topic, root, table, options=None, interval=None, once=False) -> StreamingQuery:
     """Topic to raw table, unparsed."""
     raw = read_topic(spark, fmt, topic, options)
@@ -78,7 +92,7 @@ def expand(spark, root, kind, interval=None, once=False, options=None) -> Stream
     """
     raw = read_table_stream(spark, f"{root}/{kind}_raw", RAW_SCHEMA, options=options)
     if kind == "telemetry":
-        rows, parts = expand_telemetry(raw).withColumn("date", F.to_date("Timestamp")), ["date"]
+        rows, parts = by_date(expand_telemetry(raw)), ["date"]
     else:
         rows, parts = expand_metadata(raw), None
     return write_append(
@@ -111,28 +125,32 @@ def land_and_expand(
 ) -> StreamingQuery:
     """Raw and expanded telemetry from one batch, as an update policy does it.
 
-    Both tables are partitioned by batch, and a batch that is repeated after a failure replaces
-    its own partitions, so neither table ever holds a batch twice.
+    The raw table is partitioned by batch, telemetry by date and batch. A batch that is repeated
+    after a failure replaces its own partitions, so neither table ever holds a batch twice. Batch numbers
+    belong to the checkpoint: tables that outlived theirs are refused, as a new one would overwrite them.
     """
+    checkpoint = f"{root}/_checkpoints/both"
+    if path_exists(spark, f"{root}/telemetry_raw") and not path_exists(spark, checkpoint):
+        raise ValueError(f"{root} holds batches of a checkpoint that is gone; start below another folder")
 
     def both(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             _replace_batch(batch, batch_id, f"{root}/telemetry_raw")
-            _replace_batch(expand_telemetry(batch), batch_id, f"{root}/telemetry")
+            _replace_batch(by_date(expand_telemetry(batch)), batch_id, f"{root}/telemetry", ["date"])
         finally:
             batch.unpersist()
 
-    writer = raw.writeStream.foreachBatch(both).option("checkpointLocation", f"{root}/_checkpoints/both")
+    writer = raw.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint)
     return _timed(writer, interval, once).start()
 
 
-def _replace_batch(df: DataFrame, batch_id: int, path: str) -> None:
+def _replace_batch(df: DataFrame, batch_id: int, path: str, by: list[str] | None = None) -> None:
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy(*(by or []), "batch_id")
         .parquet(path)
     )
 
@@ -141,7 +159,7 @@ def mirror(
     spark, source: str, schema: str, root: str, name: str, interval: str = "5 minutes", once: bool = False
 ) -> StreamingQuery:
     """A parquet copy of a table for other readers, by UTC date, at most `interval` behind."""
-    rows = read_table_stream(spark, source, schema).withColumn("date", F.to_date("Timestamp"))
+    rows = by_date(read_table_stream(spark, source, schema))
     return write_append(
         rows, f"{root}/{name}", f"{root}/_checkpoints/{name}", interval=interval, once=once, partition_by=["date"]
     )
@@ -150,45 +168,90 @@ def mirror(
 # --- last known values --------------------------------------------------------
 # Each batch adds its own last values as one small partition. Taking a maximum is
 # idempotent and does not depend on order, so late data and repeated batches are harmless.
-# Every so often the partitions are merged into a new base.
+# Every so often the partitions are merged into a new base. What a base replaces goes when the next
+# base is complete, so a reader that has just chosen the old one can finish.
 
+METADATA_KEPT = (METADATA_SCHEMA, newest)
+VALUES_KEPT = (TELEMETRY_SCHEMA, newest_values)
 
-def maintain_lkv(
-    metadata: DataFrame, root: str, compact_every: int = 100, interval: str | None = None, once: bool = False
-) -> StreamingQuery:
-    """Keep the last known metadata of a stream below `root`."""
-    spark = metadata.sparkSession
+
+def _maintain(stream: DataFrame, root: str, kept, compact_every: int, interval: str | None, once: bool) -> StreamingQuery:
+    spark, (schema, reduce) = stream.sparkSession, kept
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        _replace_batch(newest(batch), batch_id, f"{root}/deltas")
+        _replace_batch(reduce(batch), batch_id, f"{root}/deltas")
         if batch_id % compact_every == compact_every - 1:
-            current = read_lkv(spark, root, METADATA_SCHEMA, upto=batch_id)
-            _replace_batch(current, batch_id, f"{root}/base")
+            replaced = [number for number in _batches(spark, f"{root}/base") if number < batch_id]
+            _replace_batch(_read_kept(spark, root, kept, batch_id), batch_id, f"{root}/base")
+            if replaced:
+                _drop_batches(spark, f"{root}/deltas", max(replaced))
+                _drop_batches(spark, f"{root}/base", max(replaced) - 1)
 
-    writer = metadata.writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/_checkpoint")
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/_checkpoint")
     return _timed(writer, interval, once).start()
 
 
-def read_lkv(spark: SparkSession, root: str, schema: str = METADATA_SCHEMA, upto: int | None = None) -> DataFrame:
+def _batches(spark: SparkSession, folder: str) -> list[int]:
+    """The batch numbers of a folder, from the names of its partitions."""
+    names = subfolders(spark, folder)
+    return [int(name.removeprefix("batch_id=")) for name in names if name.startswith("batch_id=")]
+
+
+def _drop_batches(spark: SparkSession, folder: str, upto: int) -> None:
+    for number in _batches(spark, folder):
+        if number <= upto:
+            remove_folder(spark, f"{folder}/batch_id={number}")
+
+
+def _read_kept(spark: SparkSession, root: str, kept, upto: int | None = None) -> DataFrame:
     """The newest base merged with the batches after it."""
+    schema, reduce = kept
+    # A batch that is repeated after a failure must not count its own base.
+    bases = [number for number in _batches(spark, f"{root}/base") if upto is None or number < upto]
+    folders = [f"base/batch_id={max(bases)}"] if bases else []
+    wanted = [n for n in _batches(spark, f"{root}/deltas") if n > max(bases, default=-1) and (upto is None or n <= upto)]
+    folders += [f"deltas/batch_id={number}" for number in sorted(wanted)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    found = spark.read.schema(schema).parquet(*[f"{root}/{folder}" for folder in folders])
+    return reduce(found)
 
-    def load(folder: str) -> DataFrame:
-        full = f"{schema}, batch_id BIGINT"
-        try:
-            found = spark.read.schema(full).parquet(f"{root}/{folder}")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return spark.createDataFrame([], full)
-        return found if upto is None else found.where(F.col("batch_id") <= upto)
-
-    base, deltas = load("base"), load("deltas")
-    # A single number; base partitions are few and only their folder names are read.
-    merged = base.agg(F.max("batch_id")).first()[0]
-    if merged is not None:
-        base = base.where(F.col("batch_id") == merged)
-        deltas = deltas.where(F.col("batch_id") > merged)
-    return newest(base.unionByName(deltas).drop("batch_id"))
+
+def maintain_lkv(
+    metadata: DataFrame, root: str, compact_every: int = 100, interval: str | None = None, once: bool = False
+) -> StreamingQuery:
+    """Keep the last known metadata of a stream below `root`."""
+    return _maintain(metadata, root, METADATA_KEPT, compact_every, interval, once)
+
+
+def read_lkv(spark: SparkSession, root: str) -> DataFrame:
+    """The last known metadata that `maintain_lkv` keeps below `root`."""
+    return _read_kept(spark, root, METADATA_KEPT)
+
+
+def maintain_values(
+    telemetry: DataFrame, root: str, compact_every: int = 100, interval: str | None = None, once: bool = False
+) -> StreamingQuery:
+    """Keep the last reading of every series of a stream below `root`; the history is never scanned for it."""
+    return _maintain(telemetry, root, VALUES_KEPT, compact_every, interval, once)
+
+
+def read_values(spark: SparkSession, root: str) -> DataFrame:
+    """The last readings that `maintain_values` keeps below `root`, one per series.
+
+    They stand for the history wherever only the latest values are asked for, as in `current_values`
+    and `high_now`.
+    """
+    return _read_kept(spark, root, VALUES_KEPT)
+
+
+def without_repeats(metadata: DataFrame, within: str = "10 minutes") -> DataFrame:
+    """A metadata stream in which a description that is sent again in the same version comes once.
+
+    The state holds the descriptions of the last `within` of event time; later repeats pass.
+    """
+    keys = ["Subject", "DataSetName", "Name", "MajorVersion", "MinorVersion"]
+    return metadata.withWatermark("Timestamp", within).dropDuplicatesWithinWatermark(keys)
 
 
 # --- windows and alerts -------------------------------------------------------
@@ -207,11 +270,65 @@ def run_alerts(
     root: str,
     interval: str = "3 minutes",
     once: bool = False,
+    table: str = "alerts",
 ) -> StreamingQuery:
     """Apply a batch alert function to every batch and keep its rows, one partition per batch."""
 
     def emit(batch: DataFrame, batch_id: int) -> None:
-        _replace_batch(alerts_of(batch), batch_id, f"{root}/alerts")
+        _replace_batch(alerts_of(batch), batch_id, f"{root}/{table}")
+
+    writer = telemetry.writeStream.foreachBatch(emit).option("checkpointLocation", f"{root}/_checkpoint")
+    return _timed(writer, interval, once).start()
+
+
+def run_pressure_commands(
+    telemetry: DataFrame,
+    lkv: DataFrame,
+    station: str,
+    location: str,
+    threshold: float,
+    root: str,
+    interval: str = "10 seconds",
+    once: bool = False,
+    topic_root: str = "",
+) -> StreamingQuery:
+    """A table `commands` below `root`: one relief command per reading above the threshold."""
+
+    def commands(batch: DataFrame) -> DataFrame:
+        return pressure_trigger(batch, lkv, station, location, threshold, topic_root=topic_root)
+
+    return run_alerts(telemetry, commands, root, interval, once, table="commands")
+
+
+def run_oee_alerts(
+    telemetry: DataFrame,
+    lkv: DataFrame,
+    sites: DataFrame,
+    root: str,
+    threshold_pct: float = 10,
+    shifts=DEFAULT_SHIFTS,
+    interval: str = "2 minutes",
+    once: bool = False,
+) -> StreamingQuery:
+    """Stations whose OEE in a shift is low so far, for the shifts that a batch has readings of.
+
+    Each batch adds its counters per writer's station and shift to the table `counters`, by day and batch; the
+    alerts of a batch merge the counters of its own shifts only, so neither readings nor other days are read
+    again. Late readings raise their own shift anew.
+    """
+    spark = telemetry.sparkSession
+    keys = ["Site", "Workcell", "shift_day", "shift", "start_ts", "end_ts", "ideal_cycle_ms"]
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        added = combine_counters(shift_counters(batch, lkv, sites, shifts), *keys)
+        # The day as text of its own column keeps the date's type whatever a reader infers from folder names.
+        stored = added.withColumn("day", F.date_format("shift_day", "yyyy-MM-dd"))
+        _replace_batch(stored, batch_id, f"{root}/counters", ["day"])
+        schema = stored.withColumn("batch_id", F.lit(0).cast("bigint")).schema
+        counters = spark.read.schema(schema).parquet(f"{root}/counters").where(F.col("batch_id") <= batch_id)
+        touched = counters.where(F.col("batch_id") == batch_id).select("day", *keys).distinct()
+        sofar = counters.join(touched, ["day", *keys], "left_semi")
+        _replace_batch(low_oee_alerts(oee_of_shifts(sofar), threshold_pct), batch_id, f"{root}/alerts")
 
     writer = telemetry.writeStream.foreachBatch(emit).option("checkpointLocation", f"{root}/_checkpoint")
     return _timed(writer, interval, once).start()

@@ -35,6 +35,7 @@ def test_tables_are_created_once(spark):
         tables.append_table(rows.select("Value", "Name", "Timestamp", "Subject"), "telemetry")
         tables.append_table(rows, "telemetry")
         assert spark.table("telemetry").where("Value = 'x'").count() == 2
+        assert [c.name for c in spark.catalog.listColumns("telemetry") if c.isPartition] == ["date"]
         tables.append_table(rows, "fresh")
         tables.overwrite_table(rows, "fresh")
         assert spark.table("fresh").count() == 1
@@ -158,3 +159,98 @@ def test_name_and_date_filters_reach_the_scan(spark, tmp_path):
     scan = next(line for line in plan.splitlines() if "FileScan parquet" in line and "Value" in line)
     assert "PartitionFilters: [isnotnull(date" in scan
     assert "IsNotNull(Subject)" in scan and "In(Name" in scan
+
+
+def test_merged_batches_are_removed(spark, tmp_path, rows_of):
+    rows = spark.range(60).select(
+        (F.col("id") % 4).cast("string").alias("Subject"),
+        F.expr("TIMESTAMP '2024-01-01' + (id * 7 % 11) * INTERVAL 1 DAY").alias("Timestamp"),
+        F.lit("Pressure").alias("Name"), F.col("id").cast("string").alias("Value"),
+    )
+    source, root = str(tmp_path / "tel"), str(tmp_path / "last")
+    rows.repartition(7).write.parquet(source)
+    stream = jobs.telemetry_stream(spark, source, {"maxFilesPerTrigger": "1"})
+    jobs.maintain_values(stream, root, compact_every=2, once=True).awaitTermination()
+    assert rows_of(jobs.read_values(spark, root)) == rows_of(lkv.newest_values(rows))
+    # Merges at batches 1, 3 and 5: the base before the last one stays for readers that have chosen it.
+    assert sorted(jobs._batches(spark, f"{root}/base")) == [3, 5]
+    assert min(jobs._batches(spark, f"{root}/deltas")) == 4
+
+
+def test_tables_without_their_checkpoint_are_refused(spark, tmp_path):
+    topic, root = tmp_path / "topic", str(tmp_path / "root")
+    write_lines(topic, "a.txt", [message(1, 0, 5)])
+    raw = jobs.read_topic(spark, "text", str(topic))
+    for _ in range(2):
+        jobs.land_and_expand(spark, raw, root, once=True).awaitTermination()
+    stored = spark.read.parquet(f"{root}/telemetry")
+    assert stored.count() == 1 and {"date", "batch_id"} <= set(stored.columns)
+    old = str(tmp_path / "old")
+    jobs._replace_batch(raw_rows(spark), 0, f"{old}/telemetry_raw")
+    with pytest.raises(ValueError, match="checkpoint"):
+        jobs.land_and_expand(spark, raw, old, once=True)
+
+
+def raw_rows(spark):
+    return spark.createDataFrame([("x",)], "payload STRING")
+
+
+def test_alerts_follow_a_shift_over_batches(spark, tmp_path):
+    """Good parts of a second batch end the alert that the first one raised; empty batches raise none."""
+    from test_oee import metadata
+
+    md = metadata(spark, [("1", "assembly", "munich", 1)])
+    sites = spark.createDataFrame([("munich", "UTC", 6000)], "Site STRING, tz STRING, ideal_cycle_ms BIGINT")
+    source, root = str(tmp_path / "tel"), str(tmp_path / "sink")
+
+    def send(*readings):
+        at = [("1", f"2024-01-05 {t}", n, v) for t, n, v in readings]
+        df = spark.createDataFrame(at, "Subject STRING, Timestamp STRING, Name STRING, Value STRING")
+        df.withColumn("Timestamp", F.to_timestamp("Timestamp")).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.telemetry_stream(spark, source)
+        jobs.run_oee_alerts(stream, md, sites, root, once=True).awaitTermination()
+
+    send(("08:00:10", "NumberOfManufacturedProducts", "0"), ("08:10:00", "NumberOfManufacturedProducts", "10"))
+    send(("13:00:10", "NumberOfManufacturedProducts", "4000"))
+    alerts = [(r["batch_id"], r["shift"], r["good"]) for r in spark.read.parquet(f"{root}/alerts").collect()]
+    assert alerts == [(0, "Morning", 10.0)]
+
+
+def test_other_zones_are_refused(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            tables.write_telemetry(spark.createDataFrame([], TELEMETRY_SCHEMA), str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_broker_options():
+    """The options a broker's reader gets, seen by a stand-in for the session."""
+    seen = {}
+
+    class Reader:
+        def format(self, fmt):
+            seen["format"] = fmt
+            return self
+
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def load(self, *path):
+            seen["path"] = path
+            return self
+
+        def selectExpr(self, text):
+            seen["select"] = text
+            return self
+
+    class Session:
+        readStream = Reader()
+
+    jobs.read_topic(Session(), "kafka", "data", {"kafka.bootstrap.servers": "b:9092"})
+    assert seen == {
+        "format": "kafka", "subscribe": "data", "startingOffsets": "earliest", "failOnDataLoss": "false",
+        "kafka.bootstrap.servers": "b:9092", "path": (), "select": "CAST(value AS STRING) AS payload",
+    }
