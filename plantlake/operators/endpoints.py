@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from plantlake.functions.nested import unfold
 from plantlake.functions.text import NUMERIC_NODE_ID, parse_endpoint
+from plantlake.operators.spread import spread_join
 
 ENDPOINTS = (
     "array<struct<EndpointUrl:string,OpcAuthenticationMode:string,"
@@ -44,10 +45,8 @@ def name_tags(endpoints: DataFrame, browse_names: DataFrame, keys: list[str]) ->
         F.regexp_extract("n.Id", NUMERIC_NODE_ID, 1).alias("node"),
         F.coalesce("n.OpcSamplingInterval", F.lit(1000)).alias("sampling_ms"),
     )
-    # Ids without a number match nothing; a key of their own keeps them from meeting in one task.
-    spread = F.concat(F.lit("none-"), F.xxhash64("NodeId", *keys).cast("string"))
-    keyed = nodes.withColumn("node", F.when(F.col("node") != "", F.col("node")).otherwise(spread))
-    return keyed.join(names, "node", "left").select(
+    # Every station has the same few ids, and those without a number share one key: all are spread.
+    return spread_join(nodes, names, ["node"]).select(
         *keys,
         "NodeId",
         F.coalesce("browse", F.concat(F.lit("node-"), F.col("index").cast("string"))).alias("name"),

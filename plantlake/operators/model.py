@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plantlake.functions.nested import unfold
 from plantlake.functions.text import contains_ci, not_empty
+from plantlake.operators.spread import spread_join
 from plantlake.schemas import METADATA_COLUMNS, MODEL_ENTERPRISE, PLACEHOLDER
 
 DOWNLOAD = "struct<title:string,contributor:struct<name:string>,nodeset:struct<nodesetXml:string>>"
@@ -71,7 +72,7 @@ def information_model(variables: DataFrame) -> DataFrame:
     return variables.select("Title", "Contributor", "NodeId", "DisplayName", "BrowseName", "DataType")
 
 
-def future_metadata(variables: DataFrame, ts: Column) -> DataFrame:
+def future_metadata(variables: DataFrame, ts: Column, enterprise: str = MODEL_ENTERPRISE) -> DataFrame:
     """Metadata rows for variables a model announces, before any station publishes them."""
     future, none = F.lit(PLACEHOLDER), F.lit("")
     return (
@@ -91,7 +92,7 @@ def future_metadata(variables: DataFrame, ts: Column) -> DataFrame:
                 "Line": future,
                 "Area": future,
                 "Site": future,
-                "Enterprise": F.lit(MODEL_ENTERPRISE),
+                "Enterprise": F.lit(enterprise),
             }
         )
         .select(*METADATA_COLUMNS)
@@ -137,7 +138,8 @@ def model_graph(variables: DataFrame, objects: DataFrame) -> tuple[DataFrame, Da
 def model_lookup(rows: DataFrame, model: DataFrame, by: str = "DisplayName") -> DataFrame:
     """Telemetry or metadata enriched with the imported model, matched on a name or node id.
 
-    `by='DisplayName'` matches the row's Name, `by='NodeId'` its NodeId.
+    `by='DisplayName'` matches the row's Name, `by='NodeId'` its NodeId. Plants have few field names, so the rows
+    of one name are spread.
     """
     left = "Name" if by == "DisplayName" else "NodeId"
     info = model.select(
@@ -148,4 +150,4 @@ def model_lookup(rows: DataFrame, model: DataFrame, by: str = "DisplayName") ->
             if c != by
         ],
     )
-    return rows.join(info, left, "left")
+    return spread_join(rows, info, [left])

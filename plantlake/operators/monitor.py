@@ -12,6 +12,7 @@ from plantlake.functions.text import (
     whole_number,
 )
 from plantlake.operators.lkv import latest_values, writers_of
+from plantlake.operators.spread import spread_join
 from plantlake.operators.timerange import between_closed, between_open, last, utc
 from plantlake.schemas import FAULTY_TIME, PRESSURE, RELIEF_METHOD, RELIEF_OBJECT, STATUS
 
@@ -39,16 +40,28 @@ def station_series(
     As in a plain join with the last known metadata, each reading comes once per field its
     writer describes. `dedupe=True` gives each reading once.
     """
+    counted = counted_series(telemetry, lkv, station, location, name, start, end, how)
+    if not dedupe:
+        counted = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return counted.select("Timestamp", "Value")
+
+
+def counted_series(
+    telemetry: DataFrame, lkv: DataFrame, station: str, location: str, name: str, start, end, how: str = "like"
+) -> DataFrame:
+    """A station series with each reading once, and in `copies` the number of fields its writer describes.
+
+    A station has few writers, so the readings of one are spread.
+    """
     readings = between_open(telemetry.where(F.col("Name") == name), start, end).select(
         "Subject", "Timestamp", "Value"
     )
-    joined = station_rows(readings, lkv, station, location, how)
-    if not dedupe:
-        fields = lkv.where(
-            matches("DataSetName", station, how) & matches("DataSetName", location, how)
-        ).select("Subject")
-        joined = joined.join(fields, "Subject")
-    return joined.select("Timestamp", "Value")
+    writers = (
+        lkv.where(matches("DataSetName", station, how) & matches("DataSetName", location, how))
+        .groupBy("Subject")
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    return spread_join(readings, writers, ["Subject"], "inner").select("Timestamp", "Value", "copies")
 
 
 def numeric_series(series: DataFrame, as_int: bool = False) -> DataFrame:
@@ -87,8 +100,13 @@ def panel_max(series: DataFrame) -> DataFrame:
 
 
 def panel_average(series: DataFrame) -> DataFrame:
-    """Mean of a series times 1000, rounded to two places: the energy panel."""
-    return series.agg(F.round(F.avg(number("Value")) * 1000, 2).alias("average"))
+    """Mean of a counted series times 1000, rounded to two places: the energy panel.
+
+    Each reading weighs as much as the rows it has in a plain join.
+    """
+    value = number("Value")
+    weight = F.sum(F.when(value.isNotNull(), F.col("copies")))
+    return series.agg(F.round(F.sum(value * F.col("copies")) / weight * 1000, 2).alias("average"))
 
 
 def asset_list(telemetry: DataFrame, metadata: DataFrame) -> DataFrame:

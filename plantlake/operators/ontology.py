@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantlake.functions.nested import unfold
+from plantlake.operators.spread import spread_join
 
 # --- schemas of the two forms -----------------------------------------------
 # `extends` may be text or a list; `schema` text or an object: both are read as text.
@@ -255,12 +256,10 @@ def effective_members(member_rows: DataFrame, ancestors: DataFrame) -> DataFrame
     by id counts.
     """
     own = member_rows.withColumns({"defined_in": F.col("id"), "distance": F.lit(0)})
+    # All types descend from a few roots, so the descendants of one ancestor are spread.
     inherited = (
-        ancestors.join(member_rows, ancestors["ancestor"] == member_rows["id"])
-        .withColumn("defined_in", F.col("ancestor"))
-        .withColumn("distance", F.col("depth"))
-        .withColumn("id", F.col("descendant"))
-        .drop("ancestor", "descendant", "depth")
+        spread_join(ancestors, member_rows.withColumnRenamed("id", "ancestor"), ["ancestor"], "inner")
+        .withColumnsRenamed({"ancestor": "defined_in", "depth": "distance", "descendant": "id"})
     )
     rest = [c for c in own.columns if c not in ("id", "name", "distance", "defined_in")]
     best = F.min(F.struct("distance", "defined_in", *rest)).alias("best")
@@ -306,14 +305,18 @@ def validate_instances(
     ).where(F.col("value").isNotNull())
     restricted = enum_values.select("property").distinct()
     bad_enum = (
-        values.join(restricted, "property", "left_semi")
-        .join(enum_values.select("property", "value").distinct(), ["property", "value"], "left_anti")
-        .select("instance", F.lit("enum").alias("rule"), F.concat_ws("=", "property", "value").alias("detail"))
+        spread_join(
+            spread_join(values, restricted, ["property"], "left_semi"),
+            enum_values.select("property", "value").distinct(),
+            ["property", "value"],
+            "left_anti",
+        ).select("instance", F.lit("enum").alias("rule"), F.concat_ws("=", "property", "value").alias("detail"))
+    )
+    counted = links.groupBy(F.col("instance").cast("string").alias("instance"), "name").agg(
+        F.count(F.lit(1)).alias("n")
     )
     bad_count = (
-        links.groupBy(F.col("instance").cast("string").alias("instance"), "name")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(max_links, "name")
+        spread_join(counted, max_links, ["name"], "inner")
         .where(F.col("n") > F.col("max_multiplicity"))
         .select("instance", F.lit("multiplicity").alias("rule"), F.concat_ws("=", "name", F.col("n").cast("string")).alias("detail"))
     )

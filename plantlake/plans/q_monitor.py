@@ -123,8 +123,8 @@ def pressure_series(p: Plant):
     "big", "lkv",
 )
 def panel_counts(p: Plant):
-    made = monitor.panel_max(_of(p, "NumberOfManufacturedProducts"))
-    scrap = monitor.panel_max(_of(p, "NumberOfDiscardedProducts"))
+    made = monitor.panel_max(_of(p, "NumberOfManufacturedProducts", dedupe=True))
+    scrap = monitor.panel_max(_of(p, "NumberOfDiscardedProducts", dedupe=True))
     return made.withColumn("panel", F.lit("manufactured")).unionByName(scrap.withColumn("panel", F.lit("discarded")))
 
 
@@ -134,7 +134,8 @@ def panel_counts(p: Plant):
     "big", "lkv",
 )
 def energy_avg(p: Plant):
-    return monitor.panel_average(_of(p, "Pressure"))
+    counted = monitor.counted_series(p.big, p.lkv, "assembly", "europe", "Pressure", START, END)
+    return monitor.panel_average(counted)
 
 
 @query(

@@ -59,9 +59,6 @@ IDEAL_CYCLE = "IdealCycleTime"
 ACTUAL_CYCLE = "ActualCycleTime"
 PRESSURE = "Pressure"
 
-# Station status codes.
-STATUS_NAMES = {0: "ready", 1: "in progress", 2: "done, good part", 3: "done, scrap", 4: "fault"}
-
 # Workcells that publish data but produce nothing.
 NON_PRODUCTION_WORKCELLS = ("publisher", "mes", "commander")
 
