@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.functions.text import matches, not_empty
+from plantlake.operators.expand import expand_metadata, expand_telemetry
 from plantlake.operators.lkv import metadata_lkv
 from plantlake.schemas import DISCARDED, FAULTY_TIME, MANUFACTURED, NON_PRODUCTION_WORKCELLS
 
@@ -13,6 +14,16 @@ def create_lkv_view(spark: SparkSession, metadata: str = "metadata", view: str =
     metadata_lkv(spark.table(metadata)).createOrReplaceTempView(view)
 
 
+def create_expansions(spark: SparkSession, telemetry_raw: str = "telemetry_raw", metadata_raw: str = "metadata_raw") -> None:
+    """Temporary SQL table functions telemetry_expand() and metadata_expand() over the landed documents."""
+    made = {"telemetry": expand_telemetry(spark.table(telemetry_raw)), "metadata": expand_metadata(spark.table(metadata_raw))}
+    for kind, rows in made.items():
+        view = f"{kind}_expanded"
+        rows.createOrReplaceTempView(view)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {kind}_expand() RETURNS TABLE ({columns}) RETURN SELECT * FROM {view}")
+
+
 def station_members(lkv: DataFrame) -> DataFrame:
     """Site, station and Subject: the writers whose data set name contains a site and a station of it.
 
@@ -37,7 +48,8 @@ def create_functions(spark: SparkSession, telemetry: str = "telemetry", lkv: str
     """Temporary SQL functions oee_station, oee_line, shift_break, faulty_assets, value_history.
 
     The two oee functions aggregate a window per writer and counter before it meets the names. A telemetry
-    table that is partitioned by `date` is read for the dates of the window only. For all stations and shifts at once the DataFrame function oee_by_shift needs a single pass.
+    table that is partitioned by `date` is read for the dates of the window only. For all stations and shifts at
+    once the DataFrame function oee_by_shift needs a single pass.
     """
     dated = "date" in spark.table(telemetry).columns
 

@@ -57,6 +57,12 @@ def uns_graph(p: Plant):
     return nodes
 
 
+@query("uns_edges", f"SELECT ParentId AS parent, ElementId AS child, 'contains' AS rel FROM ({NODES}) n WHERE ParentId <> ''", "lkv")
+def uns_edges(p: Plant):
+    _, edges = browse.uns_graph(p.lkv)
+    return edges
+
+
 @query(
     "i3x_roots",
     f"WITH n AS ({NODES}) SELECT ElementId, DisplayName FROM n WHERE ParentId = ''".replace("WITH n", ", n", 1),

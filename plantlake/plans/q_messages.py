@@ -2,12 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from plantlake.functions import text
+from plantlake.functions import sqlfuncs, text
 from plantlake.operators import endpoints, expand, monitor, timerange
 from plantlake.plans.fixtures import Plant
 from plantlake.plans.messages import ISO, batched_messages, metadata_messages, single_messages
 from plantlake.plans.registry import query
-from plantlake.schemas import NON_PRODUCTION_WORKCELLS
+from plantlake.schemas import NON_PRODUCTION_WORKCELLS, TABLES
+from plantlake.session import scratch
+from plantlake.sources import tables
 
 MD_COLUMNS = (
     "Subject, Timestamp, DataSetName, MajorVersion, MinorVersion, Name, BuiltInType, DataType, ValueRank, "
@@ -57,6 +59,57 @@ def telemetry_rejects(p: Plant):
     return rejects.groupBy("Subject", "Name", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "metadata_rejects",
+    """SELECT CASE WHEN c_acctbal < 0 THEN 'not json ' || c_custkey
+         ELSE '{"DataSetWriterId":"' || c_custkey || '","MetaData":{"Name":"bare"}}' END AS payload,
+         'no field descriptions' AS reason FROM customer""",
+)
+def metadata_rejects(p: Plant):
+    """Customers as documents without fields or without JSON, among all good descriptions."""
+    key = F.col("c_custkey")
+    broken = p.table("customer").select(
+        F.when(F.col("c_acctbal") < 0, F.format_string("not json %s", key))
+        .otherwise(F.format_string('{"DataSetWriterId":"%s","MetaData":{"Name":"bare"}}', key))
+        .alias("payload")
+    )
+    return expand.metadata_rejects(metadata_messages(p).unionByName(broken))
+
+
+@query(
+    "sql_expand",
+    "SELECT Subject, Timestamp, Name, Value FROM tel UNION ALL SELECT Subject, Timestamp, Name, DataType FROM md",
+    "tel", "md",
+)
+def sql_expand(p: Plant):
+    """Both expansions as SQL table functions."""
+    single_messages(p).createOrReplaceTempView("plant_telemetry_raw")
+    metadata_messages(p).createOrReplaceTempView("plant_metadata_raw")
+    sqlfuncs.create_expansions(p.spark, "plant_telemetry_raw", "plant_metadata_raw")
+    return p.sql(
+        """SELECT Subject, Timestamp, Name, Value FROM telemetry_expand()
+           UNION ALL SELECT Subject, Timestamp, Name, DataType FROM metadata_expand()"""
+    )
+
+
+@query(
+    "table_append",
+    "SELECT Subject, Timestamp, Name, Value, CAST(CAST(Timestamp AS DATE) AS VARCHAR) AS date FROM (SELECT * FROM tel UNION ALL SELECT * FROM big) a",
+    "tel", "big",
+)
+def table_append(p: Plant):
+    """Catalog tables created, appended to twice, copied, and the copy overwritten with the whole."""
+    root = scratch(p.spark, "catalog")
+    base = "plant_" + root.rpartition("-")[2]
+    p.spark.sql(f"CREATE DATABASE {base} LOCATION '{root}'")
+    tables.create_tables(p.spark, tables={f"{base}.{name}": ddl for name, ddl in TABLES.items()})
+    tables.append_table(p.tel, f"{base}.telemetry")
+    tables.append_table(p.spark.table(f"{base}.telemetry"), f"{base}.copy")
+    tables.append_table(p.big, f"{base}.telemetry")
+    tables.overwrite_table(p.spark.table(f"{base}.telemetry"), f"{base}.copy")
+    return p.spark.table(f"{base}.copy").withColumn("date", F.col("date").cast("string"))
+
+
 @query(
     "raw_variant",
     """SELECT 'object' AS kind, Subject AS first_subject, Name AS first_name, count(*) AS n FROM tel GROUP BY 1, 2, 3
@@ -147,6 +200,20 @@ def isa95_parse(p: Plant):
     return parsed.groupBy(*levels).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "isa95_lenient",
+    "SELECT Workcell, Line, Site, NodeId, count(*) AS n FROM orders JOIN writers w ON w.writer = o_custkey % (SELECT count(*) FROM supplier) GROUP BY ALL",
+    "writers",
+)
+def isa95_lenient(p: Plant):
+    """Asset names that end after the location, next to server names."""
+    senders = p.sql("SELECT o_custkey % (SELECT count(*) FROM supplier) AS writer FROM orders")
+    short = F.replace("DataSetName", F.lit("-asset_telemetry"), F.lit(""))
+    names = senders.join(p.writers.select("writer", short.alias("DataSetName")), "writer")
+    parsed = text.parse_isa95(names.select("DataSetName"), lenient=True)
+    return parsed.groupBy("Workcell", "Line", "Site", "NodeId").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "endpoint_parse",
     """SELECT 'opc.tcp://Cust_' || c_custkey || '.' || lower(c_mktsegment) AS Raw,
@@ -267,9 +334,7 @@ def exclude_stations(p: Plant):
     "big", "md",
 )
 def ingest_health(p: Plant):
-    from plantlake.sources.tables import row_counts
-
-    counts = row_counts(
+    counts = tables.row_counts(
         {
             "telemetry": p.big,
             "metadata": p.md,

@@ -6,6 +6,7 @@ from plantlake.operators import graph, model, ontology
 from plantlake.plans.fixtures import Plant
 from plantlake.plans.registry import query
 from plantlake.session import scratch
+from plantlake.sources import files
 
 # --- node sets: one download per order, one variable per line item --------------------
 
@@ -115,38 +116,62 @@ def model_append(p: Plant):
     )
 
 
-@query(
-    "model_graph",
-    f"""{SQL_ITEMS}, v AS (SELECT Title, NodeId, ParentNodeId, DisplayName FROM items WHERE NOT has_rule AND DisplayName <> 'InputArguments'),
-        o AS (SELECT 'Order ' || o_orderkey AS Title, 'ns=1;i=' || o_orderkey AS NodeId, 'i=85' AS ParentNodeId, 'Order' AS DisplayName
-                FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey IN (SELECT l_orderkey FROM lineitem)
-              UNION ALL SELECT Title, NodeId, 'i=58', 'Twin' FROM items WHERE l_linenumber = 1)
-        SELECT coalesce(v.Title, o.Title) AS Title, coalesce(v.NodeId, o.NodeId) AS source, coalesce(v.ParentNodeId, o.ParentNodeId) AS target,
-          coalesce(v.DisplayName, o.DisplayName) AS name
-        FROM v FULL JOIN o ON v.Title = o.Title AND v.NodeId = o.NodeId""",
-    "sites",
-)
-def model_graph(p: Plant):
+GRAPH = f"""{SQL_ITEMS}, v AS (SELECT Title, NodeId, ParentNodeId, DisplayName FROM items WHERE NOT has_rule AND DisplayName <> 'InputArguments'),
+    o AS (SELECT 'Order ' || o_orderkey AS Title, 'ns=1;i=' || o_orderkey AS NodeId, 'i=85' AS ParentNodeId, 'Order' AS DisplayName
+            FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey IN (SELECT l_orderkey FROM lineitem)
+          UNION ALL SELECT Title, NodeId, 'i=58', 'Twin' FROM items WHERE l_linenumber = 1),
+    g AS (SELECT coalesce(v.Title, o.Title) AS Title, coalesce(v.NodeId, o.NodeId) AS source, coalesce(v.ParentNodeId, o.ParentNodeId) AS target,
+            coalesce(v.DisplayName, o.DisplayName) AS name
+          FROM v FULL JOIN o ON v.Title = o.Title AND v.NodeId = o.NodeId)"""
+
+
+def _graph(p: Plant):
     parsed = _downloads(p)
-    nodes, _ = model.model_graph(model.model_variables(parsed), model.model_objects(parsed))
-    return nodes
+    return model.model_graph(model.model_variables(parsed), model.model_objects(parsed))
+
+
+@query("model_graph", f"{GRAPH} SELECT Title, source, target, name FROM g", "sites")
+def model_graph(p: Plant):
+    return _graph(p)[0]
+
+
+@query("model_edges", f"{GRAPH} SELECT Title, source, target FROM g WHERE target <> ''", "sites")
+def model_edges(p: Plant):
+    return _graph(p)[1]
 
 
 @query(
     "model_lookup",
-    f"""{SQL_ITEMS}, known AS (SELECT * FROM items JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority = '1-URGENT')
-        SELECT i.l_orderkey, i.NodeId, k.Title AS ModelTitle, k.BrowseName AS ModelBrowseName, k.DataType AS ModelDataType
-        FROM items i LEFT JOIN known k ON k.NodeId = i.NodeId""",
+    f"""{SQL_ITEMS}, wanted AS (SELECT l_orderkey, CASE WHEN l_linenumber = 7 THEN NodeId || '-gone' ELSE NodeId END AS NodeId FROM items)
+        SELECT w.l_orderkey, w.NodeId, k.Title AS ModelTitle, k.BrowseName AS ModelBrowseName, k.DataType AS ModelDataType
+        FROM wanted w LEFT JOIN items k ON k.NodeId = w.NodeId""",
     "sites",
 )
 def model_lookup(p: Plant):
-    """All items against the imported models of urgent orders."""
-    info = model.information_model(model.model_variables(_downloads(p))).where("Contributor = '1-URGENT'")
-    rows = p.sql(ITEMS).select("l_orderkey", "NodeId")
+    """All items against all imported models, seventh items under an id that no model has."""
+    info = model.information_model(model.model_variables(_downloads(p)))
+    gone = F.when(F.col("l_linenumber") == 7, F.concat("NodeId", F.lit("-gone"))).otherwise(F.col("NodeId"))
+    rows = p.sql(ITEMS).select("l_orderkey", gone.alias("NodeId"))
     found = model.model_lookup(rows, info, by="NodeId")
     return found.select("l_orderkey", "NodeId", "ModelTitle", "ModelBrowseName", "ModelDataType")
 
 
+@query(
+    "model_lookup_name",
+    f"""{SQL_ITEMS}, kinds AS (SELECT DISTINCT DisplayName, BrowseName, DataType FROM items WHERE DisplayName <> '')
+        SELECT p_partkey, 'Item ' || p_partkey AS Name, k.BrowseName AS ModelBrowseName, k.DataType AS ModelDataType
+        FROM part LEFT JOIN kinds k ON k.DisplayName = 'Item ' || p_partkey""",
+    "sites",
+)
+def model_lookup_name(p: Plant):
+    """Parts by the display name of their variables, each kind of variable once."""
+    info = model.information_model(model.model_variables(_downloads(p))).where("DisplayName <> ''")
+    none = F.lit(None).cast("string")
+    kinds = info.drop("Contributor").withColumns({"Title": none, "NodeId": none}).distinct()
+    rows = p.table("part").select("p_partkey", F.format_string("Item %s", F.col("p_partkey")).alias("Name"))
+    return model.model_lookup(rows, kinds).select("p_partkey", "Name", "ModelBrowseName", "ModelDataType")
+
+
 # --- type catalog: a type per part, brand and part type -------------------------------
 # Parts extend their brand, large ones their part type too; brands extend one root.
 
@@ -274,6 +299,21 @@ def onto_edges(p: Plant):
     return ontology.relation_edges(cat).unionByName(mapped)
 
 
+@query(
+    "onto_files",
+    TYPES + " SELECT DISTINCT 'dtmi:plant:' || brand || ';1' AS id, name FROM pt, (VALUES ('size'), ('origin')) m(name)",
+    "sites",
+)
+def onto_files(p: Plant):
+    """Brand types as one file each below a folder per brand, found again at any depth."""
+    path = scratch(p.spark, "types")
+    brands = _type_documents(p).where(F.startswith("path", F.lit("/catalog/brands")))
+    folder = F.regexp_extract("path", r"([^/]+)\.json$", 1)
+    brands.select(folder.alias("folder"), "value").write.option("maxRecordsPerFile", 1).partitionBy("folder").text(path)
+    cat = ontology.catalog(files.read_documents(p.spark, path, "*.txt"), path_col="path")
+    return ontology.members(cat).select("id", "name")
+
+
 @query(
     "onto_enums",
     TYPES + " SELECT id, 'level' AS property, 'Small' AS name, 'small' AS value FROM pt UNION ALL SELECT id, 'level', kind, lower(kind) FROM pt",
@@ -293,7 +333,7 @@ def onto_enums(p: Plant):
     "sites",
 )
 def onto_parity(p: Plant):
-    """The part types against a second encoding of them with a few slips."""
+    """All types against a second encoding of them with a few slips."""
     c = F.col
     part = p.sql("SELECT *, replace(p_brand, '#', '') AS brand, replace(p_type, ' ', '') AS kind FROM part")
     second = F.when(c("p_size") > 25, F.format_string(',{"href":"dtmi:plant:%s;1","rel":"tm:extends"}', c("kind"))).otherwise(F.lit(""))
@@ -313,9 +353,16 @@ def onto_parity(p: Plant):
         part.where("p_size = 3").select(
             F.format_string('{"@id":"dtmi:plant:Extra%s;1","@type":"tm:ThingModel"}', c("p_partkey")).alias("value")
         )
+    ).unionByName(
+        part.select("brand").distinct().select(
+            F.format_string(
+                '{"@id":"dtmi:plant:%s;1","@type":"tm:ThingModel","links":[{"href":"dtmi:plant:Root;1","rel":"tm:extends"}],'
+                '"properties":{"size":{"type":"string"},"origin":{"type":"string","format":"date-time"}}}',
+                c("brand"),
+            ).alias("value")
+        )
     )
-    form_a = _type_documents(p).where(~F.startswith("path", F.lit("/catalog/brands")))
-    return ontology.parity(ontology.facts_a(ontology.catalog(form_a)), ontology.facts_b(form_b))
+    return ontology.parity(ontology.facts_a(_catalog(p)), ontology.facts_b(form_b))
 
 
 @query(

@@ -6,6 +6,8 @@ from plantlake.functions import sqlfuncs, text
 from plantlake.operators import analytics, lkv, monitor, oee, shifts
 from plantlake.plans.fixtures import Plant
 from plantlake.plans.registry import query
+from plantlake.session import scratch
+from plantlake.sources.files import read_shift_calendar, read_tag_list
 
 START, END = "2024-01-05T00:00:00Z", "2024-01-12T00:00:00Z"
 WINDOW = "Timestamp > TIMESTAMP '2024-01-05 00:00:00' AND Timestamp < TIMESTAMP '2024-01-12 00:00:00'"
@@ -282,10 +284,7 @@ def oee_line_stations(p: Plant):
   UNION ALL SELECT 'line', round(min(oee), 6) FROM ({LINE}) l""", "big", "lkv")
 def oee_sql_functions(p: Plant):
     """The same two figures through the SQL functions."""
-    p.big.createOrReplaceTempView("plant_telemetry")
-    p.md.createOrReplaceTempView("plant_metadata")
-    sqlfuncs.create_lkv_view(p.spark, "plant_metadata", "plant_lkv")
-    sqlfuncs.create_functions(p.spark, "plant_telemetry", "plant_lkv")
+    _sql_functions(p, p.big)
     window = f"TIMESTAMP '{START}', TIMESTAMP '{END}'"
     return p.sql(
         f"""SELECT 'station' AS what, round(oee_station('assembly', 'europe', 6000, {window}), 6) AS oee
@@ -293,6 +292,48 @@ def oee_sql_functions(p: Plant):
     )
 
 
+@query(
+    "oee_station_ci",
+    f"""SELECT round({OEE}, 6) AS oee FROM (SELECT {SPAN}, {COUNTS} FROM big WHERE {WINDOW} AND Subject IN (
+          SELECT Subject FROM lkv WHERE contains(lower(DataSetName), 'assembly') AND contains(lower(DataSetName), 'europe'))) c""",
+    "big", "lkv",
+)
+def oee_station_ci(p: Plant):
+    result = oee.oee_station(p.big, p.lkv, "ASSEMBLY", "Europe", 6000, START, END, how="contains_ci")
+    return result.select(F.round("oee", 6).alias("oee"))
+
+
+def _sql_functions(p: Plant, telemetry) -> None:
+    telemetry.createOrReplaceTempView("plant_telemetry")
+    p.md.createOrReplaceTempView("plant_metadata")
+    sqlfuncs.create_lkv_view(p.spark, "plant_metadata", "plant_lkv")
+    sqlfuncs.create_functions(p.spark, "plant_telemetry", "plant_lkv")
+
+
+@query(
+    "sql_faulty_assets",
+    """SELECT m.AssetName, t.Name, t.Value, t.Timestamp
+       FROM tel t JOIN (SELECT DISTINCT Subject, split_part(DataSetName, ';', 1) AS AssetName FROM lkv) m ON m.Subject = t.Subject
+       WHERE t.Name = 'FaultyTime' AND TRY_CAST(t.Value AS DOUBLE) > 0
+         AND t.Timestamp BETWEEN TIMESTAMP '2024-01-17 12:00:00' AND TIMESTAMP '2024-01-20 12:00:00'""",
+    "tel", "lkv",
+)
+def sql_faulty_assets(p: Plant):
+    _sql_functions(p, p.tel)
+    return p.sql("SELECT * FROM faulty_assets(TIMESTAMP '2024-01-20 12:00:00', 3)")
+
+
+@query(
+    "sql_value_history",
+    """SELECT Timestamp, Value FROM big WHERE Subject = '1' AND Name = 'Pressure'
+       AND Timestamp BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-01-25 00:00:00'""",
+    "big",
+)
+def sql_value_history(p: Plant):
+    _sql_functions(p, p.big)
+    return p.sql("SELECT * FROM value_history('1', 'Pressure', TIMESTAMP '2024-01-02 00:00:00', TIMESTAMP '2024-01-25 00:00:00')")
+
+
 SHIFT_WINDOWS = """
 shift_days AS (SELECT s.*, CAST(d AS DATE) AS shift_day FROM sites s,
   generate_series(TIMESTAMP '2023-12-30', TIMESTAMP '2024-02-02', INTERVAL 1 DAY) g(d)),
@@ -329,6 +370,23 @@ def oee_by_shift(p: Plant):
     )
 
 
+@query(
+    "oee_by_calendar",
+    _with_windows(f"SELECT Site, Workcell, shift_day, shift, round(oee, 6) AS oee FROM ({BY_SHIFT}) s"),
+    "big", "lkv", "sites",
+)
+def oee_by_calendar(p: Plant):
+    """The same from a calendar file that is written and read."""
+    path = scratch(p.spark, "calendar")
+    lines = ["Morning,07:00,14:00", "Afternoon,15:00,22:00", "no shift", "Night,23:00,06:00"]
+    p.spark.createDataFrame([(line,) for line in lines], "value STRING").coalesce(1).write.text(path)
+    calendar = shifts.calendar_rows(read_shift_calendar(p.spark, path))
+    found = oee.oee_by_shift(p.big, p.lkv, p.sites, calendar)
+    return found.select(
+        "Site", "Workcell", F.col("shift_day").cast("string").alias("shift_day"), "shift", F.round("oee", 6).alias("oee")
+    )
+
+
 LOW_SHIFTS = _with_windows(
     f"SELECT Site, Workcell, shift_day, shift, round(oee * 100, 2) AS oee_pct FROM ({BY_SHIFT}) s WHERE round(oee * 100, 2) < 10"
 )
@@ -409,9 +467,6 @@ def shift_break(p: Plant):
 )
 def shift_calendar(p: Plant):
     """Calendar files with a line per order; lines of pending orders lack their end."""
-    from plantlake.session import scratch
-    from plantlake.sources.files import read_shift_calendar
-
     hour = F.lpad((F.col("o_custkey") % 24).cast("string"), 2, "0")
     until = F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0")
     line = F.concat(F.lit("S"), F.col("o_orderkey").cast("string"), F.lit(","), hour, F.lit(":30"))
@@ -432,9 +487,6 @@ def shift_calendar(p: Plant):
 )
 def tag_list(p: Plant):
     """A tag list with a line per part, written and read as CSV with a header."""
-    from plantlake.session import scratch
-    from plantlake.sources.files import read_tag_list
-
     tags = p.table("part").select(
         F.format_string("ns=1;i=%s", F.col("p_partkey")).alias("NodeID"),
         F.col("p_name").alias("TagName"),

@@ -11,11 +11,11 @@ DATED = ("telemetry",)
 
 
 def create_tables(spark: SparkSession, fmt: str = "parquet", tables: dict[str, str] = TABLES) -> list[str]:
-    """Create the missing tables of the current database; returns the created names."""
+    """Create the missing tables, of the current database or the one in their names; returns the created names."""
     created = []
     for name, ddl in tables.items():
         if not spark.catalog.tableExists(name):
-            dated = name in DATED
+            dated = name.split(".")[-1] in DATED
             columns = f"{ddl}, date DATE" if dated else ddl
             spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} {'PARTITIONED BY (date)' if dated else ''}")
             created.append(name)
