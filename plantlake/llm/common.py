@@ -19,10 +19,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the folder that all executors share and read again; later steps do not depend on its lineage."""
-    path = scratch(df.sparkSession, name)
+    """`df` written to the folder that all executors share and read again; later steps do not depend on its lineage.
+
+    Executors keep the shuffle files of a finished job until the driver's JVM has collected its plan. The table makes
+    them useless, so the driver collects now rather than whenever its heap fills.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
