@@ -3,6 +3,11 @@
 The ratio is bytes over compressed bytes. It grows with the length of ordinary prose, since a longer text repeats more of
 itself, so the limits belong to bands of length. A text above its band's upper limit repeats itself; one below its lower
 limit is random or encoded data. Chunks catch a part of a text that the whole hides.
+
+Lower limits lie between the highest ratio of random alphanumeric words, the encoded text that packs best (base64 and base85
+are lower), and the lowest of prose. Below 256 bytes the two overlap. Hexadecimal digits pack like prose (1.9) and pass.
+Encoded text is ASCII, and short prose in scripts of three bytes a letter packs no better than it, so a text with many other
+bytes has lower limits that only raw noise falls below.
 """
 
 from collections.abc import Iterator
@@ -15,16 +20,36 @@ from pyspark.sql import DataFrame
 from plantlake.llm import words
 from plantlake.llm.common import per_batch
 
-#: (bytes from, lowest ratio, highest ratio) of whole texts; below the first band a text is too short to judge.
-BANDS = ((64, 0.70, 2.4), (256, 1.02, 2.5), (1024, 1.15, 2.9), (4096, 1.25, 3.2), (16384, 1.3, 3.6), (65536, 1.3, 4.2))
+#: (bytes from, lowest ratio, lowest with many bytes above 127, highest ratio); a text below the first band is too short to judge.
+BANDS = (
+    (64, 0.70, 0.70, 2.4),
+    (256, 1.17, 1.02, 2.5),
+    (320, 1.20, 1.02, 2.5),
+    (384, 1.25, 1.02, 2.5),
+    (512, 1.28, 1.02, 2.5),
+    (640, 1.31, 1.02, 2.5),
+    (768, 1.34, 1.02, 2.5),
+    (1024, 1.36, 1.15, 2.9),
+    (1280, 1.37, 1.15, 2.9),
+    (1536, 1.39, 1.15, 2.9),
+    (2048, 1.41, 1.15, 2.9),
+    (3072, 1.42, 1.15, 2.9),
+    (4096, 1.50, 1.25, 3.2),
+    (16384, 1.55, 1.30, 3.6),
+    (65536, 1.60, 1.30, 4.2),
+)
+#: Share of bytes above 127 that counts as many.
+MANY_HIGH = 1 / 3
 CHUNK_BYTES = 2048
-CHUNK_LOWEST, CHUNK_HIGHEST = 1.12, 4.0
+#: The lowest ratio of a chunk is that of a text of its length.
+CHUNK_HIGHEST = 4.0
 #: Share of a text's chunks that may break the chunk limits.
 BAD_CHUNKS = 0.25
 LEVEL = 3
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
+HIGH = bytes(range(128, 256))
 LEADS = np.ones(256, dtype=bool)
 LEADS[0x80:0xC0] = False
 
@@ -89,16 +114,26 @@ def chunks(text: bytes) -> Iterator[bytes]:
         yield text[k * CHUNK_BYTES : (k + 1) * CHUNK_BYTES if k < n - 1 else len(text)]
 
 
+def limits(text: bytes) -> tuple[float, float] | None:
+    """Lowest and highest ratio of a text, by its length and kind of bytes."""
+    band = next((b for b in reversed(BANDS) if b[0] <= len(text)), None)
+    if band is None:
+        return None
+    many = not text.isascii() and len(text) - len(text.translate(None, HIGH)) > MANY_HIGH * len(text)
+    return band[2 if many else 1], band[3]
+
+
 def in_bands(text: bytes, press: zstandard.ZstdCompressor) -> tuple[float, float, bool]:
     """Ratio of the whole, share of chunks outside the chunk limits, and whether the text is within its limits."""
     whole = ratio(text, press)
-    band = [b for b in BANDS if b[0] <= len(text)]
-    if not band:
+    band = limits(text)
+    if band is None:
         return whole, 0.0, True
-    fine = band[-1][1] <= whole <= band[-1][2]
-    if len(text) < 2 * CHUNK_BYTES:
+    fine = band[0] <= whole <= band[1]
+    parts = list(chunks(text))
+    if len(parts) < 2:
         return whole, 0.0, fine
-    bad = [not CHUNK_LOWEST <= ratio(c, press) <= CHUNK_HIGHEST for c in chunks(text)]
+    bad = [not limits(c)[0] <= ratio(c, press) <= CHUNK_HIGHEST for c in parts]
     share = sum(bad) / len(bad)
     return whole, share, fine and share <= BAD_CHUNKS
 

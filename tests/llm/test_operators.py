@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -335,6 +336,32 @@ def test_bands():
     assert compression.in_bands(b"", press)[2] and compression.in_bands(b"short", press)[2]
 
 
+def test_lower_limits_hold_encoded_text():
+    import base64
+
+    import zstandard
+
+    draw, press = random.Random(3), zstandard.ZstdCompressor(level=3)
+    letters = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    encoded = base64.encodebytes(draw.randbytes(300_000))
+    noise = b" ".join(bytes(draw.choices(letters, k=draw.randint(3, 10))) for _ in range(50_000))
+    base85 = base64.b85encode(draw.randbytes(300_000))
+    for size in (256, 400, 600, 900, 1500, 2048, 3000, 4000, 10_000, 40_000, 300_000):
+        for text in (encoded, noise, base85):
+            assert not compression.in_bands(text[:size], press)[2], (size, text[:20])
+    texts = pq.read_table(f"{FOLDER}/documents.parquet").column("text").to_pylist()
+    prose = [t.encode() for t in texts if t and compression.ratio(t.encode(), press) < 3]
+    prose = [t for t in prose if len(t) >= 256]
+    lowest = [t for t in prose if compression.ratio(t, press) < compression.limits(t)[0]]
+    assert len(prose) > 100 and not lowest
+    korean = "모든 인간은 태어날 때부터 자유로우며 그 존엄과 권리에 있어 동등하다. 인간은 천부적으로 이성과 양심을 부여받았으며 서로".encode()
+    assert not compression.in_bands(draw.randbytes(3000), press)[2] and compression.in_bands(korean, press)[2]
+    long = max(prose, key=len)
+    assert compression.in_bands(long[:3500], press)[2]
+    assert not compression.in_bands(long[:1700] + encoded[:1700], press)[2]
+    assert not compression.in_bands(long[:6000] + encoded[:4500], press)[2]
+
+
 def plain_groups(rows):
     sets = [(r["doc_id"], frozenset(shingles(r["text"]))) for r in rows]
     above = {i: i for i, _ in sets if i is not None}
