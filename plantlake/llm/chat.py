@@ -1,8 +1,10 @@
 """Chat formatting by quotation linking.
 
-Messages are parsed into lines of nested quote levels. What a message says itself, its paragraphs and lines, is hashed after
-normalising, and the first message of a conversation with a passage is its original. Quoted passages are joined to the
-originals by that hash; the message quoted most is the one replied to. A message without a match replies to the one before.
+Messages are parsed into lines of nested quote levels. What a message says itself, its paragraphs, lines and sentences, is
+hashed after normalising, and the first message of a conversation with a passage is its original. Quoted passages are joined
+to the originals by that hash; the message quoted most is the one replied to. Paragraphs and lines count before sentences,
+sentences before passages of a few letters, and a deeper level counts only if no level above it is found. A message without a
+match replies to the one before.
 The conversation is then laid out in reply order, each message without its quotes.
 """
 
@@ -18,7 +20,11 @@ from plantlake.llm.common import running, stored
 
 MARKS = regex.compile(r"^\s*((?:>\s?)+)")
 ATTRIBUTION = regex.compile(r"(?i)\b(wrote|writes|said|schrieb|a écrit|escribió)\s*:\s*$")
+SENTENCE_ENDS = regex.compile(r"[.!?…؟।]+[\p{Pe}\p{Pf}\"']*\s+|[。！？．｡]+")
+#: A passage with fewer normalised characters may be said by chance, so it counts after all longer ones.
 LEAST_CHARS = 8
+#: What a quoted print is of; the lower one counts first.
+WHOLE, SENTENCE, SHORT = 0, 1, 2
 TURNS = 512
 
 
@@ -45,42 +51,71 @@ def passages(lines: list[tuple[int, str]]) -> Iterator[tuple[int, str]]:
             at = level
 
 
-def print_of(passage: str) -> int | None:
-    """A hash of the letters and digits of a passage, in lower case; none for a passage that is too short to tell."""
-    plain = " ".join(regex.findall(r"[\p{L}\p{N}]+", passage.lower()))
-    return xxhash.xxh3_64_intdigest(plain) - (1 << 63) if len(plain) >= LEAST_CHARS else None
+def print_of(passage: str) -> tuple[int, bool] | None:
+    """A hash of the letters and digits of a passage, in lower case, and whether they are few; none if there are none.
+
+    A passage of pictographs alone is hashed by them.
+    """
+    plain = " ".join(regex.findall(r"[\p{L}\p{N}]+", passage.lower())) or "".join(regex.findall(r"\p{So}+", passage))
+    return (xxhash.xxh3_64_intdigest(plain) - (1 << 63), len(plain) < LEAST_CHARS) if plain else None
+
+
+def sentences(passage: str) -> list[str]:
+    return SENTENCE_ENDS.split(passage)
 
 
-def parsed(text: str) -> tuple[str, set[int], set[int], int]:
-    """Own text without quotes, prints of own passages, prints of passages quoted at the first level, quoted lines."""
+def kinds(passage: str) -> Iterator[tuple[int, int]]:
+    """Print and kind of a quoted passage and of its sentences; short sentences tell nothing beside longer ones."""
+    if whole := print_of(passage):
+        yield whole[0], SHORT if whole[1] else WHOLE
+    found = [h for x in sentences(passage) if (h := print_of(x))]
+    few = all(short for _, short in found)
+    yield from ((h, SHORT if short else SENTENCE) for h, short in found if few or not short)
+
+
+def parsed(text: str) -> tuple[str, set[int], dict[tuple[int, int], int], int]:
+    """Own text without quotes, prints of own passages, kinds of quoted prints by level and print, quoted lines."""
     lines = levels(text)
     own = [line for level, line in lines if level == 0]
-    said = [*passages([(0, line) for line in own]), *((0, line) for line in own), (0, "\n".join(own))]
-    quoted = [(k, p) for k, p in passages(lines) if k == 1] + [x for x in lines if x[0] == 1]
-    prints = [{h for _, p in ps if (h := print_of(p)) is not None} for ps in (said, quoted)]
-    return "\n".join(own).strip(), prints[0], prints[1], sum(level > 0 for level, _ in lines)
+    said = {p for _, p in passages([(0, line) for line in own])} | set(own)
+    said = said | {x for p in said for x in sentences(p)} | {"\n".join(own)}
+    quoted: dict[tuple[int, int], int] = {}
+    for level, passage in [*passages(lines), *lines]:
+        for found, kind in kinds(passage) if level else ():
+            quoted[level, found] = min(kind, quoted.get((level, found), kind))
+    prints = {h[0] for p in said if (h := print_of(p))}
+    return "\n".join(own).strip(), prints, quoted, sum(level > 0 for level, _ in lines)
 
 
-SCHEMA = "conv_id long, turn long, role string, text string, said array<long>, quoted array<long>, quoted_lines long"
+QUOTED = "array<struct<level:bigint,print:bigint,kind:bigint>>"
+SCHEMA = f"conv_id long, turn long, role string, text string, said array<long>, quoted {QUOTED}, quoted_lines long"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [parsed(t or "") for t in batch.column(3).to_pylist()]
         columns = [*batch.columns[:3], pa.array([r[0] for r in rows], pa.string())]
-        columns += [pa.array([sorted(r[k]) for r in rows], pa.list_(pa.int64())) for k in (1, 2)]
+        columns.append(pa.array([sorted(r[1]) for r in rows], pa.list_(pa.int64())))
+        quoted = [[{"level": a, "print": h, "kind": kind} for (a, h), kind in sorted(r[2].items())] for r in rows]
+        columns.append(pa.array(quoted, pa.list_(pa.struct([(n, pa.int64()) for n in ("level", "print", "kind")]))))
         columns.append(pa.array([r[3] for r in rows], pa.int64()))
         yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SCHEMA.split(", ")])
 
 
 def _parents(rows: DataFrame) -> DataFrame:
-    """conv_id, turn, parent: the message that a message quotes, by the number of passages and then the latest."""
+    """conv_id, turn, quoted_turn: the message that a message quotes.
+
+    The lowest level that is found decides, by the number of passages, of sentences, of short passages and then the latest.
+    """
     said = rows.select("conv_id", "turn", F.explode("said").alias("print"))
     originals = said.groupBy("conv_id", "print").agg(F.min("turn").alias("parent"))
-    quotes = rows.select("conv_id", "turn", F.explode("quoted").alias("print")).distinct()
+    quotes = rows.select("conv_id", "turn", F.inline("quoted"))
+    quotes = quotes.groupBy("conv_id", "turn", "level", "print").agg(F.min("kind").alias("kind"))
     met = quotes.join(originals, ["conv_id", "print"]).where("parent < turn")
-    votes = met.groupBy("conv_id", "turn", "parent").agg(F.count("*").alias("n"))
-    best = votes.groupBy("conv_id", "turn").agg(F.max(F.struct("n", "parent")).alias("best"))
+    counts = [F.count_if(F.col("kind") == kind).alias(f"n{kind}") for kind in (WHOLE, SENTENCE, SHORT)]
+    votes = met.groupBy("conv_id", "turn", "level", "parent").agg(*counts)
+    order = F.struct((-F.col("level")).alias("above"), "n0", "n1", "n2", "parent")
+    best = votes.groupBy("conv_id", "turn").agg(F.max(order).alias("best"))
     return best.select("conv_id", "turn", F.col("best.parent").alias("quoted_turn"))
 
 

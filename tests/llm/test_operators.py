@@ -273,6 +273,33 @@ def test_conversations(spark):
     assert chat.formatted(frame.limit(0)).count() == 0
 
 
+def test_short_partial_and_deep_quotes(spark):
+    turns = [
+        ("Shall we go to the lake, or rather up the hill on Sunday? The weather will be fine. Bring some water.", None),
+        ("Yes", 0),
+        ("42", 1),
+        ("好的。明天见。我会带水来的朋友们。", 2),
+        ("👍", 3),
+        ("Hm. No way. It will rain all day long.", 4),
+        ("> The weather will be fine.\nAre you sure?", 0),
+        ("> yes\nGood.", 1),
+        ("> 42\nWhy?", 2),
+        ("> 明天见\nWhere?", 3),
+        ("> 👍\nGreat.", 4),
+        (">> It will rain\n>> all day long.\nThen we stay.", 5),
+        ("> No way!\nPity.", 5),
+        ("> Yes\n> Bring some water.\nHow much?", 0),
+        (">> Bring some water.\n> 42\nLitres?", 2),
+        ("> Yes. That was said by somebody else.\n> ```\nWho?", 14),
+    ]
+    rows = [(1, k, "user", t) for k, (t, _) in enumerate(turns)] + [(2, 0, "user", "Hello"), (2, 1, "user", "Fine"), (2, 2, "user", "> 42")]
+    got = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert [r["reply_to"] for r in sorted(got, key=lambda r: r["turn"]) if r["conv_id"] == 1] == [p for _, p in turns]
+    links = {(r["conv_id"], r["turn"]): r["link"] for r in got}
+    assert {k for k, link in links.items() if link == "quote"} == {(1, k) for k in range(6, 15)}
+    assert links[2, 2] == "previous"
+
+
 def test_reply_order_with_branches(spark):
     said = "message number {} says something of its own"
     parents = {1: 0, 2: 1, 3: 2, 4: 1, 5: 4, 6: 2, 7: 4}
