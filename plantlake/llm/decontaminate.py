@@ -3,7 +3,8 @@
 A test item of n characters may occur in a document with up to k = floor(rate * n) edits. Cut into k + 1 pieces, at least
 one piece must then stand in the document unchanged. All pieces of a block of items are searched in one pass with an
 Aho-Corasick automaton; a hit fixes where the item would have to lie, and Myers' bit-parallel algorithm measures the least
-edit distance of the item to any stretch of the text there.
+edit distance of the item to any stretch of the text there. An item too short for an edit is its own only piece and must
+stand between word boundaries.
 
 Items come in blocks of bounded size, one pass over the documents for each block, so what is sent to the executors does not
 grow with the benchmark.
@@ -14,6 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +23,10 @@ from plantlake.llm import words
 from plantlake.llm.common import per_batch
 
 ERROR_RATE = 0.08
-#: An item shorter than this, in normalised bytes, does not identify a test and is not searched.
-LEAST_BYTES = 24
+#: An item shorter than this, in normalised bytes, is not searched: it is empty.
+LEAST_BYTES = 1
+#: An item shorter than this may be part of a word by chance, so without an edit to spend it must stand between word boundaries.
+SHORT_BYTES = 24
 BLOCK_CHARS = 2_000_000
 TEXT_BYTES = 1 << 20
 
@@ -55,6 +59,24 @@ def texts_of(column: pa.Array) -> list[str]:
     return [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
 
+#: What continues a word: any letter, digit or mark, but for scripts that are written without spaces.
+IN_WORD = regex.compile(
+    r"(?V1)[[\p{L}\p{M}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]]"
+)
+MARK = regex.compile(r"\p{M}")
+
+
+def inside_word(text: str, at: int) -> bool:
+    """Whether place `at` of a normalised text, where a character begins, has the same word on both sides."""
+    if not 0 < at < len(text):
+        return False
+    if text[at - 1] < "\x80" and text[at] < "\x80":
+        return text[at - 1] != " " and text[at] != " "
+    left = text[max(0, at - 4) : at].encode("latin-1").decode("utf-8", "ignore")[-1:]
+    right = text[at : at + 4].encode("latin-1").decode("utf-8", "ignore")[:1]
+    return bool(MARK.match(right) or (IN_WORD.match(left) and IN_WORD.match(right)))
+
+
 def nearest(pattern: str, text: str) -> tuple[int, int]:
     """Least edit distance of `pattern` to any stretch of `text`, and where the first such stretch ends.
 
@@ -95,6 +117,7 @@ class Matcher:
     """Finds the items of one block in texts."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
+        items = [(i, t if len(t) >= SHORT_BYTES else t.rstrip(" ")) for i, t in items]
         self.items = [(i, t, int(rate * len(t))) for i, t in items if len(t) >= LEAST_BYTES]
         self.automaton = None
 
@@ -124,6 +147,12 @@ class Matcher:
                 if k in best and best[k][0] == 0:
                     continue
                 begin = end + 1 - size - at
+                if not errors and len(item) < SHORT_BYTES:
+                    if not (inside_word(text, begin) or inside_word(text, end + 1)):
+                        best[k] = (0, end + 1)
+                        if first_only:
+                            return [(k, *best[k])]
+                    continue
                 # An earlier look at the same item has covered this place if it began close by.
                 if k in done and abs(begin - done[k]) <= errors and k in best:
                     continue
@@ -155,9 +184,9 @@ SCHEMA = "doc_id long, item_id long, distance int, budget int, text_end long"
 def leaks(df: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """doc_id, item_id, distance, budget and text_end for each document of `df` and item of `benchmark` found in it.
 
-    `text_end` is where the best match ends in the normalised text. Null texts and items, empty ones and items below
-    `LEAST_BYTES` match nothing. Items with equal texts are found alike; a repeated row of `df` gives its rows again, a
-    repeated row of `benchmark` nothing more. With an empty table on either side there are no rows.
+    `text_end` is where the best match ends in the normalised text. Null texts and items and those without a letter or digit
+    match nothing. Items with equal texts are found alike; a repeated row of `df` gives its rows again, a repeated row of
+    `benchmark` nothing more. With an empty table on either side there are no rows.
     """
     rows = df.select(df["doc_id"].cast("long").alias("doc_id"), "text")
     found = [rows.mapInArrow(_search(df, block, rate), SCHEMA) for block in blocks_of(benchmark)]

@@ -245,6 +245,22 @@ def test_leaks(spark, edges, nothing):
     assert decontaminate.leaks(nothing, bench).count() == 0 and decontaminate.leaks(frame, bench.limit(0)).count() == 0
 
 
+def test_short_items(spark):
+    items = ["Tiny!", "42", "東京", "мир", "José", "blue whale", "What is it", "red apples grow", "?", "日本の首都は東京"]
+    texts = {
+        "a tiny house": {0}, "destiny and tinytown": set(), "it is 42.": {1}, "420 or 142": set(), "TINY": {0},
+        "私は東京に住む。": {2}, "Война и мир": {3}, "“мир”": {3}, "смирный": set(), "by josé, née": {4}, "josés": set(),
+        "two Blue\nWhales, a blue whale": {5}, "blue whales": set(), "so what is it?": {6}, "what is in": set(),
+        "big red aples grow here": {7}, "red pears grow": set(), "? ! ?": set(), "Wo? 日本の首都は東京です": {2, 9},
+    }
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame, bench).collect()}
+    assert got == {(d, i) for d, found in enumerate(texts.values()) for i in found}
+    clean = {r["doc_id"] for r in decontaminate.clean(frame, bench).collect()}
+    assert clean == {d for d, found in enumerate(texts.values()) if not found}
+
+
 def test_conversations(spark):
     rows = [
         (1, 0, "system", "You are a helpful machine."),
