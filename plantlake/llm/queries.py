@@ -9,6 +9,7 @@ from plantlake.llm import (
     decontaminate,
     jaccard,
     langid,
+    minhash,
     mixing,
     orc_ids,
     shard_tree,
@@ -81,6 +82,11 @@ def op10_orc_ids(spark: SparkSession, folder: str) -> DataFrame:
     return orc_ids.contents(spark, path)
 
 
+def op11_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of near copies at 0.85 among all documents, and the document that each keeps."""
+    return minhash.grouped(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -94,6 +100,7 @@ QUERIES = {
         op8_compression,
         op9_jaccard,
         op10_orc_ids,
+        op11_circulant_minhash,
     )
 }
 
@@ -117,4 +124,7 @@ SELECT sized.doc_id, CAST(n AS BIGINT) AS n_shingles, least(sized.doc_id, coales
 FROM sized LEFT JOIN reach ON reach.a = sized.doc_id GROUP BY sized.doc_id, n
 """
 
-ORACLES = {"op9_jaccard": JACCARD_SQL}
+#: The same at 0.85, with the kept document of each component.
+MINHASH_SQL = f"SELECT *, doc_id = component_id AS kept FROM ({JACCARD_SQL.replace('>= 75 *', '>= 85 *')})"
+
+ORACLES = {"op9_jaccard": JACCARD_SQL, "op11_circulant_minhash": MINHASH_SQL}
