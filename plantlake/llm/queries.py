@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from plantlake.llm import (
+    alignment,
     bpe_count,
     chat,
     compression,
@@ -19,6 +20,7 @@ from plantlake.llm.common import table
 from plantlake.session import scratch
 
 VOCABULARY = "byte_bpe_50k.json"
+OTHER_VOCABULARY = "piece_bpe_32k.model"
 
 
 def vocabulary(name: str = VOCABULARY) -> str:
@@ -87,6 +89,11 @@ def op11_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.grouped(table(spark, folder, "documents"))
 
 
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of two vocabularies meet in all documents, and how common their id pairs are."""
+    return alignment.aligned(table(spark, folder, "documents"), vocabulary(), vocabulary(OTHER_VOCABULARY))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,6 +108,7 @@ QUERIES = {
         op9_jaccard,
         op10_orc_ids,
         op11_circulant_minhash,
+        op13_alignment,
     )
 }
 
