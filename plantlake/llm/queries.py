@@ -13,6 +13,7 @@ from plantlake.llm import (
     minhash,
     mixing,
     orc_ids,
+    repair,
     shard_tree,
     toxicity,
 )
@@ -89,6 +90,11 @@ def op11_circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.grouped(table(spark, folder, "documents"))
 
 
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and the cheapest repair of all conversations, after damage."""
+    return repair.conversations(table(spark, folder, "conversations"))
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """How the tokens of two vocabularies meet in all documents, and how common their id pairs are."""
     return alignment.aligned(table(spark, folder, "documents"), vocabulary(), vocabulary(OTHER_VOCABULARY))
@@ -108,6 +114,7 @@ QUERIES = {
         op9_jaccard,
         op10_orc_ids,
         op11_circulant_minhash,
+        op12_repair,
         op13_alignment,
     )
 }
