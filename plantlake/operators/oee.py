@@ -22,6 +22,7 @@ from plantlake.functions.text import matches, not_empty, number, percent
 from plantlake.operators.lkv import writers_of
 from plantlake.operators.shifts import with_windows
 from plantlake.operators.timerange import between_open, utc
+from plantlake.operators.zones import zone_index
 from plantlake.schemas import (
     DEFAULT_SHIFTS,
     DISCARDED,
@@ -182,7 +183,7 @@ def production_writers(lkv: DataFrame, sites: DataFrame) -> DataFrame:
 def shift_counters(telemetry: DataFrame, lkv: DataFrame, sites: DataFrame, shifts=DEFAULT_SHIFTS) -> DataFrame:
     """Counters per writer and minute with the station and the shift they fall into.
 
-    Readings shrink to minutes before the join with the writers; the shift is computed from the row itself.
+    Readings shrink to minutes before the join with the writers; the shift comes from an index of the sites' zones.
     """
     writers = production_writers(lkv, sites)
     located = minute_counters(telemetry).join(writers, "Subject")
@@ -190,7 +191,7 @@ def shift_counters(telemetry: DataFrame, lkv: DataFrame, sites: DataFrame, shift
         F.col("minute") + F.expr("INTERVAL 1 MINUTE")
     )
     return (
-        with_windows(located.withColumn("until", until), "minute", "tz", shifts)
+        with_windows(located.withColumn("until", until), "minute", "tz", shifts, zone_index(sites))
         .where(
             F.when(F.col("on_minute"), F.col("start_ts") < F.col("minute")).otherwise(
                 F.col("start_ts") <= F.col("minute")

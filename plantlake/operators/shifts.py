@@ -1,25 +1,77 @@
 """Shift calendars: windows in UTC, shift of a timestamp, windows joined to rows, breaks."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantlake.operators.zones import INDEX_COLUMNS, floor_div, instant_of, offset_at, offset_before, with_zone, zone_index
 from plantlake.schemas import BREAK_HOURS, DEFAULT_SHIFTS
 
-# No zone ever changed its offset by more than a day, so wall clocks are off by at most that and an hour. Where
-# the offset is the same a day and two hours before and after, only a change that was undone meanwhile is left.
-SLACK_MIN, CHANGED_SLACK_MIN = 180, 25 * 60
+DAY_MIN, MINUTE = 1440, 60_000_000
+DAY = DAY_MIN * MINUTE
 
 
 def calendar_rows(calendar: DataFrame) -> tuple[tuple[str, int, int], ...]:
     """A calendar table (shift, start_min, end_min) as a parameter; with a `position` column in its order.
 
-    A calendar describes one day, so it is a parameter, not data. For window tables use `join_windows`.
+    All functions of this module take a calendar as such a tuple or as a table, of any length.
     """
     if "position" in calendar.columns:
         calendar = calendar.orderBy("position")
     return tuple((r["shift"], r["start_min"], r["end_min"]) for r in calendar.collect())
 
 
+def calendar_table(spark: SparkSession, shifts) -> DataFrame:
+    """shift, start_min, end_min, position of a calendar that is given as rows or as a table.
+
+    A table without `position` is ordered by its times and names.
+    """
+    if isinstance(shifts, DataFrame):
+        order = F.col("position") if "position" in shifts.columns else F.struct("start_min", "end_min", "shift")
+        return shifts.select("shift", "start_min", "end_min", order.alias("position"))
+    rows = [
+        F.struct(F.lit(name).alias("shift"), F.lit(start).alias("start_min"), F.lit(end).alias("end_min"), F.lit(k).alias("position"))
+        for k, (name, start, end) in enumerate(shifts)
+    ]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+
+
+def shifts_of_minutes(calendar: DataFrame) -> DataFrame:
+    """tod_min, back, shift, from_min, to_min: for each minute of a day the shifts that hold it, ends included.
+
+    `back` is how many days before the shift's day began; `to_min` counts on past midnight. A calendar of any
+    length is looked up by an equality on the minute.
+    """
+    stop = F.col("end_min") + F.when(F.col("end_min") < F.col("start_min"), DAY_MIN).otherwise(0)
+    rows = calendar.select("shift", F.col("start_min").alias("from_min"), stop.alias("to_min"))
+    rows = rows.withColumn("at", F.explode(F.sequence("from_min", "to_min")))
+    return rows.select(
+        F.pmod("at", F.lit(DAY_MIN)).cast("int").alias("tod_min"),
+        floor_div(F.col("at").cast("long"), DAY_MIN).cast("int").alias("back"),
+        "shift", "from_min", "to_min",
+    )
+
+
+def first_of_minutes(calendar: DataFrame) -> DataFrame:
+    """tod_min, whole, shift, back: the first shift of the calendar at each full minute and within it, one row each.
+
+    Ends belong to a shift, and so does its start unless it runs past midnight.
+    """
+    wraps = F.col("end_min") < F.col("start_min")
+    stop = F.col("end_min") + F.when(wraps, DAY_MIN).otherwise(0)
+    full = F.when(F.col("start_min") + wraps.cast("int") <= stop, F.sequence(F.col("start_min") + wraps.cast("int"), stop))
+    inner = F.when(F.col("start_min") < stop, F.sequence(F.col("start_min"), stop - 1))
+    rows = [
+        calendar.select("shift", "position", F.lit(whole).alias("whole"), F.explode(at).alias("at"))
+        for whole, at in ((True, full), (False, inner))
+    ]
+    rows = rows[0].unionByName(rows[1]).select(
+        F.pmod("at", F.lit(DAY_MIN)).cast("int").alias("tod_min"), "whole", "position",
+        F.struct("shift", floor_div(F.col("at").cast("long"), DAY_MIN).cast("int").alias("back")).alias("hit"),
+    )
+    first = rows.groupBy("tod_min", "whole").agg(F.min_by("hit", F.struct("position", F.col("hit.back"))).alias("hit"))
+    return first.select("tod_min", "whole", "hit.shift", "hit.back")
+
+
 def parse_calendar(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Lines `name,HH:mm,HH:mm` to (shift, start_min, end_min); other part counts are skipped."""
     part = F.split(F.col(line_col), ",")
@@ -36,9 +88,8 @@ def parse_calendar(lines: DataFrame, line_col: str = "value") -> DataFrame:
     )
 
 
-def _instant(day: Column, minute: int, zone: Column) -> Column:
-    wall = day.cast("timestamp") + F.expr(f"INTERVAL {minute} MINUTE")
-    return F.to_utc_timestamp(wall, zone)
+def _instant(day: Column, minute: str) -> Column:
+    return F.to_utc_timestamp(day.cast("timestamp") + F.make_dt_interval(mins=F.col(minute)), F.col("tz"))
 
 
 def shift_windows(sites: DataFrame, first_day: str, last_day: str, shifts=DEFAULT_SHIFTS) -> DataFrame:
@@ -52,99 +103,72 @@ def shift_windows(sites: DataFrame, first_day: str, last_day: str, shifts=DEFAUL
         "tz",
         F.explode(F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))).alias("shift_day"),
     )
-    zone = F.col("tz")
-    options = []
-    for name, start_min, end_min in shifts:
-        end_day = F.col("shift_day") if end_min >= start_min else F.date_add("shift_day", 1)
-        options.append(
-            F.struct(
-                F.lit(name).alias("shift"),
-                _instant(F.col("shift_day"), start_min, zone).alias("start_ts"),
-                _instant(end_day, end_min, zone).alias("end_ts"),
-            )
-        )
-    return days.select("Site", "shift_day", F.inline(F.array(*options)))
-
-
-def with_windows(df: DataFrame, ts_col: str, zone_col: str = "tz", shifts=DEFAULT_SHIFTS) -> DataFrame:
+    calendar = calendar_table(sites.sparkSession, shifts)
+    # A calendar describes one day; it is one value that every day unfolds.
+    rows = calendar.agg(F.collect_list(F.struct("shift", "start_min", "end_min"))).scalar()
+    spans = days.select("Site", "tz", "shift_day", F.inline(rows))
+    end_day = F.date_add("shift_day", (F.col("end_min") < F.col("start_min")).cast("int"))
+    return spans.select(
+        "Site", "shift_day", "shift",
+        _instant(F.col("shift_day"), "start_min").alias("start_ts"),
+        _instant(end_day, "end_min").alias("end_ts"),
+    )
+
+
+def with_windows(df: DataFrame, ts_col: str, zone_col: str = "tz", shifts=DEFAULT_SHIFTS, zones: DataFrame | None = None) -> DataFrame:
     """Rows with the shift windows near them: shift, shift_day, start_ts and end_ts (UTC).
 
-    Zone conversions cost more than anything else here. Three per row tell the wall clock and whether the
-    zone's offset changes around it; with them the shifts are picked whose wall-clock hours are at most SLACK_MIN
-    away, or CHANGED_SLACK_MIN around a change, on the local day, the two before and the one after. Only
-    these get exact bounds, so a caller still compares the instant with the bounds.
+    An index of zone offsets (`zone_index`, built here unless given) tells the wall clock; the shifts that hold its
+    minute are looked up in a table, and the index turns their wall-clock bounds into instants. Where a wall clock has just
+    been changed, the one it would show without the change is looked up as well. So a shift of which the instant is part is
+    always there, but a caller still compares the instant with the exact bounds. Rows in no shift are left out.
     """
-    local, tod = "_local", "_tod"
-    options = []
-    for name, start_min, end_min in shifts:
-        wraps = end_min < start_min
-        stop = end_min + 1440 if wraps else end_min
-        for back in (-1, 0, 1, 2):
-            # Minutes since the midnight on which the shift's day began.
-            at = F.col(tod) + 1440 * back
-            options.append(
-                F.when(
-                    at.between(F.lit(start_min) - F.col("_slack"), F.lit(stop) + F.col("_slack")),
-                    F.struct(
-                        F.lit(name).alias("shift"),
-                        F.date_sub(F.to_date(local), back).alias("shift_day"),
-                        F.lit(start_min).alias("from_min"),
-                        F.lit(stop).alias("to_min"),
-                    ),
-                )
-            )
+    spark, columns = df.sparkSession, df.columns
+    micros, other = F.unix_micros(F.col(ts_col)), F.col("_before")
+    index = zone_index(df.select(zone_col), zone_col) if zones is None else zones
+    located = with_zone(df, index, micros, zone_col)
+    located = located.withColumns({"_own": micros + offset_at(micros), "_before": micros + offset_before(micros)})
+    walls = F.when(other.isNull(), F.array("_own")).otherwise(F.array("_own", "_before"))
+    walls = located.where(F.col("_own").isNotNull()).withColumn("_wall", F.explode(walls)).drop("_before")
+    walls = walls.withColumns(
+        {"_day": floor_div(F.col("_wall"), DAY), "_tod": floor_div(F.pmod("_wall", F.lit(DAY)), MINUTE).cast("int")}
+    )
+    near = walls.join(shifts_of_minutes(calendar_table(spark, shifts)), F.col("_tod") == F.col("tod_min"))
+    near = near.withColumn("_day", F.col("_day") - F.col("back"))
+    since = floor_div(F.col("_own") - F.col("_day") * DAY, MINUTE)
+    # What the own wall clock finds is not to be found again.
+    once = near.where((F.col("_wall") == F.col("_own")) | ~since.between(F.col("from_min"), F.col("to_min")))
 
     def bound(minute: str) -> Column:
-        wall = F.col("shift_day").cast("timestamp") + F.make_dt_interval(mins=F.col(minute))
-        return F.to_utc_timestamp(wall, F.col(zone_col))
+        return F.timestamp_micros(instant_of(F.col("_day") * DAY + F.col(minute) * F.lit(MINUTE).cast("long")))
 
-    def wall(shift: str) -> Column:
-        return F.from_utc_timestamp(F.col(ts_col) + F.expr(shift), F.col(zone_col)) - F.expr(shift)
-
-    steady = (wall("INTERVAL 26 HOUR") == F.col(local)) & (wall("INTERVAL -26 HOUR") == F.col(local))
-    return (
-        df.withColumn(local, F.from_utc_timestamp(F.col(ts_col), F.col(zone_col)))
-        .withColumn(tod, F.hour(local) * 60 + F.minute(local))
-        .withColumn("_slack", F.when(steady, SLACK_MIN).otherwise(CHANGED_SLACK_MIN))
-        .select(*df.columns, F.inline(F.array_compact(F.array(*options))))
-        .withColumns({"start_ts": bound("from_min"), "end_ts": bound("to_min")})
-        .drop("from_min", "to_min")
-    )
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.col("_day").cast("int")).alias("shift_day")
+    return once.select(*columns, "shift", day, bound("from_min").alias("start_ts"), bound("to_min").alias("end_ts"))
 
 
 def assign_shift(
-    df: DataFrame, zone_col: str = "tz", ts_col: str = "Timestamp", shifts=DEFAULT_SHIFTS
+    df: DataFrame, zone_col: str = "tz", ts_col: str = "Timestamp", shifts=DEFAULT_SHIFTS, zones: DataFrame | None = None
 ) -> DataFrame:
     """Add `shift` and `shift_day` (both NULL outside of shifts) from the local wall clock.
 
     Ends are inclusive. A shift past midnight belongs to the day it starts on; the very
     instant of its start does not count, as the plant's own test has it. The first matching
-    shift of the calendar wins. No join and no shuffle: the calendar is part of the expression.
+    shift of the calendar wins. Readings are not shuffled: the offset of the zone (`zone_index`, built here unless given)
+    and the shift of the minute come from two small tables.
     """
-    local = F.col("_local")
-    tod = F.unix_micros(local) - F.unix_micros(F.date_trunc("day", local))
-    minute = 60_000_000
-    hits = []
-    for name, start_min, end_min in shifts:
-        start, end = F.lit(start_min * minute), F.lit(end_min * minute)
-        day = F.to_date(local)
-        if end_min >= start_min:
-            hit = F.when(
-                (tod >= start) & (tod <= end),
-                F.struct(F.lit(name).alias("shift"), day.alias("shift_day")),
-            )
-        else:
-            hit = F.when(
-                tod > start, F.struct(F.lit(name).alias("shift"), day.alias("shift_day"))
-            ).when(
-                tod <= end,
-                F.struct(F.lit(name).alias("shift"), F.date_sub(day, 1).alias("shift_day")),
-            )
-        hits.append(hit)
-    return (
-        df.withColumn("_local", F.from_utc_timestamp(F.col(ts_col), F.col(zone_col)))
-        .withColumn("_shift", F.coalesce(*hits))
-        .select(*df.columns, "_shift.shift", "_shift.shift_day")
+    spark, columns = df.sparkSession, df.columns
+    micros = F.unix_micros(F.col(ts_col))
+    index = zone_index(df.select(zone_col), zone_col) if zones is None else zones
+    located = with_zone(df, index, micros, zone_col).withColumn("_wall", micros + offset_at(micros)).drop(*INDEX_COLUMNS)
+    tod = F.pmod("_wall", F.lit(DAY))
+    located = located.withColumns({"_tod": floor_div(tod, MINUTE).cast("int"), "_whole": tod % MINUTE == 0})
+    first = first_of_minutes(calendar_table(spark, shifts)).withColumnsRenamed({"shift": "_shift", "back": "_back"})
+    found = located.join(first, (F.col("_tod") == F.col("tod_min")) & (F.col("_whole") == F.col("whole")), "left")
+    days = (floor_div(F.col("_wall"), DAY) - F.col("_back")).cast("int")
+    return found.select(
+        *columns,
+        F.col("_shift").alias("shift"),
+        F.date_add(F.lit("1970-01-01").cast("date"), days).alias("shift_day"),
     )
 
 

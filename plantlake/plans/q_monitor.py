@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from plantlake.functions import sqlfuncs, text
 from plantlake.operators import analytics, lkv, monitor, oee, shifts
+from plantlake.operators.zones import zone_index
 from plantlake.plans.fixtures import Plant
 from plantlake.plans.registry import query
 from plantlake.session import scratch
@@ -380,8 +381,7 @@ def oee_by_calendar(p: Plant):
     path = scratch(p.spark, "calendar")
     lines = ["Morning,07:00,14:00", "Afternoon,15:00,22:00", "no shift", "Night,23:00,06:00"]
     p.spark.createDataFrame([(line,) for line in lines], "value STRING").coalesce(1).write.text(path)
-    calendar = shifts.calendar_rows(read_shift_calendar(p.spark, path))
-    found = oee.oee_by_shift(p.big, p.lkv, p.sites, calendar)
+    found = oee.oee_by_shift(p.big, p.lkv, p.sites, read_shift_calendar(p.spark, path))
     return found.select(
         "Site", "Workcell", F.col("shift_day").cast("string").alias("shift_day"), "shift", F.round("oee", 6).alias("oee")
     )
@@ -418,7 +418,7 @@ LOCAL = """SELECT b.Subject, b.Timestamp, b.Name, s.Site, (b.Timestamp AT TIME Z
 )
 def shift_assign(p: Plant):
     where = p.writers.select(F.col("writer").cast("string").alias("Subject"), "Site").join(p.sites, "Site")
-    assigned = shifts.assign_shift(p.big.join(where, "Subject"))
+    assigned = shifts.assign_shift(p.big.join(where, "Subject"), zones=zone_index(p.sites))
     return assigned.groupBy("Site", "Name", "shift", F.col("shift_day").cast("string").alias("shift_day")).agg(
         F.count(F.lit(1)).alias("n")
     )
