@@ -46,7 +46,9 @@ def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable
 
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose `column` holds about `most` bytes; a longer text is a part of its own."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.large_string())), 0).to_pylist()
+    values = batch.column(column)
+    values = values if pa.types.is_binary(values.type) else values.cast(pa.large_string())
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
     first, held = 0, 0
     for k, size in enumerate(sizes):
         if k > first and held + size > most:

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,31 +179,61 @@ def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     return stored(full.select("a", "b", "x", "y").mapInArrow(_check, "a long, b long").distinct(), f"{name}-links")
 
 
-def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+BLOCKS = "block long, node long, shingles binary, tokens array<long>, held array<long>"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets in numbered blocks, and one more row a block: how many of its sets hold each of its shingles."""
+    block = TaskContext.get().partitionId() << 32
     for batch in batches:
-        tokens = [_set(v) for v in batch.column(1).to_pylist()]
-        names = np.repeat(batch.column(0).to_numpy(), [len(t) for t in tokens])
-        wide = pa.RecordBatch.from_arrays([_signed(np.concatenate(tokens)), pa.array(names)], names=["token", "print_a"])
-        for first in range(0, wide.num_rows, 1 << 18):
-            yield wide.slice(first, 1 << 18)
+        for part in slices(batch, "shingles", BATCH_BYTES):
+            n = part.num_rows
+            tokens, held = np.unique(np.concatenate([_set(v) for v in part.column(1).to_pylist()]), return_counts=True)
+            offsets = pa.array(np.r_[np.zeros(n + 1), len(tokens)].astype(np.int32))
+            columns = [
+                pa.array(np.full(n + 1, block)),
+                *(pa.concat_arrays([part.column(k), pa.nulls(1, part.column(k).type)]) for k in (0, 1)),
+                pa.ListArray.from_arrays(offsets, _signed(tokens)),
+                pa.ListArray.from_arrays(offsets, pa.array(held)),
+            ]
+            block += 1
+            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in BLOCKS.split(", ")])
+
+
+def _rarest(sets: pa.Table, shared: pa.Table) -> pa.Table:
+    """Of the rarest shingles of each set in a block those that stand among the `shared` ones, which have their counts."""
+    known = shared.column("token").to_numpy()
+    order = np.argsort(known.view(np.uint64))
+    known, held = known.view(np.uint64)[order], shared.column("held").to_numpy()[order]
+    nodes, found = [], []
+    for node, value in zip(sets.column("node").to_pylist(), sets.column("shingles").to_pylist(), strict=True):
+        own = _set(value)
+        at = np.searchsorted(known, own)
+        at[at == len(known)] = 0
+        times = np.where(known[at] == own, held[at], 1) if len(known) else np.ones(len(own), np.int64)
+        # Its size less what a linked set must share of it, and one.
+        most = len(own) + OVER * len(own) // -UNDER + 1
+        first = np.lexsort((own, times))[:most]
+        first = first[times[first] > 1]
+        found.append(own[first])
+        nodes += [node] * len(first)
+    tokens = np.concatenate(found) if found else np.zeros(0, np.uint64)
+    return pa.table({"token": _signed(tokens), "node": pa.array(nodes, pa.int64())})
 
 
 def by_rare_shingles(sets: DataFrame) -> DataFrame:
-    """token, node: for each of `sets` (node, n, print_a, shingles) those of its rarest shingles that another set holds too.
+    """token, node: for each of `sets` (node, shingles) those of its rarest shingles that another set holds too.
 
-    Rarest is what the fewest of `sets` hold; ties go by the shingle's hash, so the order is one for all sets.
+    Rarest is what the fewest of `sets` hold; ties go by the shingle's hash, so the order is one for all sets. Shingles are
+    counted in blocks of sets first, and only the counts of a block are shuffled and brought back to it.
     """
-    tokens = sets.select("print_a", "shingles").mapInArrow(_exploded, "token long, print_a long")
-    tokens = stored(tokens, "tokens")
-    counts = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
-    shared = stored(split_join(tokens, counts, ["token"], F.col("print_a")), "shared")
-    # What a set holds alone is rarer than all it shares, and comes first in its order.
-    most = F.expr(f"n - ceil({OVER} * n / {UNDER}) + 1 - _shared_not")
-    own = sets.select("print_a", "node", "n").join(shared.groupBy("print_a").agg(F.count("*").alias("_shared")), "print_a")
-    own = own.withColumn("_shared_not", F.expr("n - _shared")).select("print_a", "node", most.alias("most")).where("most > 0")
-    place = F.expr("row_number() OVER (PARTITION BY print_a ORDER BY held, token)")
-    ranked = shared.join(own, "print_a").withColumn("_place", place)
-    return ranked.where("_place <= most").select("token", "node")
+    rows = stored(sets.select("node", "shingles").mapInArrow(_blocks, BLOCKS), "blocks")
+    dictionary = rows.where("node IS NULL").select(F.col("block").alias("of"), F.explode(F.arrays_zip("tokens", "held")).alias("t"))
+    dictionary = dictionary.select("of", F.col("t.tokens").alias("token"), F.col("t.held").alias("here"))
+    counts = dictionary.groupBy("token").agg(F.sum("here").alias("held")).where("held > 1")
+    shared = dictionary.select("of", "token").join(counts, "token")
+    blocks = rows.where("node IS NOT NULL").select("block", "node", "shingles")
+    return blocks.groupBy("block").cogroup(shared.groupBy("of")).applyInArrow(_rarest, "token long, node long")
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:

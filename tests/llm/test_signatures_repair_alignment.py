@@ -95,8 +95,8 @@ def test_rare_shingles_find_every_link(spark):
         own = set(pool[k % 12].tolist())
         own -= set(draw.sample(sorted(own), draw.randint(0, 6)))
         sets.append(np.array(sorted(own | set(draw.sample(range(1, 2000), draw.randint(0, 6)))), np.uint64))
-    rows = [(k, len(s), k, s.tobytes()) for k, s in enumerate(sets)]
-    df = spark.createDataFrame(rows, "node long, n long, print_a long, shingles binary")
+    rows = [(k, s.tobytes()) for k, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "node long, shingles binary").repartition(5)
     found = defaultdict(set)
     for r in minhash.by_rare_shingles(df).collect():
         found[r["token"]].add(r["node"])
@@ -331,7 +331,7 @@ def test_intervals_by_trying_all_pairs():
     for _ in range(200):
         sides = []
         for _ in "ab":
-            ends = np.unique(draw.integers(1, 30, draw.integers(1, 12)))
+            ends = np.unique(np.r_[draw.integers(1, 30, draw.integers(1, 12)), 30])
             sides += [np.r_[0, ends[:-1]], ends]
         a, b = alignment.overlaps(*sides)
         pairs = [(i, j) for i in range(len(sides[0])) for j in range(len(sides[2])) if sides[0][i] < sides[3][j] and sides[2][j] < sides[1][i]]
