@@ -3,7 +3,7 @@
 Tokens are intervals of bytes. Those of both tokenizers are sorted by their starts; a running maximum of their ends tells
 where a group is over: at a start that reaches it. Inside the groups the overlapping pairs of tokens are expanded.
 
-Texts are aligned in blocks of a few megabytes, each of which gives its documents, as numbers of id pairs and how often they
+Texts are aligned in blocks of about a megabyte, each of which gives its documents, as numbers of id pairs and how often they
 occur, and one dictionary of its distinct pairs. Only dictionaries are counted over the corpus and joined with the counts;
 each comes back to the documents of its block. So a pair that stands in every document is shuffled once for a block, and
 what meets in a task is bounded by a block.
@@ -26,7 +26,7 @@ from plantlake.llm.orc_ids import Encoder
 from plantlake.llm.pretokens import Splitter
 
 #: Text of a block; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 class Bytewise(Encoder):
