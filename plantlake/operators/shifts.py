@@ -35,6 +35,13 @@ def calendar_table(spark: SparkSession, shifts) -> DataFrame:
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
+def longest_shift(spark: SparkSession, shifts=DEFAULT_SHIFTS) -> int:
+    """Minutes of the longest shift of a calendar by the wall clock; 0 for none."""
+    wraps = F.col("end_min") < F.col("start_min")
+    length = F.col("end_min") - F.col("start_min") + F.when(wraps, DAY_MIN).otherwise(0)
+    return calendar_table(spark, shifts).agg(F.max(length).alias("m")).first()["m"] or 0
+
+
 def shifts_of_minutes(calendar: DataFrame) -> DataFrame:
     """tod_min, back, shift, from_min, to_min: for each minute of a day the shifts that hold it, ends included.
 

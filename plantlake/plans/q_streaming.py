@@ -6,7 +6,7 @@ it, stops, and its sink is read back as a table.
 
 from pyspark.sql import functions as F
 
-from plantlake.operators import monitor
+from plantlake.operators import monitor, oee
 from plantlake.plans.fixtures import Plant
 from plantlake.plans.messages import batched_messages, metadata_messages, single_messages
 from plantlake.plans.q_monitor import COMMANDS, FAULTS, LOW_SHIFTS, MD
@@ -136,17 +136,16 @@ def stream_values(p: Plant):
 
 @query("stream_oee_alert", LOW_SHIFTS, "big", "lkv", "sites")
 def stream_oee_alert(p: Plant):
-    """The alerts of the last batch of each shift: those over all of its readings."""
+    """The shifts that are low by their last figure. Readings come in any order within the month they are of."""
     root = scratch(p.spark, "oee")
     p.big.repartition(3).write.parquet(f"{root}/telemetry")
     p.lkv.write.parquet(f"{root}/lkv")
     source = jobs.telemetry_stream(p.spark, f"{root}/telemetry", {"maxFilesPerTrigger": "1"})
     last_known = p.spark.read.parquet(f"{root}/lkv")
-    jobs.run_oee_alerts(source, last_known, p.sites, f"{root}/sink", once=True).awaitTermination()
-    shift = ["Site", "Workcell", "shift_day", "shift"]
-    sofar = p.spark.read.parquet(f"{root}/sink/counters")
-    final = sofar.groupBy(*shift).agg(F.max("batch_id").alias("batch_id"))
-    alerts = p.spark.read.parquet(f"{root}/sink/alerts").join(final, [*shift, "batch_id"], "left_semi")
+    jobs.run_oee_alerts(
+        source, last_known, p.sites, f"{root}/sink", once=True, late="31 days", compact_every=2
+    ).awaitTermination()
+    alerts = oee.low_oee_alerts(jobs.read_figures(p.spark, f"{root}/sink"))
     return alerts.select(
         "Site", "Workcell", F.col("shift_day").cast("string").alias("shift_day"), "shift", "oee_pct"
     )
@@ -158,7 +157,7 @@ def stream_pressure_trigger(p: Plant):
     p.tel.write.parquet(f"{root}/telemetry")
     source = jobs.telemetry_stream(p.spark, f"{root}/telemetry")
     jobs.run_pressure_commands(
-        source, p.lkv, "assembly", "europe", 2520, f"{root}/sink", once=True, topic_root="plant/"
+        source, lambda: p.lkv, "assembly", "europe", 2520, f"{root}/sink", once=True, topic_root="plant/"
     ).awaitTermination()
     return p.spark.read.parquet(f"{root}/sink/commands").drop("batch_id")
 

@@ -4,8 +4,10 @@ Every job has its own checkpoint and can be restarted on its own. `once=True` pr
 is there and stops, for tests and backfills.
 """
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +16,16 @@ from plantlake.operators.analytics import throughput
 from plantlake.operators.expand import expand_metadata, expand_telemetry
 from plantlake.operators.lkv import newest, newest_values
 from plantlake.operators.monitor import pressure_trigger
-from plantlake.operators.oee import combine_counters, low_oee_alerts, oee_of_shifts, shift_counters
+from plantlake.operators.oee import (
+    SHIFT_KEYS,
+    counters,
+    low_oee_alerts,
+    oee_of_shifts,
+    production_writers,
+    readings_in_shifts,
+)
+from plantlake.operators.shifts import longest_shift
+from plantlake.operators.zones import zone_index
 from plantlake.schemas import DEFAULT_SHIFTS, METADATA_SCHEMA, RAW_SCHEMA, TELEMETRY_SCHEMA
 from plantlake.session import path_exists, remove_folder, require_utc, subfolders
 
@@ -176,21 +187,26 @@ VALUES_KEPT = (TELEMETRY_SCHEMA, newest_values)
 
 
 def _maintain(stream: DataFrame, root: str, kept, compact_every: int, interval: str | None, once: bool) -> StreamingQuery:
-    spark, (schema, reduce) = stream.sparkSession, kept
+    spark, (_, reduce) = stream.sparkSession, kept
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        _replace_batch(reduce(batch), batch_id, f"{root}/deltas")
-        if batch_id % compact_every == compact_every - 1:
-            replaced = [number for number in _batches(spark, f"{root}/base") if number < batch_id]
-            _replace_batch(_read_kept(spark, root, kept, batch_id), batch_id, f"{root}/base")
-            if replaced:
-                _drop_batches(spark, f"{root}/deltas", max(replaced))
-                _drop_batches(spark, f"{root}/base", max(replaced) - 1)
+        _keep_batch(spark, reduce(batch), batch_id, root, kept, compact_every)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/_checkpoint")
     return _timed(writer, interval, once).start()
 
 
+def _keep_batch(spark: SparkSession, rows: DataFrame, batch_id: int, root: str, kept, compact_every: int) -> None:
+    """Adds the reduced rows of a batch to what is kept below `root`, and merges now and then."""
+    _replace_batch(rows, batch_id, f"{root}/deltas")
+    if batch_id % compact_every == compact_every - 1:
+        replaced = [number for number in _batches(spark, f"{root}/base") if number < batch_id]
+        _replace_batch(_read_kept(spark, root, kept, batch_id), batch_id, f"{root}/base")
+        if replaced:
+            _drop_batches(spark, f"{root}/deltas", max(replaced))
+            _drop_batches(spark, f"{root}/base", max(replaced) - 1)
+
+
 def _batches(spark: SparkSession, folder: str) -> list[int]:
     """The batch numbers of a folder, from the names of its partitions."""
     names = subfolders(spark, folder)
@@ -245,13 +261,80 @@ def read_values(spark: SparkSession, root: str) -> DataFrame:
     return _read_kept(spark, root, VALUES_KEPT)
 
 
-def without_repeats(metadata: DataFrame, within: str = "10 minutes") -> DataFrame:
-    """A metadata stream in which a description that is sent again in the same version comes once.
+#: What a field's state holds: for each change of its description when it was first and last sent, and the description.
+CHANGES = "since array<bigint>, until array<bigint>, documents array<string>"
+UNTIMED = -(1 << 62)
+MICROS_OF_DAY = 86_400_000_000
+
+
+class Descriptions:
+    """The changes of one field's description in the order of their times."""
+
+    def __init__(self, since=(), until=(), documents=()):
+        self.since, self.until, self.documents = list(since), list(until), list(documents)
+
+    def _insert(self, at: int, document: str) -> tuple[int, str]:
+        k = bisect_right(self.since, at)
+        self.since.insert(k, at)
+        self.until.insert(k, at)
+        self.documents.insert(k, document)
+        return at, document
+
+    def add(self, at: int, document: str) -> list[tuple[int, str]]:
+        """The changes that a row makes: none for a repeat, itself, and what it cuts in two is sent again at its end."""
+        first, last = bisect_left(self.since, at), bisect_right(self.since, at)
+        if document in self.documents[first:last]:
+            return []
+        before = bisect_left(self.since, self.since[first - 1]) if first else 0
+        if first == last and first - before == 1 and self.documents[before] == document:
+            self.until[before] = max(self.until[before], at)
+            return []
+        cut = [k for k in range(before, last) if self.until[k] >= at and self.since[k] < self.until[k]]
+        again = [(self.until[k], self.documents[k]) for k in cut]
+        for k in cut:
+            self.until[k] = self.since[k]
+        return [self._insert(at, document), *(self._insert(*change) for change in again)]
+
+    def recent(self, days: int) -> tuple[list[int], list[int], list[str]]:
+        """What the state keeps: of changes that are long over only those of the last instant."""
+        old = bisect_right(self.since, self.since[-1] - days * MICROS_OF_DAY) if self.since else 0
+        first = bisect_left(self.since, self.since[old - 1]) if old else 0
+        return self.since[first:], self.until[first:], self.documents[first:]
+
+
+def _new_descriptions(keep_days: int):
+    """Rows of one field that change its description, from its rows of a batch and the changes seen before."""
 
-    The state holds the descriptions of the last `within` of event time; later repeats pass.
+    def run(key, frames, state):
+        known = Descriptions(*state.get) if state.exists else Descriptions()
+        for frame in frames:
+            rows = zip(frame["at"].tolist(), frame["document"].tolist(), strict=True)
+            changes = [change for at, document in rows for change in known.add(at, document)]
+            yield pd.DataFrame(changes, columns=["at", "document"])
+        state.update(known.recent(keep_days))
+
+    return run
+
+
+def without_repeats(metadata: DataFrame, keep_days: int = 30) -> DataFrame:
+    """A metadata stream without true repeats: a field's row that says what held of it at that time already.
+
+    A state per writer and field keeps when its description changed. Every change passes, however late it comes and
+    also within one version, so the last known metadata of what passes says what those of the stream say. A field
+    that sends nothing for `keep_days`, or a row that much older than the newest, may pass once more; none is lost.
     """
-    keys = ["Subject", "DataSetName", "Name", "MajorVersion", "MinorVersion"]
-    return metadata.withWatermark("Timestamp", within).dropDuplicatesWithinWatermark(keys)
+    described = [name for name in metadata.columns if name != "Timestamp"]
+    document = F.to_json(F.struct(*described))
+    rows = metadata.select(
+        "Subject", "Name", F.coalesce(F.unix_micros("Timestamp"), F.lit(UNTIMED)).alias("at"), document.alias("document")
+    )
+    changed = rows.groupBy("Subject", "Name").applyInPandasWithState(
+        _new_descriptions(keep_days), "at bigint, document string", CHANGES, "append", "NoTimeout"
+    )
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in metadata.schema.fields if f.name != "Timestamp")
+    parsed = changed.withColumn("d", F.from_json("document", fields))
+    time = F.when(F.col("at") != UNTIMED, F.timestamp_micros("at")).alias("Timestamp")
+    return parsed.select(*[time if name == "Timestamp" else F.col(f"d.{name}") for name in metadata.columns])
 
 
 # --- windows and alerts -------------------------------------------------------
@@ -283,7 +366,7 @@ def run_alerts(
 
 def run_pressure_commands(
     telemetry: DataFrame,
-    lkv: DataFrame,
+    lkv: DataFrame | Callable[[], DataFrame],
     station: str,
     location: str,
     threshold: float,
@@ -292,14 +375,51 @@ def run_pressure_commands(
     once: bool = False,
     topic_root: str = "",
 ) -> StreamingQuery:
-    """A table `commands` below `root`: one relief command per reading above the threshold."""
+    """A table `commands` below `root`: one relief command per reading above the threshold.
+
+    `lkv` is the last known metadata, or a function that reads them, such as one of `read_lkv`: it is called for every
+    batch, so new and renamed writers count at once.
+    """
 
     def commands(batch: DataFrame) -> DataFrame:
-        return pressure_trigger(batch, lkv, station, location, threshold, topic_root=topic_root)
+        known = lkv if isinstance(lkv, DataFrame) else lkv()
+        return pressure_trigger(batch, known, station, location, threshold, topic_root=topic_root)
 
     return run_alerts(telemetry, commands, root, interval, once, table="commands")
 
 
+FIGURES_SCHEMA = (
+    "Site STRING, Workcell STRING, shift_day DATE, shift STRING, start_ts TIMESTAMP, end_ts TIMESTAMP, "
+    "ideal_cycle_ms BIGINT, good DOUBLE, scrap DOUBLE, faulty DOUBLE, availability DOUBLE, performance DOUBLE, "
+    "quality DOUBLE, oee DOUBLE, seen BIGINT"
+)
+
+
+def _last_figures(figures: DataFrame) -> DataFrame:
+    """The figure of the last batch of each shift."""
+    rest = [f.split()[0] for f in FIGURES_SCHEMA.split(", ") if f.split()[0] not in SHIFT_KEYS]
+    last = F.max_by(F.struct(*rest), "seen").alias("last")
+    return figures.groupBy(*SHIFT_KEYS).agg(last).select(*SHIFT_KEYS, "last.*")
+
+
+FIGURES_KEPT = (FIGURES_SCHEMA, _last_figures)
+
+
+def shift_states(
+    telemetry: DataFrame, writers: DataFrame, zones: DataFrame, shifts=DEFAULT_SHIFTS, late: str = "1 day"
+) -> DataFrame:
+    """Counters of every station and shift, kept in the state store of a stream and given again when a batch changes them.
+
+    The watermark runs on the ends of shifts: a shift's state goes when one that ends later by the longest shift and
+    `late` has readings, so the state holds the open shifts of the stations whatever the stream has been running for.
+    """
+    longest = longest_shift(telemetry.sparkSession, shifts)
+    delay = telemetry.sparkSession.range(1).select(F.expr(f"CAST(INTERVAL '{late}' AS INTERVAL DAY TO SECOND)").alias("i")).first()["i"]
+    wait = f"{longest * 60 + int(delay.total_seconds())} seconds"
+    within = readings_in_shifts(telemetry, writers, zones, shifts)
+    return counters(within.withWatermark("end_ts", wait), *SHIFT_KEYS)
+
+
 def run_oee_alerts(
     telemetry: DataFrame,
     lkv: DataFrame,
@@ -309,30 +429,41 @@ def run_oee_alerts(
     shifts=DEFAULT_SHIFTS,
     interval: str = "2 minutes",
     once: bool = False,
+    late: str = "1 day",
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Stations whose OEE in a shift is low so far, for the shifts that a batch has readings of.
 
-    Each batch adds its counters per writer's station and shift to the table `counters`, by day and batch; the
-    alerts of a batch merge the counters of its own shifts only, so neither readings nor other days are read
-    again. Late readings raise their own shift anew.
+    The counters of a shift live in the job's state (`shift_states`) until readings can no longer be late for it; readings
+    later than `late` are not counted. Each batch adds its alerts to the table `alerts` and its figures to the last ones
+    below `figures` (`read_figures`), which are merged now and then. Writers belong to the stations of `lkv` as it is
+    when the job starts; a restarted job goes on with its state and the metadata of then.
     """
     spark = telemetry.sparkSession
-    keys = ["Site", "Workcell", "shift_day", "shift", "start_ts", "end_ts", "ideal_cycle_ms"]
+    production_writers(lkv, sites).write.mode("overwrite").parquet(f"{root}/writers")
+    zone_index(sites).write.mode("overwrite").parquet(f"{root}/zones")
+    writers, zones = (spark.read.parquet(f"{root}/{name}") for name in ("writers", "zones"))
 
     def emit(batch: DataFrame, batch_id: int) -> None:
-        added = combine_counters(shift_counters(batch, lkv, sites, shifts), *keys)
-        # The day as text of its own column keeps the date's type whatever a reader infers from folder names.
-        stored = added.withColumn("day", F.date_format("shift_day", "yyyy-MM-dd"))
-        _replace_batch(stored, batch_id, f"{root}/counters", ["day"])
-        schema = stored.withColumn("batch_id", F.lit(0).cast("bigint")).schema
-        counters = spark.read.schema(schema).parquet(f"{root}/counters").where(F.col("batch_id") <= batch_id)
-        touched = counters.where(F.col("batch_id") == batch_id).select("day", *keys).distinct()
-        sofar = counters.join(touched, ["day", *keys], "left_semi")
-        _replace_batch(low_oee_alerts(oee_of_shifts(sofar), threshold_pct), batch_id, f"{root}/alerts")
+        batch = batch.persist()
+        try:
+            figures = oee_of_shifts(batch)
+            _replace_batch(low_oee_alerts(figures, threshold_pct), batch_id, f"{root}/alerts")
+            columns = [f.split()[0] for f in FIGURES_SCHEMA.split(", ")]
+            figures = figures.withColumn("seen", F.lit(batch_id).cast("bigint")).select(*columns)
+            _keep_batch(spark, figures, batch_id, f"{root}/figures", FIGURES_KEPT, compact_every)
+        finally:
+            batch.unpersist()
 
-    writer = telemetry.writeStream.foreachBatch(emit).option("checkpointLocation", f"{root}/_checkpoint")
+    states = shift_states(telemetry, writers, zones, shifts, late)
+    writer = states.writeStream.outputMode("update").foreachBatch(emit).option("checkpointLocation", f"{root}/_checkpoint")
     return _timed(writer, interval, once).start()
 
 
+def read_figures(spark: SparkSession, root: str) -> DataFrame:
+    """The last OEE figure of each station and shift that `run_oee_alerts` has seen below `root`."""
+    return _read_kept(spark, f"{root}/figures", FIGURES_KEPT)
+
+
 def telemetry_stream(spark: SparkSession, path: str, options: dict[str, str] | None = None) -> DataFrame:
     return read_table_stream(spark, path, TELEMETRY_SCHEMA, options=options)
