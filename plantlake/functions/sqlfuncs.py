@@ -1,9 +1,10 @@
 """Views and SQL functions over the tables, for callers that write SQL."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.functions.text import matches, not_empty
+from plantlake.functions.text import not_empty
+from plantlake.operators.contains import containing
 from plantlake.operators.expand import expand_metadata, expand_telemetry
 from plantlake.operators.lkv import metadata_lkv
 from plantlake.schemas import DISCARDED, FAULTY_TIME, MANUFACTURED, NON_PRODUCTION_WORKCELLS
@@ -27,20 +28,18 @@ def create_expansions(spark: SparkSession, telemetry_raw: str = "telemetry_raw",
 def station_members(lkv: DataFrame) -> DataFrame:
     """Site, station and Subject: the writers whose data set name contains a site and a station of it.
 
-    A station without writers has one row with a NULL Subject. The stations of all sites, as many as plants have
-    workcells, are one value that is tested within each distinct name; names and stations are not joined.
+    A station without writers has one row with a NULL Subject. Sites and stations are looked up in an index of the names,
+    each by itself; a name's sites and stations meet where a site has the station.
     """
     stations = lkv.where(not_empty("Workcell") & ~F.col("Workcell").isin(*NON_PRODUCTION_WORKCELLS)).select(
         "Site", F.col("Workcell").alias("station")
     )
     stations = stations.where("Site IS NOT NULL").distinct()
-    held = stations.agg(F.collect_list(F.struct("Site", "station")))
-    names = lkv.select("Subject", "DataSetName").distinct().withColumn("stations", held.scalar())
-
-    def inside(pair: Column) -> Column:
-        return matches(F.col("DataSetName"), pair["Site"]) & matches(F.col("DataSetName"), pair["station"])
-
-    found = names.select("Subject", F.inline(F.filter("stations", inside))).distinct()
+    names = lkv.select("Subject", "DataSetName").distinct()
+    sites = containing(names, "DataSetName", stations, "Site")
+    cells = containing(names, "DataSetName", stations, "station")
+    pairs = sites.join(cells, "DataSetName").join(stations, ["Site", "station"], "left_semi")
+    found = names.join(pairs, "DataSetName").select("Subject", "Site", "station").distinct()
     return stations.join(found, ["Site", "station"], "left")
 
 

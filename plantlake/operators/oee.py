@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantlake.functions.text import matches, not_empty, number, percent
+from plantlake.operators.contains import containing
 from plantlake.operators.lkv import writers_of
 from plantlake.operators.shifts import with_windows
 from plantlake.operators.timerange import between_open, utc
@@ -32,6 +33,10 @@ from plantlake.schemas import (
 )
 
 
+#: What tells one shift of one station.
+SHIFT_KEYS = ["Site", "Workcell", "shift_day", "shift", "start_ts", "end_ts", "ideal_cycle_ms"]
+
+
 def _value_of(name: str) -> Column:
     return F.when(F.col("Name") == name, number("Value"))
 
@@ -52,15 +57,6 @@ def counters(telemetry: DataFrame, *keys) -> DataFrame:
     )
 
 
-def combine_counters(parts: DataFrame, *keys) -> DataFrame:
-    """Counters of several writers or minutes as counters per key, to be merged later on."""
-    return parts.groupBy(*keys).agg(
-        *[F.max(f"{name}_max").alias(f"{name}_max") for name in ("good", "scrap")],
-        *[F.min(f"{name}_min").alias(f"{name}_min") for name in ("good", "scrap")],
-        F.sum("faulty_sum").alias("faulty_sum"),
-    )
-
-
 def merge_counters(parts: DataFrame, *keys) -> DataFrame:
     """Combine counters of several writers or minutes into good, scrap and faulty per key."""
 
@@ -128,16 +124,12 @@ def oee_stations_of_line(
 ) -> DataFrame:
     """One row per production station of a site, all from one pass over telemetry.
 
-    A writer belongs to every station whose name its data set name contains. That test has no
-    equality to join on, so the stations of the one site, a list as short as a plant has workcells, are
-    held as one value and tested within each distinct name; names and stations are not joined.
+    A writer belongs to every station whose name its data set name contains, found through an index of the names.
     """
     stations = production_stations(lkv, location)
-    names = stations.agg(F.sort_array(F.collect_set("station")))
     writers = lkv.where(matches("DataSetName", location, how)).select("Subject", "DataSetName").distinct()
-    writers = writers.withColumn("names", names.scalar())
-    of = F.filter("names", lambda station: matches(F.col("DataSetName"), station, how))
-    members = writers.select("Subject", F.explode(of).alias("station")).distinct()
+    of = containing(writers, "DataSetName", stations, "station", how)
+    members = writers.join(of, "DataSetName").select("Subject", "station").distinct()
     members = stations.join(members, "station", "left")
     per_writer = counters(between_open(telemetry, start, end), "Subject")
     totals = merge_counters(members.join(per_writer, "Subject", "left"), "station")
@@ -205,9 +197,19 @@ def shift_counters(telemetry: DataFrame, lkv: DataFrame, sites: DataFrame, shift
     )
 
 
+def readings_in_shifts(telemetry: DataFrame, writers: DataFrame, zones: DataFrame, shifts=DEFAULT_SHIFTS) -> DataFrame:
+    """Counter readings with the station and each shift they fall into, reading by reading, as a stream needs them.
+
+    `writers` as `production_writers` gives them, `zones` an index of their zones.
+    """
+    named = telemetry.where(F.col("Timestamp").isNotNull() & F.col("Name").isin(MANUFACTURED, DISCARDED, FAULTY_TIME))
+    near = with_windows(named.join(writers, "Subject"), "Timestamp", "tz", shifts, zones)
+    return near.where((F.col("start_ts") < F.col("Timestamp")) & (F.col("Timestamp") < F.col("end_ts")))
+
+
 def oee_of_shifts(parts: DataFrame) -> DataFrame:
     """OEE per station and shift from any parts of its counters."""
-    keys = ["Site", "Workcell", "shift_day", "shift", "start_ts", "end_ts", "ideal_cycle_ms"]
+    keys = SHIFT_KEYS
     window = F.unix_millis("end_ts") - F.unix_millis("start_ts")
     return add_factors(merge_counters(parts, *keys), window, F.col("ideal_cycle_ms"))
 

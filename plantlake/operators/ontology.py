@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantlake.functions.nested import unfold
+from plantlake.operators.graph import jumps
 from plantlake.operators.spread import spread_join
+from plantlake.session import checkpoint
 
 # --- schemas of the two forms -----------------------------------------------
 # `extends` may be text or a list; `schema` text or an object: both are read as text.
@@ -271,6 +273,27 @@ def effective_members(member_rows: DataFrame, ancestors: DataFrame) -> DataFrame
     )
 
 
+def inherited_members(member_rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """The same from the inheritance edges (child, parent), without a table of all ancestors.
+
+    Each round doubles how far up definitions are looked for: what a type has from nearer ones is joined by what the types
+    2^k levels above have from theirs. So there are as many rows as types have members and rounds as the depth has digits in binary.
+    """
+    rest = [c for c in member_rows.columns if c not in ("id", "name")]
+    own = member_rows.groupBy("id", "name").agg(F.min(F.struct(*rest)).alias("own"))
+    best = own.select("id", "name", F.lit(0).alias("distance"), F.col("id").alias("defined_in"))
+    for k, jump in enumerate(jumps(edges)):
+        above = best.withColumnRenamed("id", "far")
+        more = spread_join(jump, above, ["far"], "inner").select(
+            F.col("node").alias("id"), "name", (F.col("distance") + (1 << k)).alias("distance"), "defined_in"
+        )
+        nearest = F.min(F.struct("distance", "defined_in")).alias("nearest")
+        best = checkpoint(best.unionByName(more).groupBy("id", "name").agg(nearest).select("id", "name", "nearest.*"))
+    defined = own.select(F.col("id").alias("_id"), F.col("name").alias("_name"), "own")
+    same = (F.col("defined_in") == F.col("_id")) & F.col("name").eqNullSafe(F.col("_name"))
+    return best.join(defined, same).select("id", "name", "distance", "defined_in", "own.*")
+
+
 def validate_instances(
     rows: DataFrame,
     id_col: str,

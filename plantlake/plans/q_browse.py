@@ -145,6 +145,30 @@ def hierarchy_paths(p: Plant):
     return graph.hierarchy_paths(p.edges)
 
 
+@query(
+    "hierarchy_nodes",
+    """SELECT 'R' || r_regionkey AS node, NULL AS parent, 'R' || r_regionkey AS root, 0 AS depth FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM nation)
+       UNION ALL SELECT child, parent, parent, 1 FROM edges WHERE rel = 'site'
+       UNION ALL SELECT b.child, b.parent, a.parent, 2 FROM edges a JOIN edges b ON a.child = b.parent""",
+    "edges",
+)
+def hierarchy_nodes(p: Plant):
+    """Parent, root and depth of every node, for hierarchies too deep for all their paths."""
+    return graph.ancestry(p.edges)
+
+
+@query(
+    "hierarchy_customer_paths",
+    """SELECT b.child AS node, a.parent || '/' || a.child || '/' || b.child AS path FROM edges a JOIN edges b ON a.child = b.parent
+       WHERE b.child IN (SELECT 'C' || c_custkey FROM customer WHERE c_acctbal < 0)""",
+    "edges",
+)
+def hierarchy_customer_paths(p: Plant):
+    """The paths of the customers in debt alone."""
+    wanted = p.sql("SELECT 'C' || c_custkey AS node FROM customer WHERE c_acctbal < 0")
+    return graph.path_texts(wanted, p.edges)
+
+
 @query(
     "dangling_refs",
     """SELECT 'C' || o_custkey AS target, 'O' || o_orderkey AS source FROM orders

@@ -278,7 +278,7 @@ def onto_closure(p: Plant):
 )
 def effective_members(p: Plant):
     cat = _catalog(p)
-    found = ontology.effective_members(ontology.members(cat), graph.closure(ontology.extends_edges(cat)))
+    found = ontology.inherited_members(ontology.members(cat), ontology.extends_edges(cat))
     return found.select("id", "name", "defined_in", "distance")
 
 
