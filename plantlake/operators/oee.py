@@ -23,7 +23,7 @@ from plantlake.operators.contains import containing
 from plantlake.operators.lkv import writers_of
 from plantlake.operators.shifts import with_windows
 from plantlake.operators.timerange import between_open, utc
-from plantlake.operators.zones import zone_index
+from plantlake.operators.zones import stored_index
 from plantlake.schemas import (
     DEFAULT_SHIFTS,
     DISCARDED,
@@ -183,7 +183,7 @@ def shift_counters(telemetry: DataFrame, lkv: DataFrame, sites: DataFrame, shift
         F.col("minute") + F.expr("INTERVAL 1 MINUTE")
     )
     return (
-        with_windows(located.withColumn("until", until), "minute", "tz", shifts, zone_index(sites))
+        with_windows(located.withColumn("until", until), "minute", "tz", shifts, stored_index(sites))
         .where(
             F.when(F.col("on_minute"), F.col("start_ts") < F.col("minute")).otherwise(
                 F.col("start_ts") <= F.col("minute")

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.operators.zones import INDEX_COLUMNS, floor_div, instant_of, offset_at, offset_before, with_zone, zone_index
+from plantlake.operators.zones import INDEX_COLUMNS, instant_of, offset_at, offset_before, stored_index, with_zone
 from plantlake.schemas import BREAK_HOURS, DEFAULT_SHIFTS
 
 DAY_MIN, MINUTE = 1440, 60_000_000
@@ -53,7 +53,7 @@ def shifts_of_minutes(calendar: DataFrame) -> DataFrame:
     rows = rows.withColumn("at", F.explode(F.sequence("from_min", "to_min")))
     return rows.select(
         F.pmod("at", F.lit(DAY_MIN)).cast("int").alias("tod_min"),
-        floor_div(F.col("at").cast("long"), DAY_MIN).cast("int").alias("back"),
+        F.floor(F.col("at") / DAY_MIN).cast("int").alias("back"),
         "shift", "from_min", "to_min",
     )
 
@@ -73,7 +73,7 @@ def first_of_minutes(calendar: DataFrame) -> DataFrame:
     ]
     rows = rows[0].unionByName(rows[1]).select(
         F.pmod("at", F.lit(DAY_MIN)).cast("int").alias("tod_min"), "whole", "position",
-        F.struct("shift", floor_div(F.col("at").cast("long"), DAY_MIN).cast("int").alias("back")).alias("hit"),
+        F.struct("shift", F.floor(F.col("at") / DAY_MIN).cast("int").alias("back")).alias("hit"),
     )
     first = rows.groupBy("tod_min", "whole").agg(F.min_by("hit", F.struct("position", F.col("hit.back"))).alias("hit"))
     return first.select("tod_min", "whole", "hit.shift", "hit.back")
@@ -125,32 +125,36 @@ def shift_windows(sites: DataFrame, first_day: str, last_day: str, shifts=DEFAUL
 def with_windows(df: DataFrame, ts_col: str, zone_col: str = "tz", shifts=DEFAULT_SHIFTS, zones: DataFrame | None = None) -> DataFrame:
     """Rows with the shift windows near them: shift, shift_day, start_ts and end_ts (UTC).
 
-    An index of zone offsets (`zone_index`, built here unless given) tells the wall clock; the shifts that hold its
+    An index of zone offsets (of `zones.stored_index`; `df` is read for its zones unless it is given) tells the wall clock; the shifts that hold its
     minute are looked up in a table, and the index turns their wall-clock bounds into instants. Where a wall clock has just
     been changed, the one it would show without the change is looked up as well. So a shift of which the instant is part is
     always there, but a caller still compares the instant with the exact bounds. Rows in no shift are left out.
     """
     spark, columns = df.sparkSession, df.columns
-    micros, other = F.unix_micros(F.col(ts_col)), F.col("_before")
-    index = zone_index(df.select(zone_col), zone_col) if zones is None else zones
-    located = with_zone(df, index, micros, zone_col)
-    located = located.withColumns({"_own": micros + offset_at(micros), "_before": micros + offset_before(micros)})
-    walls = F.when(other.isNull(), F.array("_own")).otherwise(F.array("_own", "_before"))
-    walls = located.where(F.col("_own").isNotNull()).withColumn("_wall", F.explode(walls)).drop("_before")
-    walls = walls.withColumns(
-        {"_day": floor_div(F.col("_wall"), DAY), "_tod": floor_div(F.pmod("_wall", F.lit(DAY)), MINUTE).cast("int")}
+    micros = f"unix_micros(`{ts_col}`)"
+    index = stored_index(df.select(zone_col), zone_col) if zones is None else zones
+    located = with_zone(df, index, micros, zone_col).selectExpr(
+        "*", f"{micros} + {offset_at(micros)} AS _own", f"{micros} + {offset_before(micros)} AS _before"
     )
-    near = walls.join(shifts_of_minutes(calendar_table(spark, shifts)), F.col("_tod") == F.col("tod_min"))
-    near = near.withColumn("_day", F.col("_day") - F.col("back"))
-    since = floor_div(F.col("_own") - F.col("_day") * DAY, MINUTE)
+    walls = located.where("_own IS NOT NULL").selectExpr(
+        "*", "explode(CASE WHEN _before IS NULL THEN array(_own) ELSE array(_own, _before) END) AS _wall"
+    )
+    walls = walls.selectExpr("*", f"CAST(pmod(_wall, {DAY}) div {MINUTE} AS INT) AS _tod")
+    near = walls.join(shifts_of_minutes(calendar_table(spark, shifts)), F.expr("_tod = tod_min"))
+    near = near.selectExpr("*", f"(_wall - pmod(_wall, {DAY})) div {DAY} - back AS _day")
     # What the own wall clock finds is not to be found again.
-    once = near.where((F.col("_wall") == F.col("_own")) | ~since.between(F.col("from_min"), F.col("to_min")))
+    minute = f"(_own - _day * {DAY} - pmod(_own - _day * {DAY}, {MINUTE})) div {MINUTE}"
+    once = near.where(f"_wall = _own OR NOT ({minute}) BETWEEN from_min AND to_min")
 
-    def bound(minute: str) -> Column:
-        return F.timestamp_micros(instant_of(F.col("_day") * DAY + F.col(minute) * F.lit(MINUTE).cast("long")))
+    def bound(at: str) -> str:
+        return f"timestamp_micros({instant_of(f'(_day * {DAY} + {at} * {MINUTE}L)')})"
 
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.col("_day").cast("int")).alias("shift_day")
-    return once.select(*columns, "shift", day, bound("from_min").alias("start_ts"), bound("to_min").alias("end_ts"))
+    return once.select(
+        *columns, "shift",
+        F.expr("date_add(DATE '1970-01-01', CAST(_day AS INT)) AS shift_day"),
+        F.expr(f"{bound('from_min')} AS start_ts"),
+        F.expr(f"{bound('to_min')} AS end_ts"),
+    )
 
 
 def assign_shift(
@@ -160,23 +164,20 @@ def assign_shift(
 
     Ends are inclusive. A shift past midnight belongs to the day it starts on; the very
     instant of its start does not count, as the plant's own test has it. The first matching
-    shift of the calendar wins. Readings are not shuffled: the offset of the zone (`zone_index`, built here unless given)
-    and the shift of the minute come from two small tables.
+    shift of the calendar wins. Readings are not shuffled: the offset of the zone (of `zones.stored_index`; `df` is read for
+    its zones unless it is given) and the shift of the minute come from two small tables.
     """
     spark, columns = df.sparkSession, df.columns
-    micros = F.unix_micros(F.col(ts_col))
-    index = zone_index(df.select(zone_col), zone_col) if zones is None else zones
-    located = with_zone(df, index, micros, zone_col).withColumn("_wall", micros + offset_at(micros)).drop(*INDEX_COLUMNS)
-    tod = F.pmod("_wall", F.lit(DAY))
-    located = located.withColumns({"_tod": floor_div(tod, MINUTE).cast("int"), "_whole": tod % MINUTE == 0})
-    first = first_of_minutes(calendar_table(spark, shifts)).withColumnsRenamed({"shift": "_shift", "back": "_back"})
-    found = located.join(first, (F.col("_tod") == F.col("tod_min")) & (F.col("_whole") == F.col("whole")), "left")
-    days = (floor_div(F.col("_wall"), DAY) - F.col("_back")).cast("int")
-    return found.select(
-        *columns,
-        F.col("_shift").alias("shift"),
-        F.date_add(F.lit("1970-01-01").cast("date"), days).alias("shift_day"),
+    micros = f"unix_micros(`{ts_col}`)"
+    index = stored_index(df.select(zone_col), zone_col) if zones is None else zones
+    located = with_zone(df, index, micros, zone_col).selectExpr("*", f"{micros} + {offset_at(micros)} AS _wall")
+    located = located.drop(*INDEX_COLUMNS).selectExpr(
+        "*", f"CAST(pmod(_wall, {DAY}) div {MINUTE} AS INT) AS _tod", f"pmod(_wall, {MINUTE}) = 0 AS _whole"
     )
+    first = first_of_minutes(calendar_table(spark, shifts)).withColumnsRenamed({"shift": "_shift", "back": "_back"})
+    found = located.join(first, F.expr("_tod = tod_min AND _whole = whole"), "left")
+    day = f"date_add(DATE '1970-01-01', CAST((_wall - pmod(_wall, {DAY})) div {DAY} - _back AS INT))"
+    return found.select(*columns, F.col("_shift").alias("shift"), F.expr(f"{day} AS shift_day"))
 
 
 def join_windows(

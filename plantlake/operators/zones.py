@@ -8,6 +8,8 @@ in it and in its two neighbours, so that wall clocks up to six days away turn in
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.session import path_exists, scratch
+
 #: Seconds of a cell as a power of two.
 CELL_BITS = 19
 SECOND = 1_000_000
@@ -21,11 +23,6 @@ CHANGES = ("_change_0", "_change_1", "_change_2")
 OFFSETS = ("_offset_0", "_offset_1", "_offset_2", "_offset_3")
 
 
-def floor_div(value: Column, by: int) -> Column:
-    """The whole quotient, towards earlier for negative values."""
-    return F.call_function("div", value - F.pmod(value, F.lit(by).cast("long")), F.lit(by).cast("long"))
-
-
 def _offset(second: Column, zone: Column) -> Column:
     return F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(second), zone)) - second
 
@@ -60,42 +57,65 @@ def zone_index(zones: DataFrame, zone_col: str = "tz", first_year: int = FIRST_Y
     return rows.withColumns({name: F.col(name) * SECOND for name in OFFSETS})
 
 
-def with_zone(df: DataFrame, index: DataFrame, micros: Column, zone_col: str = "tz") -> DataFrame:
-    """`df` with the index's columns for the zone in `zone_col` and the instant `micros`; rows of unknown zones have nulls."""
-    bounds = F.shiftright(floor_div(micros, SECOND), CELL_BITS)
-    known = F.greatest(_edge(FIRST_YEAR), F.least(_edge(LAST_YEAR), bounds))
+def with_zone(df: DataFrame, index: DataFrame, micros: str, zone_col: str = "tz") -> DataFrame:
+    """`df` with the index's columns for the zone in `zone_col` and the instant `micros`; rows of unknown zones have nulls.
+
+    Here and below `micros` and `wall` are SQL texts of microseconds: parsing one text is many times faster than building
+    its tree of columns call by call.
+    """
+    first, last = (f"shiftright(unix_seconds(TIMESTAMP '{year}-01-01 00:00:00+00:00'), {CELL_BITS})" for year in (FIRST_YEAR, LAST_YEAR))
+    cell = f"shiftright((({micros}) - pmod({micros}, {SECOND}L)) div {SECOND}, {CELL_BITS})"
+    known = F.expr(f"greatest({first}, least({last}, {cell}))")
     lookup = index.withColumnsRenamed({"tz": "_tz", "cell": "_cell"})
     return df.join(lookup, (df[zone_col] == F.col("_tz")) & (known == F.col("_cell")), "left").drop("_tz", "_cell")
 
 
-def offset_at(micros: Column) -> Column:
-    """The offset in force at an instant near the cell."""
-    out = F.col(OFFSETS[-1])
-    for change, offset in zip(reversed(CHANGES), reversed(OFFSETS[:-1]), strict=True):
-        out = F.when(micros < F.col(change), F.col(offset)).otherwise(out)
-    return out
+def offset_at(micros: str) -> str:
+    """SQL of the offset in force at an instant near the cell."""
+    cases = " ".join(f"WHEN {micros} < {change} THEN {offset}" for change, offset in zip(CHANGES, OFFSETS, strict=False))
+    return f"CASE {cases} ELSE {OFFSETS[-1]} END"
 
 
-def offset_before(micros: Column) -> Column:
-    """The offset before the last change, where that lies back less than what it changed; else null.
+def offset_before(micros: str) -> str:
+    """SQL of the offset before the last change, where that lies back less than what it changed; else null.
 
     Only there does a wall clock read what it has read before, or something it has just skipped.
     """
-    out = F.lit(None).cast("long")
-    for k, change in enumerate(CHANGES):
-        since = micros - F.col(change)
-        near = (since >= 0) & (since < F.abs(F.col(OFFSETS[k + 1]) - F.col(OFFSETS[k])))
-        out = F.when(near, F.col(OFFSETS[k])).otherwise(out)
-    return out
+    cases = [
+        f"WHEN {micros} >= {change} AND {micros} - {change} < abs({OFFSETS[k + 1]} - {OFFSETS[k]}) THEN {OFFSETS[k]}"
+        for k, change in reversed(list(enumerate(CHANGES)))
+    ]
+    return f"CASE {' '.join(cases)} END"
 
 
-def instant_of(wall: Column) -> Column:
-    """The instant at which a wall clock near the cell shows `wall`: of two the earlier, and a skipped time by the offset before."""
-    out = wall - F.col(OFFSETS[-1])
-    for k in reversed(range(len(CHANGES))):
-        offset, after = F.col(OFFSETS[k]), F.col(OFFSETS[k + 1])
-        out = F.when(wall < F.col(CHANGES[k]) + F.greatest(offset, after), wall - offset).otherwise(out)
-    return out
+def instant_of(wall: str) -> str:
+    """SQL of the instant at which a wall clock near the cell shows `wall`: of two the earlier, a skipped time by the offset before."""
+    cases = [
+        f"WHEN {wall} < {change} + greatest({OFFSETS[k]}, {OFFSETS[k + 1]}) THEN {wall} - {OFFSETS[k]}"
+        for k, change in enumerate(CHANGES)
+    ]
+    return f"CASE {' '.join(cases)} ELSE {wall} - {OFFSETS[-1]} END"
 
 
 INDEX_COLUMNS = (*CHANGES, *OFFSETS)
+
+
+#: Where the indexes of this process's applications lie, by application and zones.
+_STORED: dict[tuple, tuple] = {}
+
+
+def stored_index(zones: DataFrame, zone_col: str = "tz") -> DataFrame:
+    """The index of the zones named in `zones`, written to the shared folder once in an application and read again later.
+
+    The names of the distinct zones, at most as many as the tz database has, are read now to find it.
+    """
+    spark = zones.sparkSession
+    names = tuple(sorted(zones.agg(F.collect_set(zone_col)).first()[0]))
+    key = (spark.sparkContext.applicationId, names)
+    if key not in _STORED or not path_exists(spark, _STORED[key][0]):
+        path = scratch(spark, "zones")
+        index = zone_index(zones, zone_col)
+        index.write.parquet(path)
+        _STORED[key] = path, index.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from plantlake.functions import sqlfuncs, text
 from plantlake.operators import analytics, lkv, monitor, oee, shifts
-from plantlake.operators.zones import zone_index
+from plantlake.operators.spread import small
+from plantlake.operators.zones import stored_index
 from plantlake.plans.fixtures import Plant
 from plantlake.plans.registry import query
 from plantlake.session import scratch
@@ -418,7 +419,7 @@ LOCAL = """SELECT b.Subject, b.Timestamp, b.Name, s.Site, (b.Timestamp AT TIME Z
 )
 def shift_assign(p: Plant):
     where = p.writers.select(F.col("writer").cast("string").alias("Subject"), "Site").join(p.sites, "Site")
-    assigned = shifts.assign_shift(p.big.join(where, "Subject"), zones=zone_index(p.sites))
+    assigned = shifts.assign_shift(p.big.join(small(where), "Subject"), zones=stored_index(p.sites))
     return assigned.groupBy("Site", "Name", "shift", F.col("shift_day").cast("string").alias("shift_day")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -436,7 +437,7 @@ def shift_assign(p: Plant):
 def shift_window_join(p: Plant):
     windows = shifts.shift_windows(p.sites, "2023-12-30", "2024-02-02")
     where = p.writers.select(F.col("writer").cast("string").alias("Subject"), "Site")
-    joined = shifts.join_windows(p.big.join(where, "Subject"), windows, ["Site"])
+    joined = shifts.join_windows(p.big.join(small(where), "Subject"), windows, ["Site"])
     return joined.groupBy("Site", "shift", F.col("shift_day").cast("string").alias("shift_day"), "Name").agg(
         F.count(F.lit(1)).alias("n")
     )
