@@ -1,44 +1,46 @@
-"""Which of many texts contain which of many patterns, by an inverted index of their character groups."""
+"""Which of many texts contain which of many patterns, by an inverted index of their pieces."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantlake.functions.text import matches
 
-#: Most characters of a group.
-GROUP = 3
+#: Lengths of the pieces that texts are indexed by, of those the ones that patterns ask for.
+SIZES = (1, 2, 4, 8, 16)
 #: What stands between the literal parts of a LIKE pattern: wildcards and escaped characters.
 BETWEEN = r"\\.|[%_]"
 
 
-def _groups(text: Column, size: int) -> Column:
-    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda start: F.substring(text, start, F.lit(size)))
+def _pieces(text: Column, size: Column) -> Column:
+    """All pieces of a text of one size; of size 0 the empty one."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1))
+    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda start: F.substring(text, start, size))
 
 
-def _keys(part: Column) -> Column:
-    """The groups of a literal part, all of them in any text that holds it; a short part is one itself."""
-    return F.when(F.length(part) < GROUP, F.array(part)).otherwise(_groups(part, GROUP))
+def _key(parts: Column) -> Column:
+    """The end of the longest literal part, of the largest size that it has; empty if there is none."""
+    longest = F.array_max(F.transform(parts, lambda part: F.struct(F.length(part).alias("n"), part.alias("part"))))["part"]
+    size = F.lit(0)
+    for at in SIZES:
+        size = F.when(F.length(longest) >= at, F.lit(at)).otherwise(size)
+    return F.when(size > 0, F.right(longest, size)).otherwise(F.lit(""))
 
 
 def containing(texts: DataFrame, text: str, patterns: DataFrame, pattern: str, how: str = "like") -> DataFrame:
     """Distinct (text, pattern) of the texts that a pattern matches anywhere, as `matches` has it.
 
-    Texts are indexed by their groups of up to three characters. A pattern is looked up by the one of its groups that the
-    fewest texts have, and only what meets there is matched. A pattern without a literal character meets every text.
+    A pattern is looked up by the end of its longest literal part, up to 16 characters, where names that are numbered
+    differ. Texts are indexed by all their pieces of the sizes that patterns ask for, and only what meets there is matched. A
+    pattern without a literal character meets every text.
     """
     fold = F.lower if how == "contains_ci" else (lambda c: c)
     held = texts.select(F.col(text).alias("_text")).where("_text IS NOT NULL").distinct()
+    parts = F.split("_pattern", BETWEEN) if how == "like" else F.array(fold(F.col("_pattern")))
     wanted = patterns.select(F.col(pattern).alias("_pattern")).where("_pattern IS NOT NULL").distinct()
+    wanted = wanted.withColumn("_key", _key(parts))
+    sizes = wanted.agg(F.collect_set(F.length("_key"))).scalar()
     whole = fold(F.col("_text"))
-    groups = F.array_distinct(F.concat(F.array(F.lit("")), *[_groups(whole, size) for size in range(1, GROUP + 1)]))
-    index = held.select("_text", F.explode(groups).alias("_group"))
-    parts = F.split("_pattern", BETWEEN) if how == "like" else F.array(fold(F.col("_pattern")))
-    some = F.filter(parts, lambda part: part != "")
-    keys = F.when(F.size(some) == 0, F.array(F.lit(""))).otherwise(F.flatten(F.transform(some, _keys)))
-    asked = wanted.select("_pattern", F.explode(F.array_distinct(keys)).alias("_group"))
-    counts = index.join(asked.select("_group").distinct(), "_group", "left_semi").groupBy("_group").agg(F.count("*").alias("_n"))
-    rarest = F.min_by("_group", F.struct("_n", "_group")).alias("_group")
-    chosen = asked.join(counts, "_group").groupBy("_pattern").agg(rarest)
-    met = index.join(chosen, "_group").where(matches(F.col("_text"), F.col("_pattern"), how))
+    keys = F.array_distinct(F.flatten(F.transform("_sizes", lambda size: _pieces(whole, size))))
+    met = held.withColumn("_sizes", sizes).select("_text", F.explode(keys).alias("_key")).join(wanted, "_key")
+    met = met.where(matches(F.col("_text"), F.col("_pattern"), how))
     return met.select(F.col("_text").alias(text), F.col("_pattern").alias(pattern))

@@ -7,14 +7,34 @@ from pyspark.sql import functions as F
 SHARES = 200
 
 
-def spread_join(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left", shares: int = SHARES) -> DataFrame:
+#: Rows up to which a lookup counts as small.
+SMALL = 50_000
+
+
+def is_small(lookup: DataFrame, most: int = SMALL) -> bool:
+    """Whether a lookup has at most `most` rows; no more than these are counted, now."""
+    return lookup.limit(most + 1).count() <= most
+
+
+def small(lookup: DataFrame, most: int = SMALL) -> DataFrame:
+    """A narrow lookup marked for broadcast if it is small; else itself, joined plainly.
+
+    For lookups that are themselves joins, whose size Spark would overestimate and shuffle the other side for.
+    """
+    return F.broadcast(lookup) if is_small(lookup, most) else lookup
+
+
+def spread_join(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left", most: int = SMALL, shares: int = SHARES) -> DataFrame:
     """`rows` joined with `lookup`, the smaller side, on columns of the same names.
 
-    Rows are counted per key first, which reads the key columns alone. A row of a frequent key goes to one of the key's
+    A small lookup is broadcast, so no row of the other side moves. Beyond that rows are counted per key first, which
+    reads the key columns alone. A row of a frequent key goes to one of the key's
     parts by the hash of its values, so a task that is run again deals alike, and the lookup rows of such a key are
     repeated in each part. A key with a third of all rows is then the work of a third of `shares` tasks, whatever the size of
     the table, and other keys are joined plainly. The frequent keys, fewer than `shares`, are broadcast.
     """
+    if is_small(lookup, most):
+        return rows.join(F.broadcast(lookup), keys, how)
     plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()

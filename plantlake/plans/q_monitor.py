@@ -443,15 +443,14 @@ def shift_window_join(p: Plant):
     )
 
 
-@query(
-    "shift_break",
-    """SELECT Subject, ts AS Timestamp, CAST(1.5 AS DOUBLE) AS Break FROM (
+BREAKS = """SELECT Subject, ts AS Timestamp, CAST(1.5 AS DOUBLE) AS Break FROM (
          SELECT Subject, off, unnest(generate_series(a, b, INTERVAL 1 MINUTE)) AS ts
          FROM (SELECT Subject, CAST(CAST(Subject AS BIGINT) % 24 AS INTEGER) * 60 AS off, min(Timestamp) AS a, max(Timestamp) AS b
                FROM tel GROUP BY 1, 2) s) m
-       WHERE hour(ts + off * INTERVAL 1 MINUTE) IN (14, 6)""",
-    "tel",
-)
+       WHERE hour(ts + off * INTERVAL 1 MINUTE) IN (14, 6)"""
+
+
+@query("shift_break", BREAKS, "tel")
 def shift_break(p: Plant):
     """Break bands over the time span of each writer, each at an offset of its own."""
     spans = p.tel.groupBy("Subject").agg(
@@ -461,6 +460,17 @@ def shift_break(p: Plant):
     return shifts.shift_break(spans.withColumns({"offset_min": offset, "band": F.lit(1.5)}))
 
 
+@query("sql_shift_break", BREAKS, "tel")
+def sql_shift_break(p: Plant):
+    """The same through the SQL table function, called for the span of each writer."""
+    _sql_functions(p, p.tel)
+    return p.sql(
+        """SELECT s.Subject, b.Timestamp, b.Break FROM (
+             SELECT Subject, CAST(CAST(Subject AS BIGINT) % 24 * 60 AS INT) AS off, min(Timestamp) AS a, max(Timestamp) AS z
+             FROM plant_telemetry GROUP BY Subject) s, LATERAL shift_break(s.a, s.z, 1.5D, s.off) b"""
+    )
+
+
 @query(
     "shift_calendar",
     """SELECT 'S' || o_orderkey AS shift, CAST(o_custkey % 24 AS INTEGER) * 60 + 30 AS start_min, CAST(o_orderkey % 24 AS INTEGER) * 60 AS end_min

@@ -123,6 +123,7 @@ def test_frequent_keys_are_dealt_and_nothing_is_lost(spark, how):
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), "id"
     )
     lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("5", 3), (None, 4), ("none", 5)], "k STRING, v INT")
-    got = spread_join(rows, lookup, ["k"], how)
     want = rows.join(lookup, "k", how)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    for most in (0, 100):
+        got = spread_join(rows, lookup, ["k"], how, most)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
