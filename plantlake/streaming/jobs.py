@@ -6,8 +6,10 @@ is there and stops, for tests and backfills.
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -131,6 +133,44 @@ def block_until_any_stops(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
+FAILURES_SCHEMA = "job STRING, failed_at TIMESTAMP, message STRING, restarted BOOLEAN"
+
+
+def keep_running(
+    spark: SparkSession, starts: dict[str, Callable[[], StreamingQuery]], failures: str | None = None, restarts: int = 3
+) -> None:
+    """Run jobs until all have ended; one that fails is started again and goes on from its checkpoint.
+
+    `starts` has a function for each job that starts it. Each failure adds a row to the table `failures`. A job that fails
+    more than `restarts` times stops the others and raises its error.
+    """
+    running = {name: start() for name, start in starts.items()}
+    left = dict.fromkeys(starts, restarts)
+    while running:
+        try:
+            spark.streams.awaitAnyTermination()
+        except StreamingQueryException:
+            # Which job it was is asked below, as several may have ended by now.
+            pass
+        spark.streams.resetTerminated()
+        for name, query in list(running.items()):
+            if query.isActive:
+                continue
+            error = running.pop(name).exception()
+            if error is None:
+                continue
+            again = left[name] > 0
+            if failures:
+                row = [(name, datetime.now(timezone.utc), str(error), again)]
+                spark.createDataFrame(row, FAILURES_SCHEMA).coalesce(1).write.mode("append").parquet(failures)
+            if not again:
+                for other in running.values():
+                    other.stop()
+                raise error
+            left[name] -= 1
+            running[name] = starts[name]()
+
+
 def land_and_expand(
     spark, raw: DataFrame, root: str, interval: str | None = None, once: bool = False
 ) -> StreamingQuery:

@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from test_oee import metadata
 
@@ -112,3 +114,32 @@ def test_commands_follow_changed_metadata(spark, tmp_path):
     stream = jobs.telemetry_stream(spark, source, {"maxFilesPerTrigger": "1"})
     jobs.run_pressure_commands(stream, read, "assembly", "munich", 2520, root, once=True).awaitTermination()
     assert len(calls) == 2 and spark.read.parquet(f"{root}/commands").count() == 1
+
+
+def test_failed_jobs_go_on_from_their_checkpoint(spark, tmp_path):
+    """A job that fails twice is started again and loses no batch; one that fails for ever ends all."""
+    source, root, seen = str(tmp_path / "tel"), str(tmp_path / "sink"), []
+    for k in range(3):
+        readings(spark, [(at(5, 8 + k), k)]).coalesce(1).write.mode("append").parquet(source)
+
+    def alerts(batch):
+        seen.append(1)
+        if len(seen) in (1, 3):
+            raise RuntimeError("broken")
+        return batch
+
+    def start(function, name):
+        stream = jobs.telemetry_stream(spark, source, {"maxFilesPerTrigger": "1"})
+        return lambda: jobs.run_alerts(stream, function, f"{root}/{name}", once=True)
+
+    jobs.keep_running(spark, {"a": start(alerts, "a"), "b": start(lambda batch: batch, "b")}, f"{root}/failures")
+    for name in "ab":
+        assert spark.read.parquet(f"{root}/{name}/alerts").count() == 3
+    failed = spark.read.parquet(f"{root}/failures").collect()
+    assert [(r["job"], r["restarted"], "broken" in r["message"]) for r in failed] == [("a", True, True)] * 2
+
+    def never(batch):
+        raise RuntimeError("gone")
+
+    with pytest.raises(StreamingQueryException, match="gone"):
+        jobs.keep_running(spark, {"c": start(never, "c")}, restarts=1)
