@@ -22,6 +22,7 @@ from plantlake.functions.text import matches, not_empty, number, percent
 from plantlake.operators.contains import containing
 from plantlake.operators.lkv import writers_of
 from plantlake.operators.shifts import with_windows
+from plantlake.operators.spread import small
 from plantlake.operators.timerange import between_open, utc
 from plantlake.operators.zones import stored_index
 from plantlake.schemas import (
@@ -177,7 +178,7 @@ def shift_counters(telemetry: DataFrame, lkv: DataFrame, sites: DataFrame, shift
 
     Readings shrink to minutes before the join with the writers; the shift comes from an index of the sites' zones.
     """
-    writers = production_writers(lkv, sites)
+    writers = small(production_writers(lkv, sites))
     located = minute_counters(telemetry).join(writers, "Subject")
     until = F.when(F.col("on_minute"), F.col("minute")).otherwise(
         F.col("minute") + F.expr("INTERVAL 1 MINUTE")
