@@ -1,9 +1,11 @@
 """Each operator against a plain version in Python, on edge cases and on the smallest documents table."""
 
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -379,6 +381,71 @@ def test_bands():
     assert compression.in_bands(b"", press)[2] and compression.in_bands(b"short", press)[2]
 
 
+def plain_verdicts(texts):
+    """The bands' verdict on each text, with quartiles of sorted lists in place of merged histograms."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=3)
+
+    def base(text):
+        found = words(text)
+        grams = Counter(tuple(found[k : k + 3]) for k in range(len(found) - 2))
+        repeat = {k + j for k in range(len(found) - 2) if grams[tuple(found[k : k + 3])] > 1 for j in range(3)}
+        return len(found) >= 50 and 100 * len(repeat) <= 50 * len(found)
+
+    def place(raw):
+        many = sum(b > 127 for b in raw) > len(raw) / 3
+        return many, sum(len(raw) >= b[0] for b in compression.BANDS) - 1
+
+    found = {}
+    seen = set()
+    for text in texts:
+        raw = (text or "").encode()
+        if not base(text or "") or len(raw) < 64 or raw in seen:
+            continue
+        seen.add(raw)
+        found.setdefault(place(raw), []).append(round(math.log(compression.ratio(raw, press)) * 400))
+        parts = list(compression.chunks(raw))
+        for part in parts if len(parts) > 1 else ():
+            found.setdefault((place(raw)[0], -1), []).append(round(math.log(compression.ratio(part, press)) * 400))
+
+    def outside(key, value):
+        if key not in found:
+            return False
+        low, high = np.quantile(found[key], [0.25, 0.75]) / 400
+        beyond = 3 * (high - low) + 0.2
+        return not low - beyond <= math.log(value) <= high + beyond
+
+    out = []
+    for text in texts:
+        raw = (text or "").encode()
+        whole, share, fine, packed = compression.in_bands(raw, press)
+        if len(raw) >= 64:
+            fine = fine and not outside(place(raw), whole)
+            bad = sum(outside((place(raw)[0], -1), r) for r in packed)
+            fine = fine and bad <= compression.BAD_CHUNKS * len(packed)
+        out.append((base(text or "") and fine, fine))
+    return out
+
+
+def test_learned_bands(spark, edges):
+    df = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").unionByName(
+        edges.select(F.col("doc_id") + 10**6, "text").toDF("doc_id", "text")
+    )
+    spot = spark.read.parquet(f"{FOLDER}/documents.parquet").where("n_chars BETWEEN 2200 AND 6000").limit(40)
+    # A third of a text said again, too little for the base rule and the fixed limits.
+    again = spot.selectExpr("doc_id + 2000000", "text || ' ' || substr(text, 1, int(n_chars * 0.28))").toDF("doc_id", "text")
+    df = df.unionByName(again)
+    given = df.collect()
+    want = Counter((r["doc_id"], *v) for r, v in zip(given, plain_verdicts([r["text"] for r in given]), strict=True))
+    rows = compression.judged(spark.createDataFrame(given, df.schema)).collect()
+    assert Counter((r["doc_id"], r["kept"], r["in_bands"]) for r in rows) == want
+    assert all(r["in_bands"] == (r["reason"] is None) for r in rows)
+    clean = [r for r in rows if r["doc_id"] is not None and r["doc_id"] < 10**6 and not r["base_failed"]]
+    assert len(clean) > 100 and all(r["kept"] for r in clean)
+    assert any(not r["in_bands"] for r in rows if r["base_failed"])
+
+
 def test_lower_limits_hold_encoded_text():
     import base64
 
