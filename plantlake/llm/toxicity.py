@@ -9,6 +9,7 @@ Insult and threat stems with their weights are learned from a bounded labelled s
 other transducers are fixed lists. Only clauses around a stem are read, found by one Aho-Corasick pass over the whole text.
 """
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,10 +27,10 @@ from plantlake.llm.langid import held_out
 #: Bound of the labelled sample: rows of each label, in expectation, and rows in all.
 PER_LABEL = 2500
 SAMPLE_ROWS = 6000
-LENGTHS = range(4, 11)
-LEAST_TEXTS = 12
-LEAST_ODDS = 3.0
-MOST_STEMS = 5000
+LENGTHS = range(3, 11)
+#: Share of the learned stems that may be there by chance, and the least log odds of a stem.
+FALSE_SHARE = 0.05
+LEAST_ODDS = 2.5
 PRIOR_ODDS = 2.0
 
 #: Words of the fixed transducers.
@@ -152,10 +153,22 @@ def clause(text: str, at: int) -> tuple[int, int]:
     return (breaks[-1] if breaks else low), (after.start() if after else min(high, len(text)))
 
 
+def chance(n_bad: int, n_all: int, share: float) -> float:
+    """Chance that at least `n_bad` of `n_all` texts are toxic where each is with the probability `share`."""
+    logs = math.lgamma(n_all + 1) + n_all * math.log1p(-share)
+    odds = math.log(share) - math.log1p(-share)
+    terms = (logs - math.lgamma(k + 1) - math.lgamma(n_all - k + 1) + k * odds for k in range(n_bad, n_all + 1))
+    return min(1.0, sum(math.exp(t) for t in terms))
+
+
 def learn_stems(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
-    """Word beginnings that stand in toxic texts far more often than in others, with their log odds.
+    """Word beginnings that stand in toxic texts more often than chance allows, with their smoothed log odds.
+
+    Every beginning is tested against the share of toxic texts, and the chances are cut by Benjamini and Hochberg's rule: at most
+    `FALSE_SHARE` of what is kept is expected to be there by chance. The rule knows no least number of texts; what a small sample
+    can show it finds. Beginnings that stand in the same texts are one test, for which the longest stands.
 
-    Of beginnings that stand in the same toxic texts the longest is kept, and none that only refines a kept one.
+    The least likely come first, and none is kept that begins a kept one or begins with it.
     """
     bad: Counter[str] = Counter()
     good: Counter[str] = Counter()
@@ -164,24 +177,25 @@ def learn_stems(texts: list[str], toxic: np.ndarray) -> dict[str, float]:
         begins = {w[:n] for w in words for n in LENGTHS if n <= len(w)}
         (bad if label else good).update(begins)
     n_bad, n_good = int(toxic.sum()), int((~toxic).sum())
-    odds = {}
-    for stem, n in bad.items():
-        if n >= LEAST_TEXTS:
-            weight = np.log((n + 0.5) / (n_bad + 1)) - np.log((good[stem] + 0.5) / (n_good + 1))
-            if weight >= LEAST_ODDS:
-                odds[stem] = float(weight)
-    longer: dict[str, list[str]] = {}
-    for stem in odds:
-        longer.setdefault(stem[:-1], []).append(stem)
+    counts = {stem: (n, good[stem]) for stem, n in bad.items()} | {stem: (0, n) for stem, n in good.items() if stem not in bad}
+    # A beginning that a longer one matches in both counts says nothing more, so it is no test of its own.
+    same = {stem[:-1] for stem, found in counts.items() if len(stem) - 1 in LENGTHS and counts[stem[:-1]] == found}
+    share = n_bad / (n_bad + n_good)
+    known: dict[tuple[int, int], float] = {}
+    for found in counts.values():
+        if found not in known:
+            known[found] = chance(found[0], sum(found), share) if found[0] > share * sum(found) else 1.0
+    chances = sorted((known[found], stem) for stem, found in counts.items() if stem not in same)
+    passed = [k for k, (p, _) in enumerate(chances, 1) if p <= FALSE_SHARE * k / len(chances)]
     kept: dict[str, float] = {}
-    for stem in sorted(odds, key=len):
-        if any(stem[:n] in kept for n in LENGTHS if n < len(stem)):
-            continue
-        best = stem
-        while (child := max(longer.get(best, ()), key=bad.__getitem__, default=None)) and bad[child] >= 0.95 * bad[stem]:
-            best = child
-        kept[best] = odds[best]
-    return dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:MOST_STEMS])
+    begun: set[str] = set()
+    for _, stem in chances[: max(passed, default=0)]:
+        weight = np.log((bad[stem] + 0.5) / (n_bad + 1)) - np.log((good[stem] + 0.5) / (n_good + 1))
+        own = {stem[:n] for n in LENGTHS if n <= len(stem)}
+        if weight >= LEAST_ODDS and stem not in begun and not own & kept.keys():
+            kept[stem] = float(weight)
+            begun |= own
+    return kept
 
 
 def fit(texts: list[str], toxic: list[bool], shares: dict[bool, float] | None = None) -> Grammar:

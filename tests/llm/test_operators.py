@@ -351,6 +351,37 @@ def test_readings_of_clauses():
     assert kinds == ["plain", "targeted", "negated", "reported", "threat", None]
 
 
+def labelled(folder):
+    texts = {r["doc_id"]: r for r in pq.read_table(f"{folder}/documents.parquet").to_pylist()}
+    rows = [(texts[r["doc_id"]], r["toxic"]) for r in pq.read_table(f"{folder}/labels.parquet").to_pylist()]
+    fold = [zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0 for d, _ in rows]
+    taught = sorted(((d["text"] or "", bool(y)) for (d, y), h in zip(rows, fold, strict=True) if not h), key=lambda r: zlib.crc32(r[0].encode()))
+    return taught, [(d["text"], d["lang"], y) for (d, y), h in zip(rows, fold, strict=True) if h]
+
+
+def test_toxicity_by_language():
+    taught, held = labelled("/root/testdata/sf0.1")
+    grammar = toxicity.fit(*map(list, zip(*taught, strict=True)))
+    said = (grammar.scores(np.array([grammar.features(t) for t, _, _ in held])) >= 0.5).tolist()
+    found, there = Counter(), Counter()
+    for (_, lang, toxic), yes in zip(held, said, strict=True):
+        there[lang, toxic] += 1
+        found[lang, toxic] += yes
+    assert all(found[k] >= 0.6 * n for k, n in there.items() if k[1] and n >= 5), (found, there)
+    assert sum(n for k, n in found.items() if k[1]) >= 0.85 * sum(n for k, n in there.items() if k[1])
+    assert sum(n for k, n in found.items() if not k[1]) <= 0.02 * len(held)
+
+
+def test_stems_of_small_samples():
+    filler = [f"plain words number {k} of a text" for k in range(120)]
+    taught = filler + [f"you vargling thing {k}" for k in range(6)]
+    stems = toxicity.learn_stems(taught, np.array([False] * 120 + [True] * 6))
+    assert any("vargling".startswith(s) for s in stems) and not any("words".startswith(s) for s in stems)
+    assert not toxicity.learn_stems(filler, np.arange(120) % 2 == 0)
+    share = sum(math.comb(9, k) * 0.2**k * 0.8 ** (9 - k) for k in range(4, 10))
+    assert math.isclose(toxicity.chance(4, 9, 0.2), share)
+
+
 @BOTH
 def test_compression(request, name):
     df = tables(request, name)
