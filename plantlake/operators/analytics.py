@@ -163,6 +163,47 @@ def forecast_linear(rows: DataFrame, name: str, keys: list[str], at) -> DataFram
     )
 
 
+def forecast_smoothed(rows: DataFrame, name: str, keys: list[str], alpha: float = 0.3, grain: str = "hour") -> DataFrame:
+    """Level of simple exponential smoothing per series, which is its forecast, and its number of instants (own design).
+
+    A step takes a level to `alpha * value + (1 - alpha) * level`, an affine map, and steps compose to one map a time piece: a
+    factor and an offset that are sums over the piece. Pieces compose the same way, so no series is walked as a whole. The
+    first value is the first level; readings of one instant are averaged, and those that are no number are left out.
+    """
+    from plantlake.operators.carry import PIECE, across_pieces, in_piece, with_piece
+
+    keep = 1 - alpha
+    value = number("Value")
+    instants = (
+        rows.where((F.col("Name") == name) & F.col("Timestamp").isNotNull() & value.isNotNull())
+        .groupBy(*keys, "Timestamp")
+        .agg(F.avg(value).alias("v"))
+    )
+    pieces = with_piece(instants, grain=grain)
+    later = F.count(F.lit(1)).over(in_piece(keys).rowsBetween(1, Window.unboundedFollowing))
+    maps = (
+        pieces.withColumn("_weight", F.pow(F.lit(keep), later))
+        .groupBy(*keys, PIECE)
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.sum(F.col("v") * F.col("_weight") * alpha).alias("_offset"),
+            F.min_by("v", "Timestamp").alias("_first"),
+        )
+    )
+    # What comes after a piece multiplies its offset by the factors of all later pieces.
+    after = F.coalesce(F.sum("_n").over(across_pieces(keys).rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
+    return (
+        maps.withColumn("_after", F.pow(F.lit(keep), after))
+        .groupBy(*keys)
+        .agg(
+            F.sum("_n").alias("n"),
+            F.sum(F.col("_offset") * F.col("_after")).alias("_offset"),
+            F.min_by("_first", PIECE).alias("_start"),
+        )
+        .select(*keys, "n", (F.col("_offset") + F.pow(F.lit(keep), "n") * F.col("_start")).alias("forecast"))
+    )
+
+
 def product_trace(rows: DataFrame, writers: DataFrame, stations=("assembly", "test", "packaging")) -> DataFrame:
     """First and last sighting of each serial number per station, and its lead time (own design).
 

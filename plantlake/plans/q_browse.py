@@ -229,6 +229,19 @@ def forecast_linear(p: Plant):
     )
 
 
+@query(
+    "forecast_smoothed",
+    """SELECT Subject, CAST(count(*) AS BIGINT) AS n,
+         round(list_reduce(list(v ORDER BY Timestamp), lambda level, v: 0.3 * v + 0.7 * level), 5) AS forecast
+       FROM (SELECT Subject, Timestamp, avg(TRY_CAST(Value AS DOUBLE)) AS v FROM big
+             WHERE Name = 'Pressure' AND TRY_CAST(Value AS DOUBLE) IS NOT NULL GROUP BY 1, 2) a GROUP BY 1""",
+    "big",
+)
+def forecast_smoothed(p: Plant):
+    level = analytics.forecast_smoothed(p.big, "Pressure", ["Subject"])
+    return level.withColumn("forecast", F.round("forecast", 5))
+
+
 SIGHTINGS = """SELECT Subject, Timestamp, 'ProductSerialNumber' AS Name, 'P' || CAST(l_partkey AS STRING) AS Value FROM (
   SELECT l_partkey, CAST(l_suppkey AS STRING) AS Subject,
     TIMESTAMP '2024-01-01 00:00:00' + ((l_orderkey * 7919 + l_partkey * 31 + l_linenumber * 104729) % 2592000) * INTERVAL 1 SECOND AS Timestamp

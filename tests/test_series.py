@@ -73,6 +73,45 @@ def test_median(spark, n):
     assert got == {"g": statistics.median(values), "h": 2.5}
 
 
+@pytest.mark.parametrize("draw", ["ties", "spread", "powers"])
+def test_median_without_a_sort_of_a_group(spark, monkeypatch, draw):
+    """Hostile values, with a sketch so rough that several rounds are needed, and no window over values."""
+    from plantlake.operators import quantile
+
+    monkeypatch.setattr(quantile, "ACCURACY", 20)
+    rng = random.Random(5)
+    made = {
+        "ties": lambda: float(rng.choice([1, 1, 1, rng.randrange(3000)])),
+        "spread": lambda: rng.uniform(-1, 1),
+        "powers": lambda: rng.choice([-1, 1]) * 10.0 ** rng.randrange(-300, 300),
+    }[draw]
+    values = {k: [made() for _ in range(n)] for k, n in (("hot", 20_000), ("odd", 4_001), ("two", 2))}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k string, v double")
+    got = {r["k"]: r["median"] for r in exact_median(df, ["k"], "v").collect()}
+    assert got == {k: statistics.median(vs) for k, vs in values.items()}
+
+
+@pytest.mark.parametrize("grain", ["minute", "hour", "day"])
+def test_smoothed_forecast(spark, grain):
+    from plantlake.operators.analytics import forecast_smoothed
+
+    rng = random.Random(4)
+    times = sorted(rng.sample(range(200_000), 900))
+    rows = [("1", BASE + dt.timedelta(seconds=t), "P", str(rng.uniform(0, 9))) for t in times]
+    extra = [("1", rows[5][1], "P", "4.5"), ("1", rows[7][1], "P", "none"), ("2", BASE, "P", "2.0"), ("3", BASE, "P", None)]
+    at: dict = {}
+    for _, ts, _, v in rows + extra[:1]:
+        at.setdefault(ts, []).append(float(v))
+    level = None
+    for ts in sorted(at):
+        v = statistics.mean(at[ts])
+        level = v if level is None else 0.3 * v + 0.7 * level
+    df = spark.createDataFrame(rows + extra, TELEMETRY_SCHEMA)
+    got = {r["Subject"]: (r["n"], r["forecast"]) for r in forecast_smoothed(df, "P", ["Subject"], grain=grain).collect()}
+    assert set(got) == {"1", "2"} and got["2"] == (1, pytest.approx(2.0))
+    assert got["1"] == (len(at), pytest.approx(level))
+
+
 def test_latest_values_prefer_the_greatest_of_equal_times(spark):
     rows = spark.createDataFrame(
         [("1", BASE, "A", "1"), ("1", BASE, "A", "2"), ("1", BASE - dt.timedelta(1), "A", "9"), ("2", BASE, "A", None)],
