@@ -48,7 +48,8 @@ def create_functions(spark: SparkSession, telemetry: str = "telemetry", lkv: str
 
     The two oee functions aggregate a window per writer and counter before it meets the names. A telemetry
     table that is partitioned by `date` is read for the dates of the window only. For all stations and shifts at
-    once the DataFrame function oee_by_shift needs a single pass.
+    once the DataFrame function oee_by_shift needs a single pass. shift_break unfolds break hours alone, in a single
+    generator, so that a call for each row of a table is no join.
     """
     dated = "date" in spark.table(telemetry).columns
 
@@ -98,10 +99,11 @@ def create_functions(spark: SparkSession, telemetry: str = "telemetry", lkv: str
         """CREATE OR REPLACE TEMPORARY FUNCTION shift_break(
               since TIMESTAMP, until TIMESTAMP, band DOUBLE, offset_min INT)
             RETURNS TABLE (Timestamp TIMESTAMP, Break DOUBLE) RETURN
-            SELECT step, band FROM (
-              SELECT explode(sequence(h.col, h.col + INTERVAL 59 MINUTE, INTERVAL 1 MINUTE)) AS step
-              FROM explode(sequence(since, until, INTERVAL 1 HOUR)) h)
-            WHERE step <= until AND hour(step + make_dt_interval(0, 0, offset_min)) IN (14, 6)"""
+            SELECT col, band FROM explode(flatten(transform(
+              filter(sequence(since, until, INTERVAL 1 HOUR), h -> hour(h + make_dt_interval(0, 0, offset_min)) IN (14, 6)
+                OR hour(h + make_dt_interval(0, 0, offset_min + 59)) IN (14, 6)),
+              h -> filter(sequence(h, least(until, h + INTERVAL 59 MINUTE), INTERVAL 1 MINUTE),
+                m -> hour(m + make_dt_interval(0, 0, offset_min)) IN (14, 6)))))"""
     )
     spark.sql(
         f"""CREATE OR REPLACE TEMPORARY FUNCTION faulty_assets(as_of TIMESTAMP, days INT)

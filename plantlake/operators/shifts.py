@@ -205,7 +205,8 @@ def shift_break(spans: DataFrame, hours=BREAK_HOURS) -> DataFrame:
     """Minute series over each span (start_ts, end_ts, band, offset_min), at the break hours.
 
     Steps are whole minutes from `start_ts`, the end included; `offset_min` shifts UTC to local
-    time. Spans unfold hour by hour, and only the break hours unfold into minutes.
+    time. Spans unfold hour by hour, and only the break hours unfold into minutes. A few spans become many rows, so their
+    days are dealt over all tasks first.
     """
     step = F.expr("INTERVAL 1 HOUR")
     other = [c for c in spans.columns if c not in ("start_ts", "end_ts")]
@@ -213,6 +214,7 @@ def shift_break(spans: DataFrame, hours=BREAK_HOURS) -> DataFrame:
         *other, "start_ts", "end_ts",
         F.explode(F.sequence("start_ts", "end_ts", F.expr("INTERVAL 1 DAY"))).alias("_day"),
     )
+    days = days.repartition(int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     day_end = F.least(F.col("end_ts"), F.col("_day") + F.expr("INTERVAL 1439 MINUTE"))
     chunks = days.withColumn("_hour", F.explode(F.sequence("_day", day_end, step)))
     offset = F.make_dt_interval(mins=F.col("offset_min"))

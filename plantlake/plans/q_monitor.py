@@ -464,9 +464,12 @@ def shift_break(p: Plant):
 def sql_shift_break(p: Plant):
     """The same through the SQL table function, called for the span of each writer."""
     _sql_functions(p, p.tel)
+    # Few rows become many, so they are dealt over all tasks before they unfold.
+    parts = p.spark.conf.get("spark.sql.shuffle.partitions")
     return p.sql(
-        """SELECT s.Subject, b.Timestamp, b.Break FROM (
-             SELECT Subject, CAST(CAST(Subject AS BIGINT) % 24 * 60 AS INT) AS off, min(Timestamp) AS a, max(Timestamp) AS z
+        f"""SELECT s.Subject, b.Timestamp, b.Break FROM (
+             SELECT /*+ REPARTITION({parts}) */ Subject, CAST(CAST(Subject AS BIGINT) % 24 * 60 AS INT) AS off,
+               min(Timestamp) AS a, max(Timestamp) AS z
              FROM plant_telemetry GROUP BY Subject) s, LATERAL shift_break(s.a, s.z, 1.5D, s.off) b"""
     )
 
