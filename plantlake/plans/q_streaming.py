@@ -4,6 +4,7 @@ Each job reads what Spark wrote to a new folder below the shared scratch root, p
 it, stops, and its sink is read back as a table.
 """
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantlake.operators import monitor, oee
@@ -17,12 +18,23 @@ from plantlake.streaming import jobs
 
 
 def _topic(raw, root: str, name: str) -> str:
-    """Raw documents as a folder of text files, one document per line."""
+    """Raw documents as a folder of packed text files, one document per line; every field's name is in every document."""
     path = f"{root}/{name}"
-    raw.write.text(path)
+    raw.write.option("compression", "gzip").text(path)
     return path
 
 
+def fed(rows: DataFrame, path: str, batches: int) -> dict[str, str]:
+    """Writes a table by the tasks that make its rows, and gives the options by which a stream reads it in `batches` or more.
+
+    No row is moved for it: a file has at most its share of the rows, and a batch as many files as make up a share.
+    """
+    share = max(1, -(-rows.count() // batches))
+    rows.write.option("maxRecordsPerFile", share).parquet(path)
+    files = len(rows.sparkSession.read.parquet(path).inputFiles())
+    return {"maxFilesPerTrigger": str(max(1, files // batches))}
+
+
 @query(
     "stream_raw_ingest",
     """SELECT '{"DataSetWriterId":"' || user_id || '","Payload":{"n":{"Value":' || event_id || '}}}' AS payload FROM events""",
@@ -80,10 +92,8 @@ def mirror_parquet(p: Plant):
 def stream_lkv(p: Plant):
     """Last known metadata kept up batch by batch, with a merge on the way."""
     root = scratch(p.spark, "lkv")
-    p.md.repartition(4).write.parquet(f"{root}/metadata")
-    source = jobs.read_table_stream(
-        p.spark, f"{root}/metadata", METADATA_SCHEMA, options={"maxFilesPerTrigger": "1"}
-    )
+    options = fed(p.md, f"{root}/metadata", 4)
+    source = jobs.read_table_stream(p.spark, f"{root}/metadata", METADATA_SCHEMA, options=options)
     jobs.maintain_lkv(source, f"{root}/lkv", compact_every=3, once=True).awaitTermination()
     return jobs.read_lkv(p.spark, f"{root}/lkv")
 
@@ -128,8 +138,7 @@ def stream_alerts(p: Plant):
 def stream_values(p: Plant):
     """Last reading per series kept up batch by batch, with merges and removals on the way."""
     root = scratch(p.spark, "values")
-    p.big.repartition(6).write.parquet(f"{root}/telemetry")
-    source = jobs.telemetry_stream(p.spark, f"{root}/telemetry", {"maxFilesPerTrigger": "1"})
+    source = jobs.telemetry_stream(p.spark, f"{root}/telemetry", fed(p.big, f"{root}/telemetry", 6))
     jobs.maintain_values(source, f"{root}/last", compact_every=2, once=True).awaitTermination()
     return jobs.read_values(p.spark, f"{root}/last")
 
@@ -138,9 +147,9 @@ def stream_values(p: Plant):
 def stream_oee_alert(p: Plant):
     """The shifts that are low by their last figure. Readings come in any order within the month they are of."""
     root = scratch(p.spark, "oee")
-    p.big.repartition(3).write.parquet(f"{root}/telemetry")
+    options = fed(p.big, f"{root}/telemetry", 3)
     p.lkv.write.parquet(f"{root}/lkv")
-    source = jobs.telemetry_stream(p.spark, f"{root}/telemetry", {"maxFilesPerTrigger": "1"})
+    source = jobs.telemetry_stream(p.spark, f"{root}/telemetry", options)
     last_known = p.spark.read.parquet(f"{root}/lkv")
     jobs.run_oee_alerts(
         source, last_known, p.sites, f"{root}/sink", once=True, late="31 days", compact_every=2

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plantlake.functions import sqlfuncs
 from plantlake.operators import shifts
+from plantlake.plans.q_streaming import fed
 from plantlake.schemas import METADATA_SCHEMA, TELEMETRY_SCHEMA
 
 
@@ -40,3 +41,15 @@ def test_shift_break_of_many_rows_is_no_join(spark, rows_of):
     breaks = shifts.shift_break(table.withColumn("band", F.lit(1.5)).coalesce(1))
     assert rows_of(breaks) == rows_of(want)
     assert breaks.rdd.getNumPartitions() > 1
+
+
+def test_streamed_tables_are_fed_where_their_rows_are_made(spark, tmp_path, rows_of):
+    rows = spark.range(0, 1000, 1, 12).withColumn("text", F.col("id").cast("string"))
+    path = str(tmp_path / "fed")
+    options = fed(rows, path, 4)
+    files = spark.read.parquet(path).inputFiles()
+    assert len(files) == 12 and options == {"maxFilesPerTrigger": "3"}
+    assert rows_of(spark.read.parquet(path)) == rows_of(rows)
+    one = fed(rows.coalesce(1), str(tmp_path / "one"), 4)
+    assert len(spark.read.parquet(str(tmp_path / "one")).inputFiles()) == 4 and one == {"maxFilesPerTrigger": "1"}
+    assert fed(rows.limit(0), str(tmp_path / "none"), 4) == {"maxFilesPerTrigger": "1"}
