@@ -91,7 +91,10 @@ def model_variables(p: Plant):
 )
 def model_append(p: Plant):
     """Placeholders appended to a telemetry table with live rows, next to placeholder metadata."""
-    variables = model.model_variables(_downloads(p))
+    # Both kinds of placeholders come from them: the documents are built and parsed once.
+    models = scratch(p.spark, "variables")
+    model.model_variables(_downloads(p)).write.parquet(models)
+    variables = p.spark.read.parquet(models)
     now = F.to_timestamp(F.lit("2024-02-01T00:00:00Z"))
     path = scratch(p.spark, "telemetry")
     p.tel.write.parquet(path)
