@@ -238,11 +238,16 @@ def facts_b(documents: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 def parity(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Facts found in one encoding only, with the side that has them and how often more."""
+    """Facts found in one encoding only, with the side that has them and how often more.
+
+    Hardly a fact repeats within an encoding, so they are dealt before they are counted: a small file of documents unfolds into
+    many facts, which one task should not hold.
+    """
     facts = ["id", "fact", "name", "target"]
     counted = (
         a.select(*facts, F.lit(1).alias("n"))
         .unionByName(b.select(*facts, F.lit(-1).alias("n")))
+        .repartition(*facts)
         .groupBy(*facts)
         .agg(F.sum("n").alias("n"))
     )
@@ -280,7 +285,8 @@ def inherited_members(member_rows: DataFrame, edges: DataFrame) -> DataFrame:
     2^k levels above have from theirs. So there are as many rows as types have members and rounds as the depth has digits in binary.
     """
     rest = [c for c in member_rows.columns if c not in ("id", "name")]
-    own = member_rows.groupBy("id", "name").agg(F.min(F.struct(*rest)).alias("own"))
+    # Dealt before they are sorted by type: a small file of documents unfolds into many wide members.
+    own = member_rows.repartition("id", "name").groupBy("id", "name").agg(F.min(F.struct(*rest)).alias("own"))
     best = own.select("id", "name", F.lit(0).alias("distance"), F.col("id").alias("defined_in"))
     for k, jump in enumerate(jumps(edges)):
         above = best.withColumnRenamed("id", "far")
