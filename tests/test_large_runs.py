@@ -5,7 +5,8 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from plantlake.functions import sqlfuncs
-from plantlake.operators import shifts
+from plantlake.operators import ontology, shifts
+from plantlake.plans.q_streaming import _topic as topic
 from plantlake.plans.q_streaming import fed
 from plantlake.schemas import METADATA_SCHEMA, TELEMETRY_SCHEMA
 
@@ -53,3 +54,19 @@ def test_streamed_tables_are_fed_where_their_rows_are_made(spark, tmp_path, rows
     one = fed(rows.coalesce(1), str(tmp_path / "one"), 4)
     assert len(spark.read.parquet(str(tmp_path / "one")).inputFiles()) == 4 and one == {"maxFilesPerTrigger": "1"}
     assert fed(rows.limit(0), str(tmp_path / "none"), 4) == {"maxFilesPerTrigger": "1"}
+
+
+def test_topics_are_packed(spark, tmp_path, rows_of):
+    documents = spark.createDataFrame([('{"a":1}',), ("",), ("x",)], "value STRING")
+    path = topic(documents, str(tmp_path), "topic")
+    assert all(name.endswith(".gz") for name in spark.read.text(path).inputFiles())
+    assert rows_of(spark.read.text(path)) == rows_of(documents)
+
+
+def test_facts_are_dealt_before_they_are_counted(spark, rows_of):
+    fact = "id STRING, fact STRING, name STRING, target STRING"
+    a = spark.createDataFrame([("1", "type", "", ""), ("2", "type", "", ""), ("2", "type", "", "")], fact)
+    b = spark.createDataFrame([("1", "type", "", ""), ("2", "type", "", ""), ("3", "type", "", "")], fact)
+    found = ontology.parity(a, b)
+    assert "RepartitionByExpression" in plan_of(found)
+    assert rows_of(found) == [("2", "type", "", "", "a", 1), ("3", "type", "", "", "b", 1)]
