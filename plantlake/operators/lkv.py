@@ -26,6 +26,16 @@ def metadata_lkv(metadata: DataFrame, ties: bool = True) -> DataFrame:
     return tied if ties else newest(tied)
 
 
+def last_names(metadata: DataFrame, *names: str) -> DataFrame:
+    """The distinct Subject and `names` of the last known metadata, ties included.
+
+    Rows are reduced to one per series and names, with its latest time, where they are read: what is shuffled and joined
+    grows with the series, not with the descriptions sent.
+    """
+    sent = metadata.groupBy(*SERIES, *names).agg(F.max("Timestamp").alias("Timestamp"))
+    return metadata_lkv(sent).select("Subject", *names).distinct()
+
+
 def newest(metadata: DataFrame) -> DataFrame:
     """One row per (Subject, Name) in a single pass, for inputs as small as a batch."""
     rest = [c for c in metadata.columns if c not in SERIES]

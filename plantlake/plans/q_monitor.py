@@ -309,7 +309,8 @@ def _sql_functions(p: Plant, telemetry) -> None:
     telemetry.createOrReplaceTempView("plant_telemetry")
     p.md.createOrReplaceTempView("plant_metadata")
     sqlfuncs.create_lkv_view(p.spark, "plant_metadata", "plant_lkv")
-    sqlfuncs.create_functions(p.spark, "plant_telemetry", "plant_lkv")
+    sqlfuncs.create_names_view(p.spark, "plant_metadata", "plant_names")
+    sqlfuncs.create_functions(p.spark, "plant_telemetry", "plant_lkv", "plant_names")
 
 
 @query(

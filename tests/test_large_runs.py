@@ -1,11 +1,12 @@
 """Steps whose cost must not grow faster than their input: how they are dealt, and that their rows stay the same."""
 
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from plantlake.functions import sqlfuncs
-from plantlake.operators import ontology, shifts
+from plantlake.operators import lkv, ontology, shifts
 from plantlake.plans.q_streaming import _topic as topic
 from plantlake.plans.q_streaming import fed
 from plantlake.schemas import METADATA_SCHEMA, TELEMETRY_SCHEMA
@@ -70,3 +71,54 @@ def test_facts_are_dealt_before_they_are_counted(spark, rows_of):
     found = ontology.parity(a, b)
     assert "RepartitionByExpression" in plan_of(found)
     assert rows_of(found) == [("2", "type", "", "", "a", 1), ("3", "type", "", "", "b", 1)]
+
+
+def described(spark, rows):
+    names = [f.name for f in spark.createDataFrame([], METADATA_SCHEMA).schema]
+    full = [tuple(row.get(name) for name in names) for row in rows]
+    return spark.createDataFrame(full, METADATA_SCHEMA)
+
+
+def test_names_are_reduced_before_the_latest_are_looked_up(spark, rows_of):
+    day = [datetime(2024, 1, k) for k in (1, 2, 3)]
+    rows = [
+        {"Subject": s, "Timestamp": t, "Name": f, "DataSetName": n, "Site": "munich", "Workcell": w, "MajorVersion": v}
+        for s, t, f, n, w in [
+            ("1", day[0], "a", "old-munich-x", "old"), ("1", day[1], "a", "new-munich-x", "new"),
+            ("1", day[1], "a", "tie-munich-x", None), ("1", day[0], "b", "left-munich-x", "left"),
+            ("2", None, "a", "never-munich-x", "never"), ("3", None, "a", "no-munich-x", "no"), ("3", day[2], "a", None, ""),
+            (None, day[2], "a", "none-munich-x", "none"), ("4", day[2], None, "none-munich-x", "none"),
+        ]
+        for v in range(300)
+    ]
+    md = described(spark, rows).repartition(3)
+    got = lkv.last_names(md, *sqlfuncs.NAMES)
+    want = lkv.metadata_lkv(md).select("Subject", *sqlfuncs.NAMES).distinct()
+    assert rows_of(got) == rows_of(want) and got.count() == 4
+    # Both sides of the join read one row per series and names.
+    assert len(re.findall(r"Aggregate \[Subject#\d+, Name#\d+, DataSetName#", plan_of(got))) == 2
+
+
+def test_functions_read_the_names_view(spark, rows_of):
+    md = described(spark, [
+        {"Subject": "1", "Timestamp": datetime(2024, 1, 1), "Name": "a", "DataSetName": "cut-munich-x", "Site": "munich", "Workcell": "cut"},
+        {"Subject": "2", "Timestamp": datetime(2024, 1, 1), "Name": "a", "DataSetName": "mes-munich-x", "Site": "munich", "Workcell": "mes"},
+    ])
+    made = [("1", datetime(2024, 1, 1, 0, k), "NumberOfManufacturedProducts", str(k)) for k in (1, 5)]
+    spark.createDataFrame(made, TELEMETRY_SCHEMA).createOrReplaceTempView("names_telemetry")
+    md.createOrReplaceTempView("names_metadata")
+    sqlfuncs.create_lkv_view(spark, "names_metadata", "names_lkv")
+    sqlfuncs.create_names_view(spark, "names_metadata", "names_last")
+    window = "6000, TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-01 01:00:00'"
+    asked = f"SELECT oee_station('cut', 'munich', {window}), oee_line('munich', {window}), oee_line('oslo', {window})"
+    found = []
+    for names in (None, "names_last"):
+        sqlfuncs.create_functions(spark, "names_telemetry", "names_lkv", names)
+        found.append(rows_of(spark.sql(asked)))
+    assert found[0] == found[1] and [round(v, 9) if v is not None else v for v in found[0][0]] == [round(24 / 3600, 9), round(24 / 3600, 9), None]
+    # A station without a writer of its name has no products.
+    alone = described(spark, [{"Subject": "9", "Timestamp": datetime(2024, 1, 1), "Name": "a", "DataSetName": "z", "Site": "munich", "Workcell": "saw"}])
+    md.unionByName(alone).createOrReplaceTempView("names_metadata")
+    sqlfuncs.create_names_view(spark, "names_metadata", "names_last")
+    sqlfuncs.create_functions(spark, "names_telemetry", "names_lkv", "names_last")
+    assert spark.sql(f"SELECT oee_line('munich', {window})").first()[0] == 0.0
