@@ -5,13 +5,15 @@ is there and stops, for tests and backfills.
 """
 
 from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Callable
 from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.operators.analytics import throughput
@@ -301,8 +303,14 @@ def read_values(spark: SparkSession, root: str) -> DataFrame:
     return _read_kept(spark, root, VALUES_KEPT)
 
 
-#: What a field's state holds: for each change of its description when it was first and last sent, and the description.
-CHANGES = "since array<bigint>, until array<bigint>, documents array<string>"
+#: What the state of some fields holds: for each change of a description its field, when it was first and last sent, and the
+#: description.
+CHANGES = "names array<string>, since array<bigint>, until array<bigint>, documents array<string>"
+#: A writer's fields are dealt to so many states: a state costs as much as some hundred rows.
+FIELD_GROUPS = 4
+#: Between the values of a description; the escape by itself is NULL.
+SEPARATOR, ESCAPE = "\x1f", "\x1e"
+ESCAPED = {ESCAPE: ESCAPE + "0", SEPARATOR: ESCAPE + "1"}
 UNTIMED = -(1 << 62)
 MICROS_OF_DAY = 86_400_000_000
 
@@ -312,19 +320,21 @@ class Descriptions:
 
     def __init__(self, since=(), until=(), documents=()):
         self.since, self.until, self.documents = list(since), list(until), list(documents)
+        self.sent = set(zip(self.since, self.documents, strict=True))
 
     def _insert(self, at: int, document: str) -> tuple[int, str]:
         k = bisect_right(self.since, at)
         self.since.insert(k, at)
         self.until.insert(k, at)
         self.documents.insert(k, document)
+        self.sent.add((at, document))
         return at, document
 
     def add(self, at: int, document: str) -> list[tuple[int, str]]:
         """The changes that a row makes: none for a repeat, itself, and what it cuts in two is sent again at its end."""
-        first, last = bisect_left(self.since, at), bisect_right(self.since, at)
-        if document in self.documents[first:last]:
+        if (at, document) in self.sent:
             return []
+        first, last = bisect_left(self.since, at), bisect_right(self.since, at)
         before = bisect_left(self.since, self.since[first - 1]) if first else 0
         if first == last and first - before == 1 and self.documents[before] == document:
             self.until[before] = max(self.until[before], at)
@@ -343,38 +353,88 @@ class Descriptions:
 
 
 def _new_descriptions(keep_days: int):
-    """Rows of one field that change its description, from its rows of a batch and the changes seen before."""
+    """Rows of some fields that change their descriptions, from their rows of a batch and the changes seen before."""
 
     def run(key, frames, state):
-        known = Descriptions(*state.get) if state.exists else Descriptions()
+        kept = defaultdict(lambda: ([], [], []))
+        for name, *change in zip(*state.get, strict=True) if state.exists else ():
+            for values, value in zip(kept[name], change, strict=True):
+                values.append(value)
+        known = defaultdict(Descriptions, {name: Descriptions(*changes) for name, changes in kept.items()})
         for frame in frames:
-            rows = zip(frame["at"].tolist(), frame["document"].tolist(), strict=True)
-            changes = [change for at, document in rows for change in known.add(at, document)]
+            rows = zip(frame["Name"].tolist(), frame["at"].tolist(), frame["document"].tolist(), strict=True)
+            changes = [change for name, at, document in rows for change in known[name].add(at, document)]
             yield pd.DataFrame(changes, columns=["at", "document"])
-        state.update(known.recent(keep_days))
+        held = [(name, *change) for name, field in known.items() for change in zip(*field.recent(keep_days), strict=True)]
+        state.update(tuple(map(list, zip(*held, strict=True))))
 
     return run
 
 
+def _is_plain(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType))
+
+
+def _packed(fields: list[T.StructField]) -> Column:
+    """Values as one text that is cheaper to read than JSON; what is no text or whole number is JSON in it."""
+
+    def text(field: T.StructField) -> Column:
+        value = F.col(field.name)
+        return value.cast("string") if _is_plain(field.dataType) else F.when(value.isNotNull(), F.to_json(F.array(value)))
+
+    def safe(value: Column) -> Column:
+        for plain, escaped in ESCAPED.items():
+            value = F.replace(value, F.lit(plain), F.lit(escaped))
+        return value
+
+    def joined(values: list[Column]) -> Column:
+        return F.concat_ws(SEPARATOR, *[F.coalesce(value, F.lit(ESCAPE)) for value in values])
+
+    texts = [text(field) for field in fields]
+    # Hardly a name holds what must be escaped: one look at all of them is cheaper than replacing in each.
+    whole = F.concat_ws("", *texts)
+    odd = F.contains(whole, F.lit(SEPARATOR)) | F.contains(whole, F.lit(ESCAPE))
+    return F.when(odd, joined([safe(value) for value in texts])).otherwise(joined(texts))
+
+
+def _unpacked(values: Column, fields: list[T.StructField]) -> dict[str, Column]:
+    """The values of a text of `_packed` that was split, by their names."""
+
+    def value(k: int, field: T.StructField) -> Column:
+        text = F.get(values, F.lit(k))
+        found = F.when(text != ESCAPE, text)
+        if isinstance(field.dataType, T.StringType) or not _is_plain(field.dataType):
+            for plain, escaped in reversed(ESCAPED.items()):
+                found = F.replace(found, F.lit(escaped), F.lit(plain))
+        if _is_plain(field.dataType):
+            return found.cast(field.dataType)
+        return F.from_json(found, T.ArrayType(field.dataType))[0]
+
+    return {field.name: value(k, field) for k, field in enumerate(fields)}
+
+
 def without_repeats(metadata: DataFrame, keep_days: int = 30) -> DataFrame:
     """A metadata stream without true repeats: a field's row that says what held of it at that time already.
 
-    A state per writer and field keeps when its description changed. Every change passes, however late it comes and
+    The state of a writer's field keeps when its description changed. Every change passes, however late it comes and
     also within one version, so the last known metadata of what passes says what those of the stream say. A field
     that sends nothing for `keep_days`, or a row that much older than the newest, may pass once more; none is lost.
     """
-    described = [name for name in metadata.columns if name != "Timestamp"]
-    document = F.to_json(F.struct(*described))
+    described = [field for field in metadata.schema.fields if field.name != "Timestamp"]
     rows = metadata.select(
-        "Subject", "Name", F.coalesce(F.unix_micros("Timestamp"), F.lit(UNTIMED)).alias("at"), document.alias("document")
+        "Subject",
+        F.pmod(F.xxhash64("Name"), F.lit(FIELD_GROUPS)).alias("part"),
+        "Name",
+        F.coalesce(F.unix_micros("Timestamp"), F.lit(UNTIMED)).alias("at"),
+        _packed(described).alias("document"),
     )
-    changed = rows.groupBy("Subject", "Name").applyInPandasWithState(
+    changed = rows.groupBy("Subject", "part").applyInPandasWithState(
         _new_descriptions(keep_days), "at bigint, document string", CHANGES, "append", "NoTimeout"
     )
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in metadata.schema.fields if f.name != "Timestamp")
-    parsed = changed.withColumn("d", F.from_json("document", fields))
-    time = F.when(F.col("at") != UNTIMED, F.timestamp_micros("at")).alias("Timestamp")
-    return parsed.select(*[time if name == "Timestamp" else F.col(f"d.{name}") for name in metadata.columns])
+    values = changed.select("at", F.split("document", SEPARATOR, -1).alias("values"))
+    time = F.when(F.col("at") != UNTIMED, F.timestamp_micros("at"))
+    columns = _unpacked(F.col("values"), described) | {"Timestamp": time}
+    return values.select(*[columns[name].alias(name) for name in metadata.columns])
 
 
 # --- windows and alerts -------------------------------------------------------

@@ -84,6 +84,35 @@ def test_late_and_changed_descriptions_pass_and_repeats_do_not(spark, tmp_path):
     assert sorted(map(str, last.select(described).distinct().collect())) == sorted(map(str, everything.select(described).distinct().collect()))
 
 
+def test_a_writer_of_many_fields_has_few_states(spark, tmp_path):
+    """Forty fields, sent twice and again after a restart: each description passes once and as it was sent."""
+    source, out, md = str(tmp_path / "md"), str(tmp_path / "out"), spark.createDataFrame([], METADATA_SCHEMA)
+    odd = [None, "", "a\x1fb", "\x1e", "\x1e0\x1f", "\x1e1", '"{,}', "\u00e4"]
+    rows = [
+        {"Subject": "1", "Timestamp": at(5, 12 + k % 2), "Name": f"f{k}", "DataSetName": odd[k % 8], "MajorVersion": [k, None][k % 2],
+         "Type": odd[k // 8], "NodeId": odd[(k + 1) % 8]}
+        for k in range(40)
+    ]
+    sent = spark.createDataFrame([tuple(row.get(name) for name in md.columns) for row in rows], METADATA_SCHEMA)
+    for again in range(2):
+        sent.unionByName(sent).write.mode("append").parquet(source)
+        stream = jobs.without_repeats(jobs.read_table_stream(spark, source, METADATA_SCHEMA))
+        query = jobs.write_append(stream, out, str(tmp_path / "checkpoint"), once=True)
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= jobs.FIELD_GROUPS, again
+        assert sorted(map(str, spark.read.parquet(out).collect())) == sorted(map(str, sent.collect()))
+
+
+def test_packed_descriptions_hold_any_type(spark):
+    table = spark.sql("""SELECT * FROM VALUES ('a', 1, array('x\\u001fy', NULL), 1.5D, DATE '2024-01-01', true),
+        (NULL, NULL, NULL, NULL, NULL, NULL) t(s, n, list, d, day, b)""")
+    fields = table.schema.fields
+    values = table.select(F.split(jobs._packed(fields), jobs.SEPARATOR, -1).alias("values"))
+    back = values.select(*[c.alias(name) for name, c in jobs._unpacked(F.col("values"), fields).items()])
+    assert back.dtypes == table.dtypes
+    assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))
+
+
 def test_what_passes_has_the_last_known_descriptions_in_any_order():
     """Rows in any order of arrival: the last instant of what passed describes what the last instant of all rows does."""
     draw = random.Random(6)
