@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def set_within(spark: SparkSession, settings: dict[str, str]):
+    """Settings of the session for the actions of a block; what was set before comes back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return os.path.join(shared_root(spark), "plantlake", f"{name}-{uuid.uuid4().hex}")

@@ -36,6 +36,9 @@ from plantlake.session import path_exists, remove_folder, require_utc, subfolder
 # Start at the beginning of a topic and go on if the broker dropped old messages.
 KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
 
+# How raw documents are stored: each repeats the names of its fields, which the default codec packs badly.
+RAW_FILES = {"compression": "zstd"}
+
 
 def read_topic(
     spark: SparkSession, fmt: str, topic: str, options: dict[str, str] | None = None
@@ -75,9 +78,11 @@ def write_append(
     interval: str | None = None,
     once: bool = False,
     partition_by: list[str] | None = None,
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Append a stream to a table folder, exactly once."""
-    writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    writer = df.writeStream.format(fmt).outputMode("append").options(**(options or {}))
+    writer = writer.option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return _timed(writer, interval, once).start(path)
@@ -97,7 +102,9 @@ def by_date(telemetry: DataFrame, files: int = 8) -> DataFrame:
 def land(spark, fmt, topic, root, table, options=None, interval=None, once=False) -> StreamingQuery:
     """Topic to raw table, unparsed."""
     raw = read_topic(spark, fmt, topic, options)
-    return write_append(raw, f"{root}/{table}", f"{root}/_checkpoints/{table}", interval=interval, once=once)
+    return write_append(
+        raw, f"{root}/{table}", f"{root}/_checkpoints/{table}", interval=interval, once=once, options=RAW_FILES
+    )
 
 
 def expand(spark, root, kind, interval=None, once=False, options=None) -> StreamingQuery:
@@ -189,7 +196,7 @@ def land_and_expand(
     def both(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            _replace_batch(batch, batch_id, f"{root}/telemetry_raw")
+            _replace_batch(batch, batch_id, f"{root}/telemetry_raw", options=RAW_FILES)
             _replace_batch(by_date(expand_telemetry(batch)), batch_id, f"{root}/telemetry", ["date"])
         finally:
             batch.unpersist()
@@ -198,10 +205,13 @@ def land_and_expand(
     return _timed(writer, interval, once).start()
 
 
-def _replace_batch(df: DataFrame, batch_id: int, path: str, by: list[str] | None = None) -> None:
+def _replace_batch(
+    df: DataFrame, batch_id: int, path: str, by: list[str] | None = None, options: dict[str, str] | None = None
+) -> None:
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
+        .options(**(options or {}))
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*(by or []), "batch_id")
         .parquet(path)

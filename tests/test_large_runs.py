@@ -10,6 +10,8 @@ from plantlake.operators import lkv, ontology, shifts
 from plantlake.plans.q_streaming import _topic as topic
 from plantlake.plans.q_streaming import fed
 from plantlake.schemas import METADATA_SCHEMA, TELEMETRY_SCHEMA
+from plantlake.session import set_within
+from plantlake.streaming import jobs
 
 
 def plan_of(df):
@@ -64,6 +66,41 @@ def test_topics_are_packed(spark, tmp_path, rows_of):
     assert rows_of(spark.read.text(path)) == rows_of(documents)
 
 
+def test_topics_of_lists_are_written_by_small_tasks(spark, tmp_path):
+    texts = F.concat(*[F.sha2(F.concat("id", F.lit(str(k))), 512) for k in range(4)])
+    rows = spark.range(0, 60_000, 1, 8).withColumn("text", texts).repartition(8)
+    lists = rows.groupBy((F.col("id") / 2).cast("long").alias("key")).agg(F.to_json(F.collect_list("text")).alias("value"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    usual = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", size: "64m"}
+    with set_within(spark, usual):
+        path = topic(lists.select("value"), str(tmp_path), "topic")
+        assert spark.conf.get(size) == "64m"
+    assert len(spark.read.text(path).inputFiles()) > 2 and spark.read.text(path).count() == 30_000
+
+
+def test_settings_of_a_block_come_back_after_an_error(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        with set_within(spark, {key: "1m", "plantlake.test": "x"}):
+            assert (spark.conf.get(key), spark.conf.get("plantlake.test")) == ("1m", "x")
+            raise ValueError("stop")
+    except ValueError:
+        pass
+    assert spark.conf.get(key) == before and spark.conf.get("plantlake.test", None) is None
+
+
+def test_landed_documents_are_packed(spark, tmp_path, rows_of):
+    documents = [('{"a":%d}' % n,) for n in range(50)] + [("",), ("x",)]
+    source, root = topic(spark.createDataFrame(documents, "value STRING"), str(tmp_path), "topic"), str(tmp_path / "root")
+    jobs.land(spark, "text", source, root, "metadata_raw", once=True).awaitTermination()
+    jobs.land_and_expand(spark, jobs.read_topic(spark, "text", source), root, once=True).awaitTermination()
+    for table in ("metadata_raw", "telemetry_raw"):
+        landed = spark.read.parquet(f"{root}/{table}")
+        assert all(name.endswith(".zstd.parquet") for name in landed.inputFiles())
+        assert rows_of(landed.select("payload")) == sorted(documents)
+
+
 def test_facts_are_dealt_before_they_are_counted(spark, rows_of):
     fact = "id STRING, fact STRING, name STRING, target STRING"
     a = spark.createDataFrame([("1", "type", "", ""), ("2", "type", "", ""), ("2", "type", "", "")], fact)
